@@ -8,25 +8,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, IntegerType
 
-# Spaces and control characters, which a cast from text ignores at both ends.
-_BLANK = r"[\x00-\x20\x7f]*"
-_DECIMAL_TEXT = rf"^{_BLANK}([+-]?)(?=[0-9.])([0-9]*)(?:[.][0-9]*)?{_BLANK}$"
-
-
 def lenient_int(text: Column) -> Column:
-    """Text to int, NULL where it is no number, fraction cut off ('3.7' is 3).
+    """Text to int, NULL where it is no number, fraction cut off ('3.7' is 3, '.5' is 0).
 
-    ``try_cast`` alone would turn '3.7' into NULL. The pattern is only tried
-    where the cheap cast gave up, so clean columns never run it. It puts a zero
-    before the digits, which makes '.5' and '.' read as 0.
+    ``try_cast`` to int would reject '3.7', and each rejected value costs a thrown
+    exception. A double holds every int exactly, so the value goes through one.
+    Text with letters is left out first: a double may be written '1e2' or 'NaN', an
+    int may not. Comparing the two cases finds letters faster than a pattern does.
     """
-    whole_part = F.regexp_replace(text, _DECIMAL_TEXT, "$10$2")
-    return F.coalesce(text.try_cast("int"), whole_part.try_cast("int"))
+    wordless = (F.lower(text) == F.upper(text)) & (text != "")
+    return F.when(wordless, text.try_cast("double").try_cast("int"))
 
 
 def lenient_double(text: Column) -> Column:
-    """Text to double, NULL where it is no number."""
-    return text.try_cast("double")
+    """Text to double, NULL where it is no number. Plain words never reach the cast."""
+    return F.when(text.rlike("(?i)[0-9]|nan|inf"), text.try_cast("double"))
 
 
 def lenient_cast(text: Column, to: DataType) -> Column:

@@ -1,9 +1,7 @@
-"""Hot keys: find them cheaply and spread them over many tasks."""
+"""Finding keys that hold a large share of the rows."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,34 +37,3 @@ def hot_keys(df: DataFrame, *columns: str, share: float = 0.001) -> dict[str, li
         )
         for c in columns
     }
-
-
-def spread_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    how: str,
-    hot: Sequence = (),
-    salts: int = 256,
-) -> DataFrame:
-    """Equi-join on ``key`` in which the rows of each hot key go to many tasks.
-
-    A hot fact row takes the salt of the input partition it came from, a value
-    that a re-run task computes again; the few matching dim rows are copied once
-    per salt. All other rows keep salt 0 and are not copied. Without hot keys it
-    is a plain join.
-    """
-    if not hot:
-        return fact.join(dim, key, how)
-    is_hot = F.coalesce(F.col(key).isin(*hot), F.lit(False))
-    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    return (
-        fact.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
-        .join(
-            dim.withColumn("_salt", F.explode(F.when(is_hot, all_salts).otherwise(F.array(F.lit(0))))),
-            [key, "_salt"],
-            how,
-        )
-        .drop("_salt")
-    )

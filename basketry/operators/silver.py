@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from basketry.contracts import ITEM_COLUMNS, PRODUCT_KEYS, contract
 from basketry.functions.columns import processed_at
-from basketry.functions.skew import spread_join
 
 _REQUIRED = [
     "order_id", "user_id", "order_number", "order_dow", "order_hour_of_day", "eval_set",
@@ -81,31 +80,21 @@ def order_items_enriched(
     orders: DataFrame,
     products: DataFrame,
     batch_time: datetime | None = None,
-    hot_orders: Sequence[int] = (),
-    hot_products: Sequence[int] = (),
 ) -> DataFrame:
     """Order items (prior or train) with the columns of their order and product.
 
     Items of rejected orders disappear; items of unknown products stay, with NULL
     product columns. Items meet orders first, while their rows are narrow, and
-    product names are added last. Hot ids (see ``hot_keys``) are spread over many
-    tasks. They need naming only when ``orders`` is computed in the same plan or
-    the result is aggregated in it; between tables adaptive execution splits them.
+    product names are added last. Given stored tables, both joins shuffle both
+    sides just for the join (or broadcast a side found small), which is what lets
+    adaptive execution split the rows of a hot order or product among tasks.
     """
-    item_columns = [c.split()[0] for c in ITEM_COLUMNS.split(", ")]
-    kept_items = items.dropna("any", subset=["order_id", "product_id"]).select(
-        *item_columns, F.col("raw_ingestion_date").alias("bronze_raw_ingestion_date")
-    )
-    with_order = spread_join(
-        kept_items,
-        orders.drop("bronze_raw_ingestion_date", "silver_processed_at"),
-        "order_id",
-        "inner",
-        hot_orders,
-    )
-    with_product = spread_join(
-        with_order, products.select(*PRODUCT_KEYS), "product_id", "left", hot_products
-    )
-    return with_product.withColumn("silver_processed_at", processed_at(batch_time)).select(
-        *contract("silver", "order_items_prior_enriched").fieldNames()
+    item_columns = StructType.fromDDL(ITEM_COLUMNS).fieldNames()
+    return (
+        items.dropna("any", subset=["order_id", "product_id"])
+        .select(*item_columns, F.col("raw_ingestion_date").alias("bronze_raw_ingestion_date"))
+        .join(orders.drop("bronze_raw_ingestion_date", "silver_processed_at"), "order_id")
+        .join(products.select(*PRODUCT_KEYS), "product_id", "left")
+        .withColumn("silver_processed_at", processed_at(batch_time))
+        .select(*contract("silver", "order_items_prior_enriched").fieldNames())
     )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from basketry.contracts import ENTITIES, LAYERS, PRODUCT_KEYS
 from basketry.operators.quality import REFERENCES, TABLE_KEYS
 from basketry.plans.driver_tables import DAY_ONE, DEPARTMENT_IDS, NO_AISLE, NO_DEPARTMENT
+from basketry.plans.stored import LABEL
 
-LABEL = "2026-04-02"
 OLD_LABEL = "2026-04-01"
 
 
