@@ -9,7 +9,34 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+    TimestampType,
+)
+
+_TYPES = {
+    "int": IntegerType(),
+    "bigint": LongType(),
+    "double": DoubleType(),
+    "string": StringType(),
+    "boolean": BooleanType(),
+    "timestamp": TimestampType(),
+}
+
+
+def struct(columns: str) -> StructType:
+    """A schema from ``name type, ...``; unlike ``fromDDL`` it needs no running session."""
+    out = StructType()
+    for column in columns.split(", "):
+        name, kind = column.split()
+        out.add(name, _TYPES[kind])
+    return out
+
 
 SNAPSHOT_COLUMN = "ingestion_date"
 
@@ -41,7 +68,7 @@ class Entity:
 
     @property
     def schema(self) -> StructType:
-        return StructType.fromDDL(self.ddl)
+        return struct(self.ddl)
 
     @property
     def columns(self) -> list[str]:
@@ -101,17 +128,17 @@ GOLD: dict[str, str] = {
 
 LAYERS: dict[str, dict[str, StructType]] = {
     "bronze": {
-        e.name: StructType.fromDDL(f"{e.ddl}, {BRONZE_LINEAGE}") for e in ENTITIES.values()
+        e.name: struct(f"{e.ddl}, {BRONZE_LINEAGE}") for e in ENTITIES.values()
     },
-    "silver": {name: StructType.fromDDL(ddl) for name, ddl in SILVER.items()},
-    "gold": {name: StructType.fromDDL(ddl) for name, ddl in GOLD.items()},
+    "silver": {name: struct(ddl) for name, ddl in SILVER.items()},
+    "gold": {name: struct(ddl) for name, ddl in GOLD.items()},
 }
 LAYERS["raw"] = {
-    e.name: StructType.fromDDL(", ".join(f"{c} string" for c in e.columns))
+    e.name: struct(", ".join(f"{c} string" for c in e.columns))
     for e in ENTITIES.values()
 }
 
-PRODUCT_KEYS = StructType.fromDDL(PRODUCT_COLUMNS).fieldNames()
+PRODUCT_KEYS = struct(PRODUCT_COLUMNS).fieldNames()
 AUDIT_COLUMNS = (
     "source_file_name",
     "bronze_processed_at",

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Iterable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,6 +36,11 @@ def lenient_cast(text: Column, to: DataType) -> Column:
     return text
 
 
+def all_present(columns: Iterable[str]) -> Column:
+    """No column is NULL. Written out, not as ``dropna``, so that it reaches the file scan."""
+    return reduce(operator.and_, (F.col(c).isNotNull() for c in columns))
+
+
 def ratio4(part: Column, whole: Column) -> Column:
     """part / whole, rounded half up to four places, NULL when whole is 0."""
     return F.round(F.try_divide(part.cast("double"), whole.cast("double")), 4)

@@ -6,10 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from basketry.contracts import ITEM_COLUMNS, PRODUCT_KEYS, contract
-from basketry.functions.columns import processed_at
+from basketry.contracts import ITEM_COLUMNS, PRODUCT_KEYS, contract, struct
+from basketry.functions.columns import all_present, processed_at
 
 _REQUIRED = [
     "order_id", "user_id", "order_number", "order_dow", "order_hour_of_day", "eval_set",
@@ -26,10 +25,8 @@ def orders_clean(orders: DataFrame, batch_time: datetime | None = None) -> DataF
     """
     first = F.coalesce(F.col("order_number") == 1, F.lit(False))
     valid = (
-        orders.where(
-            F.col("order_dow").between(0, 6) & F.col("order_hour_of_day").between(0, 23)
-        )
-        .dropna("any", subset=_REQUIRED)
+        orders.where(all_present(_REQUIRED))
+        .where(F.col("order_dow").between(0, 6) & F.col("order_hour_of_day").between(0, 23))
         .select(
             "order_id",
             "user_id",
@@ -89,9 +86,9 @@ def order_items_enriched(
     sides just for the join (or broadcast a side found small), which is what lets
     adaptive execution split the rows of a hot order or product among tasks.
     """
-    item_columns = StructType.fromDDL(ITEM_COLUMNS).fieldNames()
+    item_columns = struct(ITEM_COLUMNS).fieldNames()
     return (
-        items.dropna("any", subset=["order_id", "product_id"])
+        items.where(all_present(["order_id", "product_id"]))
         .select(*item_columns, F.col("raw_ingestion_date").alias("bronze_raw_ingestion_date"))
         .join(orders.drop("bronze_raw_ingestion_date", "silver_processed_at"), "order_id")
         .join(products.select(*PRODUCT_KEYS), "product_id", "left")

@@ -46,7 +46,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        folder = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        fs, at = _file_system(spark, folder)
+        fs.mkdirs(at)
+        return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"{name}-")
