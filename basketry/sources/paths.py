@@ -21,12 +21,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
-def child_directories(spark: SparkSession, path: str) -> list[str]:
-    """Names of the directories directly under ``path``."""
+def children(spark: SparkSession, path: str, directories_only: bool = False) -> list[str]:
+    """Names of what lies directly under ``path``."""
     fs, at = _file_system(spark, path)
     if not fs.exists(at):
         raise FileNotFoundError(f"directory not found: {path}")
-    return [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()]
+    return [
+        s.getPath().getName()
+        for s in fs.listStatus(at)
+        if s.isDirectory() or not directories_only
+    ]
 
 
 def has_data_files(spark: SparkSession, path: str) -> bool:

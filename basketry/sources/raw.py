@@ -28,34 +28,12 @@ def scan_csv(spark: SparkSession, path: str, rfc4180: bool = False) -> DataFrame
     return reader.csv(path)
 
 
-def _listing(spark: SparkSession, path: str) -> DataFrame:
-    # Only path and length are read, so Spark never opens the files.
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "length")
-    )
-
-
 def source_manifest(spark: SparkSession, source_dir: str) -> DataFrame:
-    """Each expected source file and whether it is there."""
-    if not paths.exists(spark, source_dir):
-        raise FileNotFoundError(f"source directory not found: {source_dir}")
-    expected = spark.createDataFrame(
-        [(e.name, e.file_name) for e in ENTITIES.values()], "entity string, file_name string"
-    )
-    # A source may be one file or a directory of that name holding its parts.
-    segment = F.explode(F.split(F.col("path"), "/")).alias("file_name")
-    found = (
-        _listing(spark, source_dir)
-        .select(segment)
-        .where(F.col("file_name").isin([e.file_name for e in ENTITIES.values()]))
-        .distinct()
-        .withColumn("present", F.lit(True))
-    )
-    return expected.join(found, "file_name", "left").select(
-        "entity", "file_name", F.coalesce("present", F.lit(False)).alias("present")
+    """Each expected source and whether it is there, as one file or a directory of parts."""
+    there = set(paths.children(spark, source_dir))
+    return spark.createDataFrame(
+        [(e.name, e.file_name, e.file_name in there) for e in ENTITIES.values()],
+        "entity string, file_name string, present boolean",
     )
 
 
@@ -86,6 +64,16 @@ def land_sources(
     ]
 
 
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    # Only path and length are read, so Spark never opens the files.
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select("path", "length")
+    )
+
+
 def landing_summary(spark: SparkSession, raw_root: str, label: str) -> DataFrame:
     """Number and total size of the files landed per entity."""
     per_entity = [

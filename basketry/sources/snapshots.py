@@ -39,7 +39,8 @@ def latest_snapshot(spark: SparkSession, root: str) -> str:
     An empty directory counts: if the newest load left nothing, the reader is to
     fail and not to fall back silently to an older one.
     """
-    labels = [n.removeprefix(_PREFIX) for n in paths.child_directories(spark, root) if n.startswith(_PREFIX)]
+    names = paths.children(spark, root, directories_only=True)
+    labels = [n.removeprefix(_PREFIX) for n in names if n.startswith(_PREFIX)]
     if not labels:
         raise FileNotFoundError(f"no {_PREFIX}* directory in {root}")
     return max(labels)

@@ -1,0 +1,157 @@
+import pytest
+
+from basketry.contracts import ENTITIES
+from basketry.operators import quality
+from basketry.plans import medallion
+from basketry.sources import raw
+from basketry.sources.snapshots import read_snapshot
+
+FILES = {
+    "orders": "order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,"
+    "days_since_prior_order\n1,10,prior,1,2,08,\n2,10,prior,2,3,07,15.0\n3,11,test,1,6,23,\n"
+    "2,10,prior,2,3,07,15.0\n4,12,prior,1,9,1,\n,,,,,,\n",
+    "products": 'product_id,product_name,aisle_id,department_id\n1,Milk,1,1\n2,"Eggs, ten",2,1\n',
+    "departments": "department_id,department\n1,dairy\n",
+    "aisles": "aisle_id,aisle\n1,milk\n",
+    "order_products_prior": "order_id,product_id,add_to_cart_order,reordered\n"
+    "1,1,1,0\n1,2,2,0\n2,1,1,1\n4,1,1,0\n2,9,2,0\n",
+    "order_products_train": "order_id,product_id,add_to_cart_order,reordered\n3,2,1,1\n",
+}
+
+
+@pytest.fixture
+def source(tmp_path):
+    folder = tmp_path / "source"
+    folder.mkdir()
+    for name, text in FILES.items():
+        (folder / ENTITIES[name].file_name).write_text(text)
+    return folder
+
+
+@pytest.fixture
+def roots(tmp_path):
+    return medallion.Roots.under(str(tmp_path / "tables"))
+
+
+def test_manifest(spark, source):
+    raw.require_sources(spark, str(source))
+    (source / "aisles.csv").unlink()
+    (source / "orders.csv").unlink()
+    (source / "orders.csv.bak").write_text("not it")
+    present = {r.entity: r.present for r in raw.source_manifest(spark, str(source)).collect()}
+    assert present == {e: e not in ("aisles", "orders") for e in ENTITIES}
+    with pytest.raises(FileNotFoundError, match="aisles.csv, orders.csv"):
+        raw.require_sources(spark, str(source))
+    with pytest.raises(FileNotFoundError, match="directory not found"):
+        raw.source_manifest(spark, str(source / "nowhere"))
+
+
+def test_manifest_looks_below_the_source_directory_only(spark, tmp_path, source):
+    (source / "aisles.csv").unlink()
+    outer = tmp_path / "aisles.csv"
+    outer.mkdir()
+    moved = outer / "source"
+    moved.mkdir()
+    for f in source.iterdir():
+        (moved / f.name).write_text(f.read_text())
+    with pytest.raises(FileNotFoundError, match="aisles.csv"):
+        raw.require_sources(spark, str(moved))
+
+
+def test_landing_twice_keeps_one_copy(spark, source, roots):
+    for _ in range(2):
+        landed = raw.land_sources(spark, str(source), roots.raw, "2026-04-02")
+    assert {s.root.rsplit("/", 1)[1]: s.rows for s in landed} == {
+        "orders": 6,
+        "products": 2,
+        "departments": 1,
+        "aisles": 1,
+        "order_products_prior": 5,
+        "order_products_train": 1,
+    }
+    summary = raw.landing_summary(spark, roots.raw, "2026-04-02").collect()
+    assert {r.entity for r in summary} == set(ENTITIES)
+    assert all(r.files >= 1 and r.bytes > 0 for r in summary)
+
+
+def test_landing_stops_before_writing_when_a_source_is_missing(spark, source, roots, tmp_path):
+    (source / "aisles.csv").unlink()
+    with pytest.raises(FileNotFoundError, match="aisles.csv"):
+        raw.land_sources(spark, str(source), roots.raw, "d")
+    assert not (tmp_path / "tables").exists()
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    folder = tmp_path / "aisles" / "ingestion_date=d"
+    folder.mkdir(parents=True)
+    (folder / "aisles.csv").write_text("extra,aisle,aisle_id\nx,milk,1\n")
+    table, label = raw.read_raw(spark, str(tmp_path), "aisles")
+    assert label == "d"
+    assert (table.first().aisle_id, table.first().aisle) == ("1", "milk")
+    (folder / "aisles.csv").write_text("aisle_id\n1\n")
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        raw.read_raw(spark, str(tmp_path), "aisles")
+
+
+def test_raw_validation_names_all_problems(spark, source, roots, tmp_path):
+    raw.land_sources(spark, str(source), roots.raw, "2026-04-02")
+    assert quality.validate_raw(spark, roots.raw).where("not passed").count() == 0
+    newer = {
+        "aisles": "aisle_id,name,more\n1,milk,x\n",
+        "departments": "department_id,department\n",
+    }
+    for entity, text in newer.items():
+        folder = tmp_path / "tables" / "raw" / entity / "ingestion_date=2026-04-03"
+        folder.mkdir()
+        (folder / f"{entity}.csv").write_text(text)
+    (tmp_path / "tables" / "raw" / "orders" / "ingestion_date=2026-05-01").mkdir()
+    with pytest.raises(ValueError) as problem:
+        quality.validate_raw(spark, roots.raw)
+    text = str(problem.value)
+    assert "raw.aisles: missing_columns is 'aisle'" in text
+    assert "raw.departments: row_count is '0'" in text
+    assert "orders: no data files" in text
+    assert "products" not in text.replace("order_products", "")
+
+
+def test_whole_run(spark, source, roots, batch_time):
+    raw.land_sources(spark, str(source), roots.raw, "2026-04-02")
+    written = {
+        (s.root.rsplit("/", 2)[1], s.root.rsplit("/", 1)[1]): s.rows
+        for s in medallion.run(spark, roots, batch_time=batch_time)
+    }
+    assert written == {
+        ("bronze", "orders"): 5,
+        ("bronze", "products"): 2,
+        ("bronze", "departments"): 1,
+        ("bronze", "aisles"): 1,
+        ("bronze", "order_products_prior"): 5,
+        ("bronze", "order_products_train"): 1,
+        ("silver", "orders_clean"): 3,
+        ("silver", "products_enriched"): 2,
+        ("silver", "order_items_prior_enriched"): 4,
+        ("silver", "order_items_train_enriched"): 1,
+        ("gold", "orders_by_period"): 3,
+        ("gold", "top_products"): 3,
+        ("gold", "repurchase_metrics"): 3,
+    }
+    for layer, table in written:
+        report = quality.validate_snapshot(spark, getattr(roots, layer), layer, table)
+        assert report.where("not passed").count() == 0
+    top = read_snapshot(spark, roots.table("gold", "top_products")).collect()
+    got = [(r.product_id, r.product_name, r.aisle, r.total_order_rows, r.reorder_rate) for r in top]
+    assert got[0] == (1, "Milk", "milk", 2, 0.5)
+    assert sorted(got[1:]) == sorted([(2, "Eggs, ten", None, 1, 0.0), (9, None, None, 1, 0.0)])
+    assert all(r.gold_processed_at == batch_time for r in top)
+
+
+def test_layers_take_their_own_latest_snapshots(spark, source, roots):
+    raw.land_sources(spark, str(source), roots.raw, "2026-04-01")
+    medallion.run(spark, roots, upto="bronze")
+    (source / "aisles.csv").write_text("aisle_id,aisle\n1,renamed\n2,new\n")
+    raw.land_sources(spark, str(source), roots.raw, "2026-04-05")
+    medallion.run_bronze(spark, roots, "aisles")
+    summary = medallion.run_products_enriched(spark, roots)
+    assert summary.label == "2026-04-01"
+    table = read_snapshot(spark, summary.root)
+    assert {r.product_id: r.aisle for r in table.collect()} == {1: "renamed", 2: "new"}
