@@ -25,10 +25,13 @@ def hot_keys(df: DataFrame, *columns: str, share: float = 0.001) -> dict[str, li
         df.select(*columns, part)
         .groupBy("part")
         .agg(*fill, F.count(F.lit(1)).alias("seen"))
+        .groupBy(F.lit("all"))  # no row, and not an error, for an empty table
         .agg(*merge, F.sum("seen").alias("seen"))
         .select(*top, "seen")
         .first()
     )
+    if row is None:
+        return {c: [] for c in columns}
     return {
         c: sorted(
             t["item"]
