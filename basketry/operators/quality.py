@@ -187,7 +187,8 @@ def source_raw_counts(
 def orphans(bronze: Mapping[str, DataFrame]) -> DataFrame:
     """Per reference: ids that the referenced table lacks, and the rows that use them.
 
-    Rows are counted per id before the join, so a hot id reaches it as one row.
+    Both sides are reduced to one row per id before the join, so a hot id or a
+    referenced row with many copies weighs no more than any other.
     """
     counts = []
     for table, column, referenced in REFERENCES:
@@ -198,7 +199,7 @@ def orphans(bronze: Mapping[str, DataFrame]) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("row_count"))
         )
         counts.append(
-            used.join(bronze[referenced], column, "left_anti").agg(
+            used.join(bronze[referenced].select(column).distinct(), column, "left_anti").agg(
                 F.lit(table).alias("table_name"),
                 F.lit(column).alias("column_name"),
                 F.lit(referenced).alias("referenced_table"),

@@ -32,7 +32,10 @@ NO_AISLE = "Brand#13"
 _SCHEMAS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_returnflag string",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_returnflag string, "
+        "l_linestatus string"
+    ),
 }
 
 
@@ -109,29 +112,22 @@ def raw_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _raw_items(spark: SparkSession, sf_dir: str, train: bool) -> DataFrame:
-    key, part = F.col("l_orderkey"), F.col("l_partkey")
-    return (
-        _table(spark, sf_dir, "lineitem")
-        .where((key % 11 != 0) & ((key % 5 == 0) if train else (key % 5 != 0)))
-        .select(
-            _text(key).alias("order_id"),
-            _text(F.when(part % 131 == 0, part + 1_000_000).otherwise(part)).alias("product_id"),
-            _text(F.col("l_linenumber")).alias("add_to_cart_order"),
-            F.when(part % 61 == 0, F.lit(None))
-            .when(F.col("l_returnflag") == "R", "1")
-            .otherwise("0")
-            .alias("reordered"),
-        )
+def _raw_items(spark: SparkSession, sf_dir: str, again: Column) -> DataFrame:
+    part = F.col("l_partkey")
+    return _table(spark, sf_dir, "lineitem").select(
+        _text(F.col("l_orderkey")).alias("order_id"),
+        _text(F.when(part % 131 == 0, part + 1_000_000).otherwise(part)).alias("product_id"),
+        _text(F.col("l_linenumber")).alias("add_to_cart_order"),
+        F.when(part % 61 == 0, F.lit(None)).when(again, "1").otherwise("0").alias("reordered"),
     )
 
 
 def raw_order_products_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw_items(spark, sf_dir, train=False)
+    return _raw_items(spark, sf_dir, F.col("l_returnflag") == "R")
 
 
 def raw_order_products_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw_items(spark, sf_dir, train=True)
+    return _raw_items(spark, sf_dir, F.col("l_linestatus") == "F")
 
 
 RAW_TABLES = {

@@ -41,15 +41,14 @@ _DEPARTMENT_CASE = (
 _AISLE_ID = "regexp_extract(p_brand, '([0-9]+)', 1)"
 
 
-def _raw_items(condition: str) -> str:
+def _raw_items(again: str) -> str:
     return f"""
 SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
   CAST(CASE WHEN l_partkey % 131 = 0 THEN l_partkey + 1000000 ELSE l_partkey END AS VARCHAR)
     AS product_id,
   CAST(l_linenumber AS VARCHAR) AS add_to_cart_order,
-  CASE WHEN l_partkey % 61 = 0 THEN NULL WHEN l_returnflag = 'R' THEN '1' ELSE '0' END
-    AS reordered
-FROM lineitem WHERE l_orderkey % 11 <> 0 AND l_orderkey % 5 {condition} 0"""
+  CASE WHEN l_partkey % 61 = 0 THEN NULL WHEN {again} THEN '1' ELSE '0' END AS reordered
+FROM lineitem"""
 
 
 def _silver_items(source: str) -> str:
@@ -106,8 +105,8 @@ _CTES: dict[str, tuple[str, list[str]]] = {
         f" FROM part WHERE p_type <> '{NO_DEPARTMENT}'",
         [],
     ),
-    "raw_order_products_prior": (_raw_items("<>"), []),
-    "raw_order_products_train": (_raw_items("="), []),
+    "raw_order_products_prior": (_raw_items("l_returnflag = 'R'"), []),
+    "raw_order_products_train": (_raw_items("l_linestatus = 'F'"), []),
     **{f"bronze_{e}": (_bronze(e), [f"raw_{e}"]) for e in ENTITIES},
     "silver_orders_clean": (
         """

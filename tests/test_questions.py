@@ -95,6 +95,14 @@ def test_successive_products(data):
     assert rows(questions.successive_products(df), *columns) == sorted(want, key=str)
 
 
+def test_successive_products_at_the_ends_of_words(spark):
+    numbers = [-64, -63, -62, -1, 0, 1, 5, 62, 63, 64, 125, 126, 127, 200, 2147483647]
+    rows = [(n, 1, 0, 9, n, "p", 1, "a", 1, "d") for n in numbers for _ in range(2)]
+    got = questions.successive_products(spark.createDataFrame(rows, ITEMS)).collect()
+    pairs = sum(n + 1 in numbers for n in numbers)
+    assert [tuple(r) for r in got] == [(1, "p", pairs, 1)]
+
+
 def test_department_repurchase(data):
     _, items, _, df = data
     want = []
