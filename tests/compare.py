@@ -16,6 +16,15 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+_SPARK_TYPE = {
+    "INTEGER": "int",
+    "BIGINT": "bigint",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+}
+
+
 def _sort_key(row: tuple) -> tuple:
     return tuple((v is not None, str(v)) for v in row)
 
@@ -33,6 +42,9 @@ def differences(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str)
     names = [d[0] for d in cursor.description]
     if sorted(names) != columns:
         return [f"columns {columns} but expected {sorted(names)}"]
+    types = {d[0]: _SPARK_TYPE.get(str(d[1]), str(d[1])) for d in cursor.description}
+    if types != dict(df.dtypes):
+        return [f"types {df.dtypes} but expected {types}"]
     order = [names.index(c) for c in columns]
     want = sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=_sort_key)
     if len(got) != len(want):
