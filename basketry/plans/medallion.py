@@ -7,15 +7,16 @@ next layer, so a lost executor costs at most the tasks of the current table.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.contracts import ENTITIES, contract
 from basketry.functions.skew import hot_keys
+from basketry.functions.together import together
 from basketry.operators import gold, silver
 from basketry.operators.bronze import to_bronze
 from basketry.sources.raw import read_raw
@@ -145,20 +146,28 @@ def run_layer(
     batch_time: datetime | None = None,
     rfc4180: bool = False,
 ) -> list[SnapshotSummary]:
-    steps: dict[str, Callable[[], list[SnapshotSummary]]] = {
-        "bronze": lambda: [run_bronze(spark, roots, e, batch_time, rfc4180) for e in ENTITIES],
-        "silver": lambda: [
-            run_orders_clean(spark, roots, batch_time),
-            run_products_enriched(spark, roots, batch_time),
-            run_order_items(spark, roots, "prior", batch_time),
-            run_order_items(spark, roots, "train", batch_time),
-        ],
-        "gold": lambda: [
-            run_orders_by_period(spark, roots, batch_time),
-            *run_product_rankings(spark, roots, batch_time),
+    """The tables of one layer; those that do not need each other are built side by side."""
+    if layer == "bronze":
+        return together(
+            spark, [partial(run_bronze, spark, roots, e, batch_time, rfc4180) for e in ENTITIES]
+        )
+    if layer == "silver":
+        dimensions = [run_orders_clean, run_products_enriched]
+        return [
+            *together(spark, [partial(step, spark, roots, batch_time) for step in dimensions]),
+            *together(
+                spark,
+                [partial(run_order_items, spark, roots, s, batch_time) for s in ("prior", "train")],
+            ),
+        ]
+    period, rankings = together(
+        spark,
+        [
+            lambda: [run_orders_by_period(spark, roots, batch_time)],
+            lambda: run_product_rankings(spark, roots, batch_time),
         ],
-    }
-    return steps[layer]()
+    )
+    return period + rankings
 
 
 def run(

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.contracts import ENTITIES
+from basketry.contracts import ENTITIES, Entity
+from basketry.functions.together import together
 from basketry.sources import paths
 from basketry.sources.snapshots import (
     SnapshotSummary,
@@ -56,12 +59,12 @@ def land_sources(
     blanks and NULLs apart, which CSV does not.
     """
     require_sources(spark, source_dir)
-    return [
-        write_snapshot(
-            scan_csv(spark, f"{source_dir}/{e.file_name}", rfc4180), f"{raw_root}/{e.name}", label
-        )
-        for e in ENTITIES.values()
-    ]
+
+    def land(entity: Entity) -> SnapshotSummary:
+        scan = scan_csv(spark, f"{source_dir}/{entity.file_name}", rfc4180)
+        return write_snapshot(scan, f"{raw_root}/{entity.name}", label)
+
+    return together(spark, [partial(land, e) for e in ENTITIES.values()])
 
 
 def _listing(spark: SparkSession, path: str) -> DataFrame:
