@@ -60,7 +60,9 @@ def order_interval(orders: DataFrame) -> DataFrame:
             F.count(days).alias("intervals"),
         )
         .select(
-            "user_id", "order_count", ratio4(F.col("days"), F.col("intervals")).alias("avg_days_between_orders")
+            "user_id",
+            "order_count",
+            ratio4(F.col("days"), F.col("intervals")).alias("avg_days_between_orders"),
         )
     )
 

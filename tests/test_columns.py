@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +76,30 @@ def test_lenient_double(make):
     assert got == {**values, None: None}
 
 
+def test_casts_equal_a_lenient_cast_on_random_text(spark, make):
+    rng = random.Random(3)
+    pieces = ["0", "1", "7", "9", "123456789", "+", "-", ".", "e", "E", "d", "x", " ", "\t", "NaN"]
+    texts = {"".join(rng.choices(pieces, k=rng.randrange(1, 6))) for _ in range(4000)}
+    table = make("v string", *((v,) for v in texts))
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        rows = table.select(
+            "v",
+            lenient_int(F.col("v")).alias("i"),
+            F.col("v").cast("int").alias("lenient_i"),
+            lenient_double(F.col("v")).cast("string").alias("d"),
+            F.col("v").cast("double").cast("string").alias("lenient_d"),
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    lone_point = re.compile(r"\s*[+-]?[.]\s*")
+    wrong = [r for r in rows if r.i != r.lenient_i and not lone_point.fullmatch(r.v)]
+    assert wrong == []
+    assert [r for r in rows if r.d != r.lenient_d] == []
+    assert sum(r.i is not None for r in rows) > 150
+
+
 def test_ratio4(make):
     table = make("a bigint, b bigint", (1, 3), (1, 80000), (1, 0), (None, 2), (2, 3))
     got = [r.r for r in table.select(ratio4(F.col("a"), F.col("b")).alias("r")).collect()]

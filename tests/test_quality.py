@@ -104,7 +104,8 @@ def test_source_raw_counts(spark):
 
 
 def test_reports_are_appended(spark, make, tmp_path):
-    report = quality.contract_report(make("aisle_id string, aisle string", ("1", "a")), "raw", "aisles")
+    table = make("aisle_id string, aisle string", ("1", "a"))
+    report = quality.contract_report(table, "raw", "aisles")
     for label in ("a", "b"):
         quality.save_report(report, f"{tmp_path}/reports", label)
     stored = spark.read.parquet(f"{tmp_path}/reports")

@@ -5,7 +5,10 @@ import pytest
 
 from basketry.operators import questions
 
-ORDERS = "order_id int, user_id int, order_number int, days_since_prior_order double, is_first_order boolean"
+ORDERS = (
+    "order_id int, user_id int, order_number int, days_since_prior_order double, "
+    "is_first_order boolean"
+)
 ITEMS = (
     "order_id int, product_id int, reordered int, user_id int, order_number int, "
     "product_name string, aisle_id int, aisle string, department_id int, department string"
@@ -89,7 +92,8 @@ def test_successive_products(data):
     bought = {(i[1], i[3], i[4]) for i in items}
     repeats = [(p, u) for p, u, n in bought if (p, u, n + 1) in bought]
     want = [
-        (p, n, len({u for q, u in repeats if q == p})) for p, n in Counter(p for p, _ in repeats).items()
+        (p, n, len({u for q, u in repeats if q == p}))
+        for p, n in Counter(p for p, _ in repeats).items()
     ]
     columns = ["product_id", "successive_purchases", "distinct_users"]
     assert rows(questions.successive_products(df), *columns) == sorted(want, key=str)

@@ -58,7 +58,8 @@ def test_first_order(make):
 
 
 def test_eval_set_is_lowered_and_trimmed_but_not_checked(make):
-    kept = clean(make, order(1, eval_set=" PRIOR "), order(2, eval_set="Other"), order(3, eval_set=""))
+    rows = [order(1, eval_set=" PRIOR "), order(2, eval_set="Other"), order(3, eval_set="")]
+    kept = clean(make, *rows)
     assert {i: r.eval_set for i, r in kept.items()} == {1: "prior", 2: "other", 3: ""}
 
 
@@ -100,7 +101,8 @@ def test_products(make):
 
 @pytest.fixture
 def items(make):
-    orders = silver.orders_clean(make(ORDERS, order(1, user_id=4), order(2, dow=7), order(3, eval_set="train")))
+    orders = [order(1, user_id=4), order(2, dow=7), order(3, eval_set="train")]
+    orders = silver.orders_clean(make(ORDERS, *orders))
     products = enriched(
         make, [(7, "a", 1, 1, RAW_DATE), (7, "b", 1, 1, RAW_DATE), (8, "c", 1, 1, RAW_DATE)],
         [(1, "aisle")], [(1, "dep")],
@@ -121,7 +123,10 @@ def items(make):
 def test_items(items):
     same_columns(items, "order_items_prior_enriched")
     got = sorted(
-        ((r.order_id, r.product_id, r.product_name, r.aisle_id, r.user_id) for r in items.collect()),
+        (
+            (r.order_id, r.product_id, r.product_name, r.aisle_id, r.user_id)
+            for r in items.collect()
+        ),
         key=str,
     )
     assert got == [

@@ -1,8 +1,10 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from basketry.contracts import struct
-from basketry.sources import snapshots
+from basketry.sources import paths, snapshots
 from basketry.sources.snapshots import (
     latest_snapshot,
     preview,
@@ -127,3 +129,25 @@ def test_write_is_one_job(spark, tmp_path):
         assert len(tracker.getJobIdsForGroup("one-write")) == 1
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def session(spark, master, **conf):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: conf.get(key.split(".")[1], default)),
+        sparkContext=SimpleNamespace(master=master),
+        _jvm=spark._jvm,
+        _jsc=spark._jsc,
+    )
+
+
+def test_work_folder_is_the_shared_one(spark, tmp_path):
+    cluster = session(spark, "yarn", checkpoint=f"{tmp_path}/shared/")
+    one, two = (paths.work_folder(cluster, "x") for _ in range(2))
+    assert one != two
+    assert all(f.startswith(f"{tmp_path}/shared/x-") and paths.exists(spark, f) for f in (one, two))
+
+
+def test_a_cluster_must_name_the_shared_folder(spark):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        paths.work_folder(session(spark, "yarn"), "x")
+    assert paths.exists(spark, paths.work_folder(session(spark, "local[4]"), "x"))
