@@ -8,12 +8,18 @@ from run to run and are dropped.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from functools import partial
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The file may be loaded by its path, from any directory.
+if str(Path(__file__).parent) not in sys.path:
+    sys.path.insert(0, str(Path(__file__).parent))
+
 import oracle_queries
 from basketry.contracts import AUDIT_COLUMNS, ENTITIES, LAYERS
 from basketry.functions.skew import hot_keys
