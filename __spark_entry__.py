@@ -28,6 +28,15 @@ from basketry.operators.bronze import to_bronze
 from basketry.plans import driver_tables, medallion, stored
 from basketry.sources import paths, raw, snapshots
 
+# The operators on training text are a part of their own; the rest works without them.
+try:
+    import corpus_pipeline
+    from basketry.llm import queries as llm_queries
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith(("corpus_pipeline", "basketry.llm")):
+        raise
+    corpus_pipeline = llm_queries = None
+
 LABEL = stored.LABEL
 OLD_LABEL = oracle_queries.OLD_LABEL
 
@@ -233,8 +242,16 @@ def queries() -> dict[str, Query]:
     }
     for name, (ask, table) in _QUESTIONS.items():
         out[name] = partial(_question, ask=ask, table=table)
+    if llm_queries:
+        out |= llm_queries.queries()
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    out = oracle_queries.oracle_sql()
+    if llm_queries:
+        out |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
