@@ -5,10 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import embeddings, language_id, packing, simhash, url_rules
+from basketry.llm import (
+    ctw,
+    decontaminate,
+    embeddings,
+    language_id,
+    licenses,
+    line_dedup,
+    packing,
+    pii,
+    simhash,
+    url_rules,
+)
 from basketry.llm.tables import held_out, read
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "row.doc_id", F.size("removed").alias("n_removed"), "removed", "partners",
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents"))
+
+    def listed(spans: str):
+        named = F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string")))
+        return F.array_join(named, ",")
+
+    counts = [
+        F.size(F.filter("base", lambda x, kind=kind: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    digest = F.sha2(listed("base").cast("binary"), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), listed("spans").alias("spans"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return ctw.score(docs.withColumn("held_out", held_out(F.col("doc_id"), 10, 0)))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held", held_out(F.col("doc_id"), 4, 2))
@@ -25,6 +68,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), keep={"ids_crc32": F.crc32("ids")})
 
@@ -49,8 +96,13 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_line_dedup": op1_line_dedup,
+        "op2_pii": op2_pii,
+        "op3_decontamination": op3_decontamination,
+        "op4_context_tree": op4_context_tree,
         "op5_language_id": op5_language_id,
         "op6_simhash": op6_simhash,
+        "op7_licenses": op7_licenses,
         "op8_packing": op8_packing,
         "op9_url_rules": op9_url_rules,
         "op10_embeddings": op10_embeddings,
