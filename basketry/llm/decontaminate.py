@@ -52,7 +52,7 @@ def _key(text: Column) -> Column:
 
 def _hashes(words: str) -> Column:
     """The shingles' hashes, in order."""
-    return F.transform(_zipped(words), lambda x: F.xxhash64(*[x[str(i)] for i in range(WORDS)]))
+    return F.transform(_zipped(words), lambda x: F.xxhash64(*[x[f"w{i}"] for i in range(WORDS)]))
 
 
 def simhash(hashes: Column) -> Column:
@@ -107,7 +107,7 @@ def windows_of(docs: DataFrame, items: DataFrame, text: str = "text", similarity
     texts = columns(docs, text=text).where("text is not null and text <> ''")
     split = _texts(texts)
     at = split.select("key", F.posexplode(_zipped("words")).alias("at", "w"))
-    at = at.select("key", "at", F.xxhash64(*[F.col("w")[str(i)] for i in range(WORDS)]).alias("h"))
+    at = at.select("key", "at", F.xxhash64(*[F.col("w")[f"w{i}"] for i in range(WORDS)]).alias("h"))
     # Copies of a text bring equal hits, which count once.
     hits = at.join(known, "h").select("key", "n", "at").distinct()
     least = F.ceil(F.col("n") * similarity - 1e-9)

@@ -125,10 +125,13 @@ def _core(token: Column) -> Column:
 
 
 def _looks_like_identifier(core: Column) -> Column:
-    """Has a digit or an at sign, at least five characters, and is nothing that a given expression judges."""
-    shape = (F.length(core) >= 5) & core.rlike("[0-9@]")
-    for expression in KINDS.values():
-        shape = shape & ~core.rlike(expression)
+    """Has a digit or an at sign, at least five characters, and is nothing that was judged before.
+
+    What a given expression matches was found or rejected there; so was a number of ten digits or more.
+    """
+    shape = (F.length(core) >= 5) & core.rlike("[0-9@]") & ~core.rlike("[0-9](?:-?[0-9]){9}")
+    for kind in ("email", "ip", "phone"):
+        shape = shape & ~core.rlike(KINDS[kind])
     return shape
 
 
@@ -155,7 +158,7 @@ def _followers(docs: DataFrame, contexts: DataFrame) -> DataFrame:
     n = F.greatest(F.size("t") - 2, F.lit(0))
     in_a_row = F.arrays_zip(F.slice("t", 1, n).alias("x"), F.slice("t", 2, n).alias("y"), F.slice("t", 3, n).alias("z"))
     rows = tokens.select("key", F.posexplode(in_a_row).alias("at", "w"))
-    rows = rows.select("key", (F.col("at") + 2).alias("at"), F.xxhash64("w.0", "w.1").alias("h"), F.col("w.2").alias("token"))
+    rows = rows.select("key", (F.col("at") + 2).alias("at"), F.xxhash64("w.x", "w.y").alias("h"), F.col("w.z").alias("token"))
     parts = F.split("context", " ")
     hashed = contexts.withColumn("h", F.xxhash64(parts[0], parts[1]))
     found = rows.join(hashed, "h")
@@ -219,7 +222,7 @@ def discovered(docs: DataFrame, given: DataFrame, text: str = "text", support: i
     placed = hits.join(texts.groupBy("key").agg(F.min("text").alias("text")), "key")
     # The tokens before are taken whole, one after the other, so that a long text needs no recursion.
     lead = F.concat(F.lit(r"^(?:[ \t\n\x0B\f\r]*+[^ \t\n\x0B\f\r]++){"), F.col("at").cast("string"), F.lit(r"}+[ \t\n\x0B\f\r]*+"))
-    begin = F.length(F.regexp_extract("text", lead, 0))
+    begin = F.length(F.call_function("regexp_extract", F.col("text"), lead, F.lit(0)))
     token = F.regexp_extract(F.expr("substr(text, begin + 1)"), r"^[^ \t\n\x0B\f\r]++", 0)
     marks = F.length(F.regexp_extract("token", r"^[^\p{L}\p{N}+]*", 0))
     spans = placed.withColumn("begin", begin).withColumn("token", token).select(

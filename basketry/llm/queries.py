@@ -35,10 +35,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         named = F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string")))
         return F.array_join(named, ",")
 
-    counts = [
-        F.size(F.filter("base", lambda x, kind=kind: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
-        for kind in pii.KINDS
-    ]
+    def number(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in pii.KINDS]
     digest = F.sha2(listed("base").cast("binary"), 256)
     return found.select("doc_id", *counts, digest.alias("base_sha256"), listed("spans").alias("spans"))
 
