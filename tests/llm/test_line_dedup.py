@@ -1,0 +1,76 @@
+from basketry.llm import line_dedup
+from basketry.llm.patience import align, longest_increasing
+from basketry.llm.queries import op1_line_dedup
+
+from .conftest import prose
+
+SF = "/root/testdata/sf0.01"
+
+
+def kept(spark, *texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r[0] for r in line_dedup.dedup(docs).orderBy("row.doc_id").select("kept_text").collect()]
+
+
+def test_longest_increasing():
+    assert longest_increasing([]) == []
+    values = [5, 1, 4, 2, 3, 9, 0]
+    assert [values[i] for i in longest_increasing(values)] == [1, 2, 3, 9]
+
+
+def test_alignment_is_patient():
+    a, b = list("abcdxefg"), list("abyydxezg")
+    pairs = align(a, b)
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert "".join(a[i] for i, _ in pairs) == "abdxeg"
+    assert align("", "abc") == [] and len(align("xyxy", "xyxy")) == 4
+
+
+def test_later_documents_lose_common_blocks(spark):
+    passage = prose(5, 60)
+    first = f"{prose(1, 20)}\n{passage}\n{prose(2, 20)}"
+    second = f"{prose(3, 20)}\n\n  {passage}  \n{prose(4, 20)}"
+    assert kept(spark, first, second) == [first, f"{prose(3, 20)}\n\n{prose(4, 20)}"]
+
+
+def test_short_blocks_stay_and_short_lines_of_a_long_block_go(spark):
+    lines = [prose(i, 5) for i in range(20, 24)]
+    first = "\n".join([prose(1, 20), *lines])
+    alone = f"{prose(2, 20)}\n{lines[0]}\n{prose(3, 20)}"
+    block = "\n".join([prose(4, 20), *lines])
+    assert kept(spark, first, alone, block) == [first, alone, prose(4, 20)]
+
+
+def test_lines_of_many_documents_meet_the_first(spark):
+    passage = prose(5, 60)
+    texts = [f"{prose(100 + i, 12)}\n{passage}" for i in range(3 * line_dedup.RARE)]
+    assert kept(spark, *texts) == [texts[0], *(prose(100 + i, 12) for i in range(1, len(texts)))]
+
+
+def test_registered_query_by_brute_force(spark):
+    """No document loses a line that no earlier one has, and none keeps a long line of an earlier one."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    first = {}
+    for key in sorted(docs):
+        for line in docs[key].split("\n"):
+            first.setdefault(line.strip(" \t\r\x0b\x0c"), key)
+    got = {r["doc_id"]: r for r in op1_line_dedup(spark, SF).collect()}
+    assert got.keys() == docs.keys() and sum(len(r["removed"]) for r in got.values()) > 100
+    for key, row in got.items():
+        lines = [x.strip(" \t\r\x0b\x0c") for x in docs[key].split("\n")]
+        assert all(first[lines[i]] < key for i in row["removed"])
+        assert row["n_removed"] == len(set(row["removed"]))
+        left = [x for i, x in enumerate(lines) if i not in row["removed"]]
+        assert all(first[x] == key for x in left if len(x.split()) >= 50)
+
+
+def test_hard_rows(hard_docs, hard_rows):
+    got = line_dedup.dedup(hard_docs)
+    assert got.count() == len(hard_rows) and got.select("row.*").columns == hard_docs.columns
+    of = {r["row"]["doc_id"]: r["kept_text"] for r in got.where("row.doc_id is not null").collect()}
+    assert of[1] == prose(1, 80) and of[2] == "" and of[5] is None and of[4] == "" and of[6] == " \n\t "
+    assert of[11] == prose(11, 40) and len(of[7]) > 100_000
+
+
+def test_nothing(no_docs):
+    assert line_dedup.dedup(no_docs).count() == 0

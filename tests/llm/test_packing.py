@@ -1,0 +1,96 @@
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+from tokenizers import Tokenizer
+
+from basketry.llm import packing
+from basketry.llm.queries import op8_packing
+
+SF = "/root/testdata/sf0.001"
+
+
+def own_ids(texts):
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    tokenizer.encode_special_tokens = True
+    return [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+
+
+def check_packed(rows, docs, capacity=2048):
+    """Pieces cover every document, sequences are gapless and no longer than the capacity."""
+    for ids in docs:
+        assert ids
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_registered_query_round_trip(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    ids = dict(zip([d.doc_id for d in docs], own_ids([d.text for d in docs]), strict=True))
+    rows = [r.asDict() for r in op8_packing(spark, SF).collect()]
+    pieces = {}
+    for r in rows:
+        piece = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4").tobytes()
+        assert r["ids_crc32"] == zlib.crc32(piece) and r["doc_tokens"] == len(ids[r["doc_id"]])
+        pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+    for key, parts in pieces.items():
+        at = 0
+        for start, length in sorted(parts):
+            assert start == at
+            at += length
+        assert at == len(ids[key])
+    assert len(pieces) == len(docs)
+    n = check_packed(rows, ids.values())
+    assert sum(map(len, ids.values())) > 0.95 * n * 2048
+
+
+def test_ids_equal_the_other_library_on_odd_text():
+    draw = random.Random(2)
+    ranges = [(32, 127), (0, 0x300), (0x300, 0xD800), (0xE000, 0x20000)]
+    odd = [9, 10, 13, 32, 0x85, 0xA0, 0x1680, 0x3000, 0x1F600]
+
+    def character():
+        low, high = draw.choice(ranges)
+        return chr(draw.choice([draw.randrange(low, high), draw.choice(odd)]))
+
+    texts = ["".join(character() for _ in range(draw.choice([1, 9, 60]))) for _ in range(400)]
+    texts += ["", "<|endoftext|> x", "x" * 9000, " " * 900, "don't  we'll\n\n "]
+    encoding = packing.encoder(packing.default_tokenizer())
+    assert [encoding.encode_ordinary(t) + [1] for t in texts] == own_ids(texts)
+
+
+def test_placing_every_length_once():
+    draw = random.Random(6)
+    for _ in range(60):
+        histogram = Counter(draw.randint(1, 64) for _ in range(draw.randint(0, 400)))
+        heights, ranks = {}, Counter()
+        for length, rank, count, first, offset in packing.place(histogram, 64):
+            assert rank == ranks[length]
+            ranks[length] += count
+            for s in range(first, first + count):
+                assert heights.get(s, 0) == offset
+                heights[s] = offset + length
+        assert ranks == histogram and all(h <= 64 for h in heights.values())
+
+
+def test_hard_rows(hard_docs, hard_rows):
+    rows = [r.asDict() for r in packing.pack(hard_docs).collect()]
+    want = Counter()
+    for (key, *_), ids in zip(hard_rows, own_ids([r[1] for r in hard_rows]), strict=True):
+        for start in range(0, len(ids), 2048):
+            want[key, start, np.array(ids[start : start + 2048], "<u4").tobytes()] += 1
+    assert Counter((r["doc_id"], r["start"], bytes(r["ids"])) for r in rows) == want
+    check_packed(rows, [])
+
+
+def test_nothing(no_docs):
+    assert packing.pack(no_docs).count() == 0
