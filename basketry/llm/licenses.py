@@ -9,6 +9,7 @@ twice the template's length that holds fewer than the coverage asks for can't re
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -107,20 +108,36 @@ class Scanner:
                 found += self._notices(ids, begin, end, license_id, wording, template, least, width)
         return found
 
+    def _best(self, ids: np.ndarray, starts: list[int], limit: int, end: int, template: list[int]) -> tuple[int, int, int]:
+        """(aligned words, minus the stretch's length, its start) of the best window at these starts.
+
+        The stretch itself starts before ``limit``, or the notice after this one would win over it.
+
+        A short window comes nearer to a whole notice, a long one takes in words that were put into it.
+        """
+        best = (0, 0, 0)
+        for start in starts:
+            for width in (len(template), STRETCH * len(template)):
+                aligned = align(template, ids[start : min(start + width, end)].tolist())
+                if aligned and start + aligned[0][1] < limit:
+                    first, last = aligned[0][1], aligned[-1][1] + 1
+                    best = max(best, (len(aligned), first - last, start + first))
+        return best
+
     def _notices(self, ids, begin, end, license_id, wording, template, least, width):
         """The stretch is searched window by window, since a word is seldom unique in a long one."""
-        at = begin
-        while at < end:
-            window = ids[at : min(at + width, end)].tolist()
-            aligned = align(template, window)
-            if len(aligned) >= least:
-                first, last = at + aligned[0][1], at + aligned[-1][1] + 1
-                yield license_id, wording, len(aligned) / len(template), first, last
-                at = last
+        hits = (begin + np.flatnonzero(np.isin(ids[begin:end], template))).tolist()
+        at = 0
+        while at < len(hits):
+            n, minus, first = self._best(ids, [hits[at]], end, end, template)
+            if n >= least:
+                limit = first + max(1, len(template) // 2)
+                near = hits[at : bisect_left(hits, limit)]
+                n, minus, first = self._best(ids, near, limit, end, template)
+                yield license_id, wording, n / len(template), first, first - minus
+                at = bisect_left(hits, first - minus)
             else:
                 at += 1
-                while at < end and ids[at] != template[0] and ids[at] not in template:
-                    at += 1
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: dict[str, list[str]] | None = None, coverage: float = COVERAGE) -> DataFrame:
