@@ -22,7 +22,7 @@ if str(Path(__file__).parent) not in sys.path:
 
 import oracle_queries
 from basketry.contracts import AUDIT_COLUMNS, ENTITIES, LAYERS
-from basketry.functions.skew import hot_keys
+from basketry.functions.skew import hot_keys, uneven_share
 from basketry.operators import gold, quality, questions, silver
 from basketry.operators.bronze import to_bronze
 from basketry.plans import driver_tables, medallion, stored
@@ -65,7 +65,7 @@ def _gold(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     if table == "orders_by_period":
         return gold.orders_by_period(stored.silver_table(spark, sf_dir, "orders_clean"))
     items = stored.silver_table(spark, sf_dir, "order_items_prior_enriched")
-    hot_users = hot_keys(items, "user_id")["user_id"]
+    hot_users = hot_keys(items, "user_id", share=uneven_share(spark))["user_id"]
     build = {"top_products": gold.top_products, "repurchase_metrics": gold.repurchase_metrics}
     return build[table](items, place_by_user=not hot_users)
 
@@ -78,44 +78,62 @@ def _table(spark: SparkSession, sf_dir: str, layer: str, table: str) -> DataFram
 
 
 def _contract_report(spark: SparkSession, sf_dir: str, layer: str, table: str) -> DataFrame:
-    df = _LAYER_TABLE[layer](spark, sf_dir, table)
-    return quality.contract_report(df, layer, table)
-
-
-# Sources and snapshots: write the whole raw tables to a shared folder, run the
-# operator on the files and return what it gives.
+    """Reports on the stored table and on two stored copies that break its contract."""
+    snapshots_of = {
+        "stored": stored.stored_as_is(spark, sf_dir, layer, table),
+        **stored.damaged(spark, sf_dir, layer, table),
+    }
+    return quality.union_reports(
+        [
+            quality.contract_report(df, layer, table).select(F.lit(name).alias("snapshot"), "*")
+            for name, df in snapshots_of.items()
+        ]
+    )
 
 
-def _source_folder(spark: SparkSession, sf_dir: str, *entities: str) -> str:
-    folder = paths.work_folder(spark, "source")
-    driver_tables.write_source_files(spark, sf_dir, folder, *entities)
-    return folder
+def dq_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.union_reports([_contract_report(spark, sf_dir, "raw", e) for e in ENTITIES])
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, medallion.Roots]:
-    source = _source_folder(spark, sf_dir)
-    roots = medallion.Roots.under(paths.work_folder(spark, "tables"))
-    raw.land_sources(spark, source, roots.raw, LABEL)
-    return source, roots
+# Sources and snapshots: run the operator on the stored files and return what it gives.
 
 
 def src_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.source_manifest(spark, _source_folder(spark, sf_dir))
+    """Of the whole sources and of a folder that lacks all but the two smallest."""
+    whole = stored.sources(spark, sf_dir)
+    few = partial(driver_tables.write_source_files, spark, sf_dir)
+    part = stored.folder(spark, sf_dir, "some", lambda at: few(at, "aisles", "departments"))
+    return raw.source_manifest(spark, whole).withColumn("folder", F.lit("whole")).unionByName(
+        raw.source_manifest(spark, part).withColumn("folder", F.lit("part"))
+    )
 
 
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, roots = _landed(spark, sf_dir)
-    return raw.read_raw(spark, roots.raw, "orders")[0].drop(*AUDIT_COLUMNS)
+    """The rows of all six entities, each with the columns of its own."""
+    tables = [
+        stored.raw_table(spark, sf_dir, e).drop(*AUDIT_COLUMNS).withColumn("entity", F.lit(e))
+        for e in ENTITIES
+    ]
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table, allowMissingColumns=True)
+    return out
 
 
 def raw_landing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, roots = _landed(spark, sf_dir)
-    return raw.landing_summary(spark, roots.raw, LABEL)
+    """Whether each entity has files and whether their sizes are what the file system says."""
+    root = stored.raw_root(spark, sf_dir)
+    listed = [(e, paths.total_size(spark, f"{root}/{e}/{stored.SNAPSHOT}")) for e in ENTITIES]
+    listed = spark.createDataFrame(listed, "entity string, listed bigint")
+    return raw.landing_summary(spark, root, LABEL).join(listed, "entity").select(
+        "entity",
+        (F.col("files") > 0).alias("has_files"),
+        (F.col("bytes") == F.col("listed")).alias("bytes_agree"),
+    )
 
 
 def _scan_csv(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    folder = _source_folder(spark, sf_dir, entity)
-    scan = raw.scan_csv(spark, f"{folder}/{ENTITIES[entity].file_name}")
+    scan = raw.scan_csv(spark, f"{stored.sources(spark, sf_dir)}/{ENTITIES[entity].file_name}")
     return scan.select(*ENTITIES[entity].columns)
 
 
@@ -127,9 +145,12 @@ def scan_parquet_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_product_snapshots(spark: SparkSession, sf_dir: str) -> str:
+    """An older snapshot of the products with an aisle only, a newer one of all."""
     root = f"{paths.work_folder(spark, 'bronze')}/products"
     for label in (OLD_LABEL, LABEL):
-        snapshots.write_snapshot(_bronze(spark, sf_dir, "products", label), root, label)
+        table = _bronze(spark, sf_dir, "products", label)
+        some = table if label == LABEL else table.where(F.col("aisle_id") < 30)
+        snapshots.write_snapshot(some, root, label)
     return root
 
 
@@ -151,8 +172,9 @@ def snapshot_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _two_product_snapshots(spark, sf_dir)
-    # A second load of the newer snapshot replaces it and leaves the older one.
-    snapshots.write_snapshot(_bronze(spark, sf_dir, "products", LABEL), root, LABEL)
+    # A second load of the newer snapshot replaces it by other rows and leaves the older one.
+    again = _bronze(spark, sf_dir, "products", LABEL).where(F.col("department_id") <= 3)
+    snapshots.write_snapshot(again, root, LABEL)
     both = [
         snapshots.read_snapshot(spark, root, label).withColumn("ingestion_date", F.lit(label))
         for label in (OLD_LABEL, LABEL)
@@ -168,27 +190,51 @@ def snapshot_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.summary_frame(spark, written)
 
 
-def end_to_end_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV sources through every layer, table by table."""
-    _, roots = _landed(spark, sf_dir)
-    medallion.run(spark, roots)
-    ranking = snapshots.read_snapshot(spark, roots.table("gold", "top_products"))
-    return ranking.drop(*AUDIT_COLUMNS)
+def _end_to_end(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """CSV sources through every layer, table by table; one run serves all three gold tables."""
+
+    def fill(at: str) -> None:
+        run = medallion.Roots.under(at)
+        raw.land_sources(spark, stored.sources(spark, sf_dir), run.raw, LABEL)
+        medallion.run(spark, run)
+
+    at = medallion.Roots.under(stored.folder(spark, sf_dir, "end-to-end", fill))
+    return snapshots.read_snapshot(spark, at.table("gold", table)).drop(*AUDIT_COLUMNS)
 
 
 def dq_source_raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, roots = _landed(spark, sf_dir)
-    return quality.source_raw_counts(
-        {e.name: raw.scan_csv(spark, f"{source}/{e.file_name}") for e in ENTITIES.values()},
-        {e: raw.read_raw(spark, roots.raw, e)[0] for e in ENTITIES},
+    """For the raw layer, and for a copy of it that lacks a line of the departments."""
+    source, root = stored.sources(spark, sf_dir), stored.raw_root(spark, sf_dir)
+
+    def fill(at: str) -> None:
+        lines = raw.landed_lines(spark, root, "departments", LABEL)[0]
+        lowest = lines.agg(F.min("line")).scalar()  # a row, since headers sort after digits
+        snapshots.write_snapshot(lines.where(F.col("line") != lowest), f"{at}/departments", LABEL)
+
+    short = stored.folder(spark, sf_dir, "short", fill)
+    records = {e.name: quality.source_records(spark, f"{source}/{e.file_name}") for e in ENTITIES.values()}
+    whole = {e: raw.read_raw(spark, root, e)[0] for e in ENTITIES}
+    reports = {
+        "whole": quality.source_raw_counts(records, whole),
+        "short": quality.source_raw_counts(
+            records, whole | {"departments": raw.read_raw(spark, short, "departments")[0]}
+        ),
+    }
+    return quality.union_reports(
+        [report.withColumn("landing", F.lit(name)) for name, report in reports.items()]
     )
 
 
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = paths.work_folder(spark, "reports")
-    for e in ENTITIES:
-        quality.save_report(_contract_report(spark, sf_dir, "bronze", e), folder, LABEL)
-    return spark.read.parquet(folder)
+    """The reports of every table of all layers, stored in one write and read again."""
+    path = f"{paths.work_folder(spark, 'reports')}/all"
+    reports = [
+        quality.contract_report(stored.stored_as_is(spark, sf_dir, layer, t), layer, t)
+        for layer, tables in LAYERS.items()
+        for t in tables
+    ]
+    quality.save_report(quality.union_reports(reports), path, LABEL)
+    return spark.read.parquet(path)
 
 
 def _question(spark: SparkSession, sf_dir: str, ask: Callable, table: str) -> DataFrame:
@@ -219,7 +265,7 @@ def queries() -> dict[str, Query]:
     for layer in ("bronze", "silver", "gold"):
         for t in LAYERS[layer]:
             out[f"{layer}_{t}"] = partial(_table, layer=layer, table=t)
-    out["dq_raw"] = lambda spark, sf_dir: quality.raw_report(stored.all_raw(spark, sf_dir))
+    out["dq_raw"] = dq_raw
     for layer in ("bronze", "silver", "gold"):
         for t in LAYERS[layer]:
             out[f"dq_{layer}_{t}"] = partial(_contract_report, layer=layer, table=t)
@@ -233,7 +279,7 @@ def queries() -> dict[str, Query]:
         "snapshot_label": snapshot_label,
         "snapshot_overwrite": snapshot_overwrite,
         "snapshot_summary": snapshot_summary,
-        "end_to_end_top_products": end_to_end_top_products,
+        **{f"end_to_end_{t}": partial(_end_to_end, table=t) for t in LAYERS["gold"]},
         "dq_key_duplicates": lambda s, d: quality.key_duplicates(stored.all_bronze(s, d)),
         "dq_type_conformance": lambda s, d: quality.type_conformance(stored.all_raw(s, d)),
         "dq_source_raw_counts": dq_source_raw_counts,

@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: What one key may weigh in the task it is placed in, in mean tasks.
+UNEVEN = 2
+#: A sketch tracks twenty values for each of this many shares, and Spark allows a million.
+_MOST_SHARES = 50_000
+
+
+def uneven_share(spark: SparkSession) -> float:
+    """The share of all rows that ``UNEVEN`` tasks of a shuffle hold on average.
+
+    It follows the number of shuffle partitions: a key with a smaller share may be placed in one
+    task at any size of data and cluster. Beyond 100,000 partitions it stays where it is there.
+    """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(1.0, max(UNEVEN / tasks, 1 / _MOST_SHARES))
+
 
 def hot_keys(df: DataFrame, *columns: str, share: float = 0.001) -> dict[str, list[int]]:
     """Per integer column, the values that hold more than ``share`` of its rows.

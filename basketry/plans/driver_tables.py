@@ -2,19 +2,19 @@
 
 Everything is text, as if read from CSV, with dirt placed by key arithmetic: ids
 in blanks, junk, decimals, values out of range, copies, empty rows, unknown
-products and missing dimension rows. Each table is one scan without a window or
-a shuffle, but for the two small dimensions, which are distinct values of `part`.
+products and missing dimension rows. Each table is one scan without a shuffle, but
+for the two small dimensions, which are distinct values of `part`, and for the numbers
+of a customer's orders.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from basketry.contracts import ENTITIES
 
-DAY_ONE = "1995-01-01"
-
 # Department ids by product type. STANDARD has an id but no department row.
 DEPARTMENT_IDS = {
     "ECONOMY": 1,
@@ -47,10 +47,32 @@ def _text(value: Column) -> Column:
     return value.cast("string")
 
 
+def _numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their number 1..n within the customer and the days since the one before.
+
+    Numbers are made of the orders on earlier days, counted for each customer and day, and of the
+    place within the day, so that no task gets all orders of a customer.
+    """
+    orders = _table(spark, sf_dir, "orders")
+    day = ["o_custkey", "o_orderdate"]
+    earlier = Window.partitionBy("o_custkey").orderBy("o_orderdate")
+    days = orders.groupBy(*day).agg(F.count(F.lit(1)).alias("n"))
+    days = days.select(
+        *day,
+        (F.sum("n").over(earlier) - F.col("n")).alias("before"),
+        F.date_diff("o_orderdate", F.lag("o_orderdate").over(earlier)).alias("gap"),
+    )
+    place = F.row_number().over(Window.partitionBy(*day).orderBy("o_orderkey"))
+    return orders.withColumn("place", place).join(days, day).select(
+        *orders.columns,
+        (F.col("before") + F.col("place")).alias("number"),
+        F.when(F.col("place") > 1, 0).otherwise(F.col("gap")).alias("days"),
+    )
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
-    age = F.date_diff(F.to_date("o_orderdate"), F.to_date(F.lit(DAY_ONE)))
-    number = _text(F.floor(age / 90) + 1)
+    number = _text(F.col("number"))
 
     def every(n: int) -> Column:
         return key % n == 0
@@ -68,7 +90,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_text(key % 24)),
         "days_since_prior_order": F.when(every(13), F.lit(None))
         .when(every(107), "abc")
-        .otherwise(F.concat(_text(age % 31), F.lit(".0"))),
+        .otherwise(F.concat(_text(F.col("days")), F.lit(".0"))),
     }
     order = F.struct(*(c.alias(n) for n, c in columns.items()))
     empty = F.struct(*(F.lit(None).cast("string").alias(n) for n in columns))
@@ -77,7 +99,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_repeat(order, F.when(every(103), 2).otherwise(1)),
         F.array_repeat(empty, F.when(every(499), 1).otherwise(0)),
     )
-    return _table(spark, sf_dir, "orders").select(F.inline(rows))
+    return _numbered_orders(spark, sf_dir).select(F.inline(rows))
 
 
 def _department_id() -> Column:
@@ -90,9 +112,12 @@ def _aisle_id() -> Column:
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every_17 = F.col("p_partkey") % 17 == 0
     return _table(spark, sf_dir, "part").select(
         F.concat(F.lit(" "), _text(F.col("p_partkey"))).alias("product_id"),
-        F.concat("p_name", F.lit(" ")).alias("product_name"),
+        F.concat("p_name", F.when(every_17, ', "large"').otherwise(""), F.lit(" ")).alias(
+            "product_name"
+        ),
         _aisle_id().alias("aisle_id"),
         _department_id().alias("department_id"),
     )
@@ -140,13 +165,25 @@ RAW_TABLES = {
 }
 
 
+def write_csv(table: DataFrame, path: str) -> None:
+    """A CSV source in the default dialect, blanks kept: a directory of parts with a header each."""
+    (
+        table.write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 def write_source_files(spark: SparkSession, sf_dir: str, folder: str, *entities: str) -> None:
-    """Write raw tables as CSV sources, blanks kept, one directory of parts per file."""
+    """Write raw tables as CSV sources."""
     for name in entities or RAW_TABLES:
-        (
-            RAW_TABLES[name](spark, sf_dir)
-            .write.option("header", True)
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .csv(f"{folder}/{ENTITIES[name].file_name}")
-        )
+        write_csv(RAW_TABLES[name](spark, sf_dir), f"{folder}/{ENTITIES[name].file_name}")
+
+
+def damaged(table: DataFrame, contract: StructType) -> DataFrame:
+    """The table without its first column, with one too many, the second of another type."""
+    first, second = contract.fieldNames()[:2]
+    other = "int" if contract[second].dataType.simpleString() == "bigint" else "bigint"
+    broken = F.length(F.col(second).cast("string")).cast(other)
+    return table.drop(first).withColumn(second, broken).withColumn("surplus", F.lit("x"))

@@ -15,11 +15,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.contracts import ENTITIES, contract
-from basketry.functions.skew import hot_keys
+from basketry.functions.skew import hot_keys, uneven_share
 from basketry.functions.together import together
 from basketry.operators import gold, silver
 from basketry.operators.bronze import to_bronze
-from basketry.sources.raw import read_raw
+from basketry.sources.raw import DEFAULT, Dialect, read_raw
 from basketry.sources.snapshots import (
     SnapshotSummary,
     latest_snapshot,
@@ -59,9 +59,9 @@ def run_bronze(
     roots: Roots,
     entity: str,
     batch_time: datetime | None = None,
-    rfc4180: bool = False,
+    dialect: Dialect = DEFAULT,
 ) -> SnapshotSummary:
-    raw, label = read_raw(spark, roots.raw, entity, rfc4180=rfc4180)
+    raw, label = read_raw(spark, roots.raw, entity, dialect=dialect)
     return write_snapshot(
         to_bronze(raw, entity, label, batch_time), roots.table("bronze", entity), label
     )
@@ -125,7 +125,7 @@ def run_product_rankings(
     is computed again.
     """
     items, label = _read(spark, roots, "silver", "order_items_prior_enriched")
-    hot_users = hot_keys(items, "user_id")["user_id"]
+    hot_users = hot_keys(items, "user_id", share=uneven_share(spark))["user_id"]
     measures = gold.product_measures(items, place_by_user=not hot_users)
     measures.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -144,12 +144,12 @@ def run_layer(
     roots: Roots,
     layer: str,
     batch_time: datetime | None = None,
-    rfc4180: bool = False,
+    dialect: Dialect = DEFAULT,
 ) -> list[SnapshotSummary]:
     """The tables of one layer; those that do not need each other are built side by side."""
     if layer == "bronze":
         return together(
-            spark, [partial(run_bronze, spark, roots, e, batch_time, rfc4180) for e in ENTITIES]
+            spark, [partial(run_bronze, spark, roots, e, batch_time, dialect) for e in ENTITIES]
         )
     if layer == "silver":
         dimensions = [run_orders_clean, run_products_enriched]
@@ -175,8 +175,8 @@ def run(
     roots: Roots,
     upto: str = "gold",
     batch_time: datetime | None = None,
-    rfc4180: bool = False,
+    dialect: Dialect = DEFAULT,
 ) -> list[SnapshotSummary]:
     """All layers up to ``upto``, from landed raw snapshots."""
     wanted = LAYER_ORDER[: LAYER_ORDER.index(upto) + 1]
-    return [s for layer in wanted for s in run_layer(spark, roots, layer, batch_time, rfc4180)]
+    return [s for layer in wanted for s in run_layer(spark, roots, layer, batch_time, dialect)]

@@ -8,6 +8,7 @@ built with ``medallion`` from the driver tables, in the shared work folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,28 +18,52 @@ from basketry.sources import paths, raw
 from basketry.sources.snapshots import read_snapshot, snapshot_path, write_snapshot
 
 LABEL = "2026-04-02"
+SNAPSHOT = f"ingestion_date={LABEL}"
 
 _BASES: dict[tuple[str, str], str] = {}
 
 
-def roots(spark: SparkSession, sf_dir: str) -> medallion.Roots:
+def _base(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BASES or not paths.exists(spark, _BASES[key]):
         _BASES[key] = paths.work_folder(spark, "layers")
-    return medallion.Roots.under(_BASES[key])
+    return _BASES[key]
+
+
+def roots(spark: SparkSession, sf_dir: str) -> medallion.Roots:
+    return medallion.Roots.under(_base(spark, sf_dir))
+
+
+def folder(spark: SparkSession, sf_dir: str, name: str, fill: Callable[[str], None]) -> str:
+    """A folder of that name beside the layers, filled once per application."""
+    at = f"{_base(spark, sf_dir)}/{name}"
+    if not paths.exists(spark, f"{at}/_filled"):
+        fill(at)
+        spark.range(0).write.mode("overwrite").parquet(f"{at}/_filled")
+    return at
+
+
+def sources(spark: SparkSession, sf_dir: str) -> str:
+    """The six CSV sources."""
+    write = partial(driver_tables.write_source_files, spark, sf_dir)
+    return folder(spark, sf_dir, "source", write)
 
 
 def _missing(spark: SparkSession, root: str) -> bool:
     return not paths.exists(spark, snapshot_path(root, LABEL))
 
 
+def raw_root(spark: SparkSession, sf_dir: str) -> str:
+    """The raw layer, landed from the sources."""
+    at = roots(spark, sf_dir)
+    if any(_missing(spark, at.table("raw", e)) for e in ENTITIES):
+        raw.land_sources(spark, sources(spark, sf_dir), at.raw, LABEL)
+    return at.raw
+
+
 def raw_table(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """A landed raw table, with the file each row came from."""
-    at = roots(spark, sf_dir)
-    if _missing(spark, at.table("raw", entity)):
-        table = driver_tables.RAW_TABLES[entity](spark, sf_dir)
-        write_snapshot(table, at.table("raw", entity), LABEL)
-    return raw.read_raw(spark, at.raw, entity, LABEL)[0]
+    return raw.read_raw(spark, raw_root(spark, sf_dir), entity, LABEL)[0]
 
 
 def bronze_table(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -87,6 +112,43 @@ _BUILD = {
 }
 
 
+def gold_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    at = roots(spark, sf_dir)
+    if _missing(spark, at.table("gold", table)):
+        silver_table(spark, sf_dir, "orders_clean")
+        silver_table(spark, sf_dir, "order_items_prior_enriched")
+        medallion.run_layer(spark, at, "gold")
+    return read_snapshot(spark, at.table("gold", table), LABEL, contract("gold", table))
+
+
+def stored_as_is(spark: SparkSession, sf_dir: str, layer: str, table: str) -> DataFrame:
+    """A stored table with all its columns, whatever its contract says."""
+    if layer == "raw":
+        return raw.scan_raw(spark, raw_root(spark, sf_dir), table, LABEL)[0]
+    {"bronze": bronze_table, "silver": silver_table, "gold": gold_table}[layer](spark, sf_dir, table)
+    return read_snapshot(spark, roots(spark, sf_dir).table(layer, table), LABEL)
+
+
+def damaged(spark: SparkSession, sf_dir: str, layer: str, table: str) -> dict[str, DataFrame]:
+    """Stored copies of a table that break its contract: one in its columns, one without rows."""
+    kind = contract(layer, table)
+
+    def fill(at: str) -> None:
+        whole = stored_as_is(spark, sf_dir, layer, table).select(*kind.fieldNames())
+        broken = {"damaged": driver_tables.damaged(whole, kind), "empty": whole.limit(0)}
+        for name, df in broken.items():
+            if layer == "raw":
+                driver_tables.write_csv(df, f"{at}/{name}/{SNAPSHOT}/{ENTITIES[table].file_name}")
+            else:
+                write_snapshot(df, f"{at}/{name}", LABEL)
+
+    at = folder(spark, sf_dir, f"broken/{layer}/{table}", fill)
+    if layer == "raw":
+        file = f"{SNAPSHOT}/{ENTITIES[table].file_name}"
+        return {n: raw.scan_csv(spark, f"{at}/{n}/{file}") for n in ("damaged", "empty")}
+    return {n: read_snapshot(spark, f"{at}/{n}", LABEL) for n in ("damaged", "empty")}
+
+
 def all_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         e: raw_table(spark, sf_dir, e).select(*spec.columns) for e, spec in ENTITIES.items()

@@ -5,11 +5,15 @@ Only names and sizes pass through the driver, never data.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_MADE: list[tuple[SparkSession, str]] = []
+
 
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -42,18 +46,41 @@ def has_data_files(spark: SparkSession, path: str) -> bool:
     )
 
 
+def total_size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    fs, at = _file_system(spark, path)
+    return fs.getContentSummary(at).getLength()
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder in the shared place that ``spark.checkpoint.dir`` names.
 
-    Only a local session, such as a test, may fall back to a temporary folder:
-    on a cluster the executors would each see a different one.
+    It goes when the application ends. Only a local session, such as a test, may fall back to a
+    temporary folder: on a cluster the executors would each see a different one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         folder = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         fs, at = _file_system(spark, folder)
         fs.mkdirs(at)
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    elif spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix=f"{name}-")
+    else:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    _MADE.append((spark, folder))
+    return folder
+
+
+def remove_work_folders() -> None:
+    """Delete the folders that ``work_folder`` has made in this process, and no others."""
+    while _MADE:
+        spark, folder = _MADE.pop()
+        fs, at = _file_system(spark, folder)
+        fs.delete(at, True)
+
+
+@atexit.register
+def _at_exit() -> None:
+    # Spark may be gone already; then the folders stay.
+    with contextlib.suppress(Exception):
+        remove_work_folders()

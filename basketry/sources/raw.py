@@ -1,11 +1,18 @@
-"""The six source files: presence check, landing as dated snapshots, scan."""
+"""The six source files: presence check, landing as dated snapshots, scan.
+
+Landing stores the lines of the files as they are. How a line divides into fields is
+decided when the raw layer is read, so a wrong guess loses nothing.
+"""
 
 from __future__ import annotations
 
+import csv
+from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from basketry.contracts import ENTITIES, Entity
 from basketry.functions.together import together
@@ -17,18 +24,46 @@ from basketry.sources.snapshots import (
     write_snapshot,
 )
 
+#: What a landed line comes with: its file, the byte at which its part of the file starts, and
+#: numbers that grow with the lines of that part.
+LINE_COLUMNS = ["line", "source_file", "block", "row"]
+#: First lines of files, one row each, that are broadcast; of more files they are joined by sorting.
+BROADCAST_FILES = 100_000
+
+
+@dataclass(frozen=True)
+class Dialect:
+    """How quotes and line breaks inside quoted fields are written.
+
+    With ``doubled_quotes`` a quote inside a field is doubled, else it has a backslash before it.
+    With ``multi_line`` fields may hold line breaks; the lines of a file are then put together by
+    one task, else a record ends with its line.
+    """
+
+    doubled_quotes: bool = False
+    multi_line: bool = False
+
+    @property
+    def escape(self) -> str:
+        return '"' if self.doubled_quotes else "\\"
+
 
-def scan_csv(spark: SparkSession, path: str, rfc4180: bool = False) -> DataFrame:
+DEFAULT = Dialect()
+RFC4180 = Dialect(doubled_quotes=True, multi_line=True)
+
+
+def scan_csv(spark: SparkSession, path: str, dialect: Dialect = DEFAULT) -> DataFrame:
     """A CSV file, or a directory of parts, with a header and only string columns.
 
-    By default a quote inside a quoted field is escaped with a backslash and a
-    record ends with its line. With ``rfc4180`` quotes are doubled and fields may
-    hold line breaks; such a file cannot be split among tasks.
+    Parts whose headers differ are an error and not read by place.
     """
-    reader = spark.read.option("header", True)
-    if rfc4180:
-        reader = reader.option("escape", '"').option("multiLine", True)
-    return reader.csv(path)
+    return (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", dialect.escape)
+        .option("multiLine", dialect.multi_line)
+        .csv(path)
+    )
 
 
 def source_manifest(spark: SparkSession, source_dir: str) -> DataFrame:
@@ -50,23 +85,98 @@ def require_sources(spark: SparkSession, source_dir: str) -> None:
         raise FileNotFoundError(f"missing source files: {', '.join(sorted(missing))}")
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of a text file or directory, unchanged but for its line feed."""
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
 def land_sources(
-    spark: SparkSession, source_dir: str, raw_root: str, label: str, rfc4180: bool = False
+    spark: SparkSession, source_dir: str, raw_root: str, label: str
 ) -> list[SnapshotSummary]:
-    """Copy the source files into raw snapshots under ``label``, replacing a former load.
+    """Copy the lines of the source files into raw snapshots, replacing a former load.
 
-    The strings are stored unchanged, as Parquet: it splits among tasks and keeps
-    blanks and NULLs apart, which CSV does not.
+    They are stored as Parquet, which splits among tasks. The summaries count lines, headers and
+    blank ones included.
     """
     require_sources(spark, source_dir)
 
     def land(entity: Entity) -> SnapshotSummary:
-        scan = scan_csv(spark, f"{source_dir}/{entity.file_name}", rfc4180)
-        return write_snapshot(scan, f"{raw_root}/{entity.name}", label)
+        lines = read_lines(spark, f"{source_dir}/{entity.file_name}")
+        return write_snapshot(lines, f"{raw_root}/{entity.name}", label)
 
     return together(spark, [partial(land, e) for e in ENTITIES.values()])
 
 
+def _records(lines: DataFrame, dialect: Dialect) -> DataFrame:
+    """Lines that are a record each; with ``multi_line`` those that a quoted break parts are joined."""
+    lines = lines.withColumn("line", F.rtrim("line", F.lit("\r")))
+    if dialect.multi_line:
+        plain = F.col("line")
+        if not dialect.doubled_quotes:
+            plain = F.regexp_replace(plain, r"\\.", "")
+        quotes = F.length(plain) - F.length(F.replace(plain, F.lit('"')))
+        in_file = Window.partitionBy("source_file").orderBy("block", "row")
+        before = in_file.rowsBetween(Window.unboundedPreceding, -1)
+        starts = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 0
+        numbered = lines.withColumn("quotes", quotes).withColumn("starts", starts)
+        numbered = numbered.withColumn("record", F.count_if("starts").over(in_file))
+        parts = F.array_sort(F.collect_list(F.struct("block", "row", "line")))
+        lines = (
+            numbered.groupBy("source_file", "record")
+            .agg(parts.alias("parts"))
+            .select(
+                F.array_join(F.col("parts.line"), "\n").alias("line"),
+                "source_file",
+                F.col("parts")[0]["block"].alias("block"),
+                F.col("parts")[0]["row"].alias("row"),
+            )
+        )
+    return lines.where(F.col("line").rlike(r"[^\x00-\x20]"))
+
+
+def _names(header: str, dialect: Dialect) -> list[str]:
+    escape = None if dialect.doubled_quotes else "\\"
+    names = next(csv.reader([header], doublequote=dialect.doubled_quotes, escapechar=escape))
+    lone = [n if n and names.count(n) == 1 else f"{n or '_c'}{i}" for i, n in enumerate(names)]
+    return [n.strip() for n in lone]
+
+
+def parse_lines(lines: DataFrame, dialect: Dialect = DEFAULT) -> DataFrame:
+    """String columns named by the header of each file, and ``source_file``.
+
+    Files with equal headers are read together; others are put together by name, NULL where a
+    file lacks a column. Blank lines are left out, fields beyond the header are not read, missing
+    ones are NULL.
+    """
+    records = _records(lines, dialect)
+    at = F.struct("block", "row")
+    first = records.groupBy("source_file").agg(
+        F.min_by("line", at).alias("header"), F.min(at).alias("first")
+    )
+    headers = [r.header for r in first.select("header").distinct().orderBy("header").collect()]
+    if not headers:  # no file with a line: no column but the file's
+        return records.select("source_file")
+    first = F.broadcast(first) if first.count() <= BROADCAST_FILES else first
+    body = records.join(first, "source_file").where(at != F.col("first"))
+    parsed = []
+    for header in headers:
+        schema = StructType()
+        for name in _names(header, dialect):
+            schema.add(name, StringType())
+        fields = F.from_csv("line", schema.toDDL(), {"escape": dialect.escape})
+        own = body.where(F.col("header") == header)
+        parsed.append(own.select(fields.alias("fields"), "source_file").select("fields.*", "source_file"))
+    out = parsed[0]
+    for more in parsed[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
+
+
 def _listing(spark: SparkSession, path: str) -> DataFrame:
     # Only path and length are read, so Spark never opens the files.
     return (
@@ -93,14 +203,23 @@ def landing_summary(spark: SparkSession, raw_root: str, label: str) -> DataFrame
     return out
 
 
+def landed_lines(
+    spark: SparkSession, raw_root: str, entity: str, label: str | None = None
+) -> tuple[DataFrame, str]:
+    """The lines of a raw snapshot as they were landed, by default the latest, and its label."""
+    root = f"{raw_root}/{entity}"
+    label = label or latest_snapshot(spark, root)
+    return spark.read.parquet(snapshot_path(root, label)).select(*LINE_COLUMNS), label
+
+
 def scan_raw(
     spark: SparkSession,
     raw_root: str,
     entity: str,
     label: str | None = None,
-    rfc4180: bool = False,
+    dialect: Dialect = DEFAULT,
 ) -> tuple[DataFrame, str]:
-    """A raw snapshot as stored, by default the latest, and its label.
+    """All columns of a raw snapshot and ``source_file``, by default the latest, and its label.
 
     Takes snapshots landed by ``land_sources`` and directories that hold the CSV
     file itself.
@@ -110,9 +229,10 @@ def scan_raw(
     at = snapshot_path(root, label)
     csv_file = f"{at}/{ENTITIES[entity].file_name}"
     if paths.exists(spark, csv_file):
-        return scan_csv(spark, csv_file, rfc4180), label
+        scan = scan_csv(spark, csv_file, dialect)
+        return scan.withColumn("source_file", F.col("_metadata.file_path")), label
     if paths.exists(spark, at) and paths.has_data_files(spark, at):
-        return spark.read.parquet(at), label
+        return parse_lines(landed_lines(spark, raw_root, entity, label)[0], dialect), label
     raise FileNotFoundError(f"no data files in {at}")
 
 
@@ -121,16 +241,14 @@ def read_raw(
     raw_root: str,
     entity: str,
     label: str | None = None,
-    rfc4180: bool = False,
+    dialect: Dialect = DEFAULT,
 ) -> tuple[DataFrame, str]:
     """The expected columns of a raw snapshot plus ``source_file_name``, and its label.
 
     Columns are found by name; a missing one is an error.
     """
-    scan, label = scan_raw(spark, raw_root, entity, label, rfc4180)
+    scan, label = scan_raw(spark, raw_root, entity, label, dialect)
     return (
-        scan.select(
-            *ENTITIES[entity].columns, F.col("_metadata.file_path").alias("source_file_name")
-        ),
+        scan.select(*ENTITIES[entity].columns, F.col("source_file").alias("source_file_name")),
         label,
     )

@@ -2,15 +2,15 @@ import pytest
 
 from basketry.contracts import ENTITIES, contract
 from basketry.operators.bronze import to_bronze
-from basketry.sources.raw import scan_csv
+from basketry.sources.raw import RFC4180, scan_csv
 
 HEADER = "product_id,product_name,aisle_id,department_id\n"
 
 
-def csv_products(spark, tmp_path, text, **options):
+def csv_products(spark, tmp_path, text, *dialect):
     file = tmp_path / "products.csv"
     file.write_text(text)
-    return scan_csv(spark, str(file), **options)
+    return scan_csv(spark, str(file), *dialect)
 
 
 @pytest.mark.parametrize("entity", ENTITIES)
@@ -54,7 +54,7 @@ def test_default_dialect_splits_at_doubled_quotes(spark, tmp_path):
 def test_rfc4180_dialect(spark, tmp_path):
     text = HEADER + '1,"a ""b"", c",2,3\n3,"two\nlines",4,5\n'
     assert csv_products(spark, tmp_path, text).count() == 3
-    rows = csv_products(spark, tmp_path, text, rfc4180=True).collect()
+    rows = csv_products(spark, tmp_path, text, RFC4180).collect()
     assert [r.product_name for r in rows] == ['a "b", c', "two\nlines"]
 
 

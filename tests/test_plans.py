@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from samples import ENRICHED, item
 
 from basketry.contracts import contract
-from basketry.functions.skew import hot_keys
+from basketry.functions.skew import UNEVEN, hot_keys, uneven_share
 from basketry.operators import gold, silver
 from basketry.plans import driver_tables, stored
 from basketry.sources.snapshots import read_snapshot, write_snapshot
@@ -63,9 +63,9 @@ def test_no_python_in_any_layer(spark, items):
         assert "Python" not in plan(df)
 
 
-def test_test_tables_need_no_window(spark):
-    for table in driver_tables.RAW_TABLES.values():
-        assert "Window" not in plan(table(spark, SF))
+def test_test_tables_need_no_window_but_to_number_orders(spark):
+    for name, table in driver_tables.RAW_TABLES.items():
+        assert ("Window" in plan(table(spark, SF))) == (name == "orders")
 
 
 def test_hot_keys(spark):
@@ -156,5 +156,28 @@ def test_hot_customer_and_copies_give_the_same_measures(make):
     assert hot_keys(items, "user_id", share=0.3)["user_id"] == [5]
 
 
+@pytest.mark.parametrize("partitions", [16, 64])
+def test_a_customer_just_below_the_share_fills_no_task(spark, make, partitions):
+    """The share follows the shuffle partitions, so no task gets many times the mean."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        share, n = uneven_share(spark), 64_000
+        assert share == UNEVEN / partitions
+        own = F.col("id") < int(n * share * 0.8)  # one customer, all of one product
+        items = spark.range(n).select(
+            F.when(own, 1).otherwise(F.col("id") % 5000 + 2).cast("int").alias("user_id"),
+            F.when(own, 1).otherwise(F.col("id") % 900).cast("int").alias("product_id"),
+        )
+        assert hot_keys(items, "user_id", share=share) == {"user_id": []}
+        placed = items.repartition("product_id", "user_id")
+        largest = placed.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert largest <= (UNEVEN + 2) * n / partitions
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_stored_tables_follow_the_contract(spark, items):
     assert items.columns == contract("silver", "order_items_prior_enriched").fieldNames()

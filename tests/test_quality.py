@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.contracts import ENTITIES
 from basketry.operators import quality
+from basketry.sources.snapshots import write_snapshot
 
 AISLES = "aisle_id int, aisle string"
 ITEM = "order_id int, product_id int"
@@ -18,6 +20,7 @@ def test_contract_report(make):
     assert report_rows(report) == {
         "missing_columns": ("aisle", False),
         "unexpected_columns": ("more", True),
+        "wrong_types": ("", True),
         "row_count": ("2", True),
     }
     with pytest.raises(ValueError, match="raw.aisles: missing_columns is 'aisle'"):
@@ -93,14 +96,50 @@ def test_type_conformance(make):
     assert ("products", "product_name") not in kinds
 
 
-def test_source_raw_counts(spark):
-    source = {e: spark.range(4).select("id") for e in ENTITIES}
-    landed = source | {"aisles": spark.range(3).select("id")}
+def test_types_are_part_of_the_contract(make):
+    df = make("department_id string, department string", ("1", "a"))
+    report = quality.contract_report(df, "bronze", "departments")
+    assert report_rows(report)["wrong_types"] == ("department_id string", False)
+
+
+def test_source_records_and_raw_counts(spark, tmp_path):
+    (tmp_path / "parts").mkdir()
+    (tmp_path / "parts" / "one").write_text('h,"h"\n1,"a, b"\n\n  \n2,b,c,d\n')
+    (tmp_path / "parts" / "two").write_text("h,h\n")
+    records = quality.source_records(spark, str(tmp_path / "parts"))
+    assert records.first().source_rows == 2
+    source = dict.fromkeys(ENTITIES, records)
+    landed = dict.fromkeys(ENTITIES, spark.range(2)) | {"aisles": spark.range(1)}
     got = {
         r.entity: (r.source_rows, r.raw_rows, r.passed)
         for r in quality.source_raw_counts(source, landed).collect()
     }
-    assert got == {e: (4, 4, True) for e in ENTITIES} | {"aisles": (4, 3, False)}
+    assert got == {e: (2, 2, True) for e in ENTITIES} | {"aisles": (2, 1, False)}
+
+
+def test_snapshots_that_break_their_contract_are_named(spark, make, tmp_path):
+    def check():
+        return quality.validate_snapshot(spark, str(tmp_path), "bronze", "departments")
+
+    with pytest.raises(FileNotFoundError, match="directory not found"):
+        check()
+    lineage = "source_file_name string, raw_ingestion_date string, bronze_processed_at timestamp"
+    whole = make(f"department_id int, department string, {lineage}", (1, "a", "f", "d", None))
+    root = f"{tmp_path}/departments"
+    write_snapshot(whole, root, "2026-04-01")
+    assert check().where("not passed").count() == 0
+    broken = [
+        (whole.drop("department"), "missing_columns is 'department'"),
+        (whole.withColumn("department_id", F.lit("1")), "wrong_types is 'department_id string'"),
+        (whole.limit(0), "row_count is '0'"),
+    ]
+    for day, (table, problem) in enumerate(broken, 2):
+        write_snapshot(table, root, f"2026-04-0{day}")
+        with pytest.raises(ValueError, match=problem):
+            check()
+    (tmp_path / "departments" / "ingestion_date=2026-05-01").mkdir()
+    with pytest.raises(FileNotFoundError, match="no data files"):
+        check()
 
 
 def test_reports_are_appended(spark, make, tmp_path):
@@ -109,5 +148,5 @@ def test_reports_are_appended(spark, make, tmp_path):
     for label in ("a", "b"):
         quality.save_report(report, f"{tmp_path}/reports", label)
     stored = spark.read.parquet(f"{tmp_path}/reports")
-    assert stored.count() == 6
+    assert stored.count() == 8
     assert {r.run_label for r in stored.collect()} == {"a", "b"}

@@ -62,12 +62,13 @@ def test_landing_twice_keeps_one_copy(spark, source, roots):
     for _ in range(2):
         landed = raw.land_sources(spark, str(source), roots.raw, "2026-04-02")
     assert {s.root.rsplit("/", 1)[1]: s.rows for s in landed} == {
-        "orders": 6,
-        "products": 2,
-        "departments": 1,
-        "aisles": 1,
-        "order_products_prior": 5,
-        "order_products_train": 1,
+        # Lines, with the header.
+        "orders": 7,
+        "products": 3,
+        "departments": 2,
+        "aisles": 2,
+        "order_products_prior": 6,
+        "order_products_train": 2,
     }
     summary = raw.landing_summary(spark, roots.raw, "2026-04-02").collect()
     assert {r.entity for r in summary} == set(ENTITIES)
@@ -155,3 +156,80 @@ def test_layers_take_their_own_latest_snapshots(spark, source, roots):
     assert summary.label == "2026-04-01"
     table = read_snapshot(spark, summary.root)
     assert {r.product_id: r.aisle for r in table.collect()} == {1: "renamed", 2: "new"}
+
+
+ODD = (
+    "aisle_id,aisle,department_id,more\n"
+    '1,"a ""b"", c",2,3\n'
+    "2,x,1,1,EXTRA\n"
+    '3,"two\nlines",1,1\n'
+    '\n4,"c\\"d, e",5,6\r\n'
+    "5, ,\n"
+)
+
+
+def land_odd(spark, tmp_path, text=ODD, name="aisles.csv"):
+    folder = tmp_path / "odd"
+    folder.mkdir(exist_ok=True)
+    for entity in ENTITIES.values():
+        (folder / entity.file_name).write_text("a,b\n")
+    (folder / name).write_bytes(text.encode())
+    raw.land_sources(spark, str(folder), f"{tmp_path}/raw", "d")
+    return f"{tmp_path}/raw"
+
+
+def test_landing_keeps_every_character(spark, tmp_path):
+    lines, label = raw.landed_lines(spark, land_odd(spark, tmp_path), "aisles")
+    assert label == "d"
+    ordered = lines.orderBy("source_file", "block", "row").collect()
+    assert "".join(r.line + "\n" for r in ordered) == ODD
+
+
+def test_the_dialect_is_chosen_when_the_raw_layer_is_read(spark, tmp_path):
+    root = land_odd(spark, tmp_path)
+
+    def rows(dialect):
+        table = raw.scan_raw(spark, root, "aisles", dialect=dialect)[0].drop("source_file")
+        return [tuple(r) for r in table.collect()]
+
+    default = rows(raw.DEFAULT)
+    assert default[:4] == [
+        ("1", '"a ""b""', ' c"', "2"), ("2", "x", "1", "1"), ("3", "two", None, None), ('lines"', "1", "1", None),
+    ]
+    assert default[4:] == [("4", 'c"d, e', "5", "6"), ("5", " ", None, None)]
+    assert rows(raw.Dialect(doubled_quotes=True))[0] == ("1", 'a "b", c', "2", "3")
+    both = rows(raw.RFC4180)
+    assert both[0] == ("1", 'a "b", c', "2", "3") and ("3", "two\nlines", "1", "1") in both
+
+
+def test_joined_lines_equal_the_multi_line_reader(spark, tmp_path):
+    text = 'aisle_id,aisle\n1,"a\n\n""b"",\nc"\n2,plain\n3,"x"\n\n4,"""\n"""\n'
+    root = land_odd(spark, tmp_path, text)
+    landed = raw.scan_raw(spark, root, "aisles", dialect=raw.RFC4180)[0].drop("source_file")
+    direct = raw.scan_csv(spark, f"{tmp_path}/odd/aisles.csv", raw.RFC4180)
+    assert sorted(landed.collect()) == sorted(direct.collect())
+    assert landed.count() == 4
+
+
+def test_parts_with_other_headers_are_read_by_name(spark, tmp_path):
+    folder = tmp_path / "odd"
+    folder.mkdir()
+    for entity in ENTITIES.values():
+        (folder / entity.file_name).mkdir()
+        (folder / entity.file_name / "part-0").write_text("x\n1\n")
+    parts = folder / "aisles.csv"
+    (parts / "part-0").write_text("aisle_id,aisle\n1,milk\n")
+    (parts / "part-1").write_text("aisle,aisle_id\neggs,9\naisle,aisle_id\n")
+    with pytest.raises(Exception, match="header"):
+        raw.scan_csv(spark, str(parts)).collect()
+    raw.land_sources(spark, str(folder), f"{tmp_path}/raw", "d")
+    table = raw.read_raw(spark, f"{tmp_path}/raw", "aisles")[0]
+    got = sorted((r.aisle_id, r.aisle) for r in table.collect())
+    assert got == [("1", "milk"), ("9", "eggs"), ("aisle_id", "aisle")]
+
+
+def test_a_landed_table_without_lines(spark, tmp_path):
+    root = land_odd(spark, tmp_path, "")
+    assert raw.scan_raw(spark, root, "aisles")[0].columns == ["source_file"]
+    with pytest.raises(ValueError, match="missing_columns is 'aisle,aisle_id'"):
+        quality.validate_raw(spark, root)

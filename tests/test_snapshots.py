@@ -151,3 +151,12 @@ def test_a_cluster_must_name_the_shared_folder(spark):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         paths.work_folder(session(spark, "yarn"), "x")
     assert paths.exists(spark, paths.work_folder(session(spark, "local[4]"), "x"))
+
+
+def test_work_folders_go_and_nothing_else(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(paths, "_MADE", [])
+    cluster = session(spark, "yarn", checkpoint=f"{tmp_path}/shared")
+    made = paths.work_folder(cluster, "x")
+    (tmp_path / "shared" / "kept").mkdir()
+    paths.remove_work_folders()
+    assert not paths.exists(spark, made) and (tmp_path / "shared" / "kept").exists()
