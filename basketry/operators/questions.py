@@ -6,16 +6,24 @@ its shuffle, and none is ever held whole by one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import ratio4
+from basketry.functions.columns import all_present, ratio4
 from basketry.operators.gold import purchase_measures
 
 # Upper ends of the order-count groups of customers; the last group is open.
 FREQUENCY_GROUPS = [(1, "1"), (5, "2-5"), (10, "6-10"), (20, "11-20")]
 TOP_FREQUENCY_GROUP = "21+"
 
+# Upper ends, inclusive, of the days before the second order, and first days of the time since the
+# first; both last classes are open.
+COHORTS = [(30, "0-30"), (90, "31-90"), (365, "91-365")]
+LAST_COHORT, NO_COHORT = "366+", "unknown"
+PERIODS = [(720, "720+"), (360, "360-719"), (180, "180-359"), (90, "90-179"), (0, "0-89")]
+#: Orders of a customer that one task puts in order; their sums are put in order after that.
+_CHUNK = 256
+
 
 def _with_share(counted: DataFrame, total: Column, amount: str, share: str) -> DataFrame:
     return counted.withColumn(share, ratio4(F.col(amount), total))
@@ -138,15 +146,52 @@ def user_frequency(orders: DataFrame) -> DataFrame:
 
 
 def cohort_retention(orders: DataFrame) -> DataFrame:
-    """Per order number: customers who placed that order, and their share of all customers."""
-    users_at = (
-        orders.groupBy("order_number", "user_id")
+    """Customers who order again, by cohort and time since their first order.
+
+    A cohort is how many days a customer took for the second order; ``unknown`` without one. The
+    period is the sum of days between orders since the first that is there, unknown days as none. The
+    share is that of the cohort's customers, all of whom are in the first period. A customer's orders
+    are summed up in chunks of their numbers, so that none fills a task.
+    """
+    chunk = F.floor((F.col("order_number") - 1) / _CHUNK)
+    numbered = orders.select(
+        "user_id", chunk.alias("chunk"), "order_number", F.col("days_since_prior_order").alias("days")
+    )
+    # All columns are used below and no join adds a filter to these, so that both uses of the rows
+    # share one scan and shuffle.
+    numbered = numbered.where(all_present(["user_id", "chunk"])).repartition("user_id", "chunk")
+    sums = numbered.groupBy("user_id", "chunk").agg(
+        F.coalesce(F.sum("days"), F.lit(0.0)).alias("sum"),
+        F.min(F.when(F.col("order_number") == 2, F.col("days"))).alias("second"),
+        F.coalesce(F.min_by(F.coalesce("days", F.lit(0.0)), "order_number"), F.lit(0.0)).alias("first"),
+    )
+    user = Window.partitionBy("user_id")
+    by_chunk = user.orderBy("chunk")
+    before = sums.select(
+        "user_id",
+        "chunk",
+        (F.sum("sum").over(by_chunk) - F.col("sum") - F.first("first").over(by_chunk)).alias("before"),
+        F.min("second").over(user).alias("second"),
+    )
+    inside = Window.partitionBy("user_id", "chunk").orderBy("order_number")
+    running = F.coalesce(F.sum("days").over(inside), F.lit(0.0))
+    placed = numbered.withColumn("running", running).join(before, ["user_id", "chunk"])
+    since, second = F.col("before") + F.col("running"), F.col("second")
+    cohort = F.when(second.isNull(), NO_COHORT)
+    for upper, name in COHORTS:
+        cohort = cohort.when(second <= upper, name)
+    period = F.lit(None)
+    for lower, name in reversed(PERIODS):
+        period = F.when(since >= lower, name).otherwise(period)
+    counted = (
+        placed.groupBy(cohort.otherwise(LAST_COHORT).alias("cohort"), period.alias("period"), "user_id")
         .agg(F.count(F.lit(1)).alias("orders"))
-        .groupBy("order_number")
+        .groupBy("cohort", "period")
         .agg(F.count(F.lit(1)).alias("user_count"), F.sum("orders").alias("order_count"))
     )
-    all_users = orders.select("user_id").distinct().agg(F.count(F.lit(1))).scalar()
-    return _with_share(users_at, all_users, "user_count", "user_share")
+    first_period = F.when(F.col("period") == PERIODS[-1][1], F.col("user_count"))
+    whole = F.max(first_period).over(Window.partitionBy("cohort"))
+    return _with_share(counted, whole, "user_count", "user_share")
 
 
 def basket_evolution(items: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -122,12 +123,37 @@ def test_department_repurchase(data):
     assert rows(questions.department_repurchase(df), *columns) == sorted(want, key=str)
 
 
-def test_cohort_retention(data):
+@pytest.mark.parametrize("chunk", [1, 4, questions._CHUNK])
+def test_cohort_retention(data, monkeypatch, chunk):
+    monkeypatch.setattr(questions, "_CHUNK", chunk)
     orders, _, df, _ = data
-    users = len({o[1] for o in orders})
-    want = [(k, n, round(n / users, 4)) for k, n in Counter(o[2] for o in orders).items()]
-    got = rows(questions.cohort_retention(df), "order_number", "user_count", "user_share")
-    assert got == sorted(want, key=str)
+    users, counts = defaultdict(set), Counter()
+    for user in {o[1] for o in orders}:
+        mine = sorted((o for o in orders if o[1] == user), key=lambda o: o[2])
+        gap = next((o[3] for o in mine if o[2] == 2), None)
+        cohort = "unknown" if gap is None else "0-30" if gap <= 30 else "31-90"
+        since = 0
+        for i, o in enumerate(mine):
+            since += (o[3] or 0) if i else 0
+            period = next(name for lower, name in questions.PERIODS if since >= lower)
+            users[cohort, period].add(user)
+            counts[cohort, period] += 1
+    want = [
+        (c, p, len(u), counts[c, p], round(len(u) / len(users[c, "0-89"]), 4))
+        for (c, p), u in users.items()
+    ]
+    columns = ["cohort", "period", "user_count", "order_count", "user_share"]
+    assert rows(questions.cohort_retention(df), *columns) == sorted(want, key=str)
+    assert len(want) > 4
+
+
+def test_cohorts_share_one_scan_of_the_orders(spark, tmp_path, data):
+    data[2].write.parquet(f"{tmp_path}/orders")
+    df = questions.cohort_retention(spark.read.parquet(f"{tmp_path}/orders"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan", final)) == 1 or "ReusedExchange" in final
 
 
 def test_basket_evolution(data):
