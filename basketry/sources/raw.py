@@ -153,18 +153,22 @@ def parse_lines(lines: DataFrame, dialect: Dialect = DEFAULT) -> DataFrame:
     file lacks a column. Blank lines are left out, fields beyond the header are not read, missing
     ones are NULL.
     """
-    records = _records(lines, dialect)
+    # Headers are in the first block of a file, so that other files of the snapshot are not read
+    # for them.
     at = F.struct("block", "row")
-    first = records.groupBy("source_file").agg(
+    heads = _records(lines.where("block = 0"), dialect)
+    first = heads.groupBy("source_file").agg(
         F.min_by("line", at).alias("header"), F.min(at).alias("first")
     )
-    headers = [r.header for r in first.select("header").distinct().orderBy("header").collect()]
-    if not headers:  # no file with a line: no column but the file's
+    files = {r.header: r["count"] for r in first.groupBy("header").count().collect()}
+    records = _records(lines, dialect)
+    if not files:  # no file with a line: no column but the file's
         return records.select("source_file")
-    first = F.broadcast(first) if first.count() <= BROADCAST_FILES else first
+    if sum(files.values()) <= BROADCAST_FILES:
+        first = F.broadcast(first)
     body = records.join(first, "source_file").where(at != F.col("first"))
     parsed = []
-    for header in headers:
+    for header in sorted(files):
         schema = StructType()
         for name in _names(header, dialect):
             schema.add(name, StringType())
