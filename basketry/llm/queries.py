@@ -109,5 +109,55 @@ def queries() -> dict:
     }
 
 
+#: Every window of an item's size that has a shingle of it, compared exactly.
+_OP3_SQL = r"""
+WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+words AS (
+  SELECT side, id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM texts),
+spread AS (
+  SELECT side, id, greatest(len(w) - 4, 1) AS n, unnest(range(0, greatest(len(w) - 4, 1))) AS place, w FROM words
+  WHERE len(w) > 0),
+shingles AS (SELECT side, id, n, place, array_to_string(w[place + 1:place + 5], ' ') AS s FROM spread),
+items AS (SELECT id AS item_id, n, s, count(*) AS times FROM shingles WHERE side = 'b' GROUP BY ALL),
+hits AS (
+  SELECT d.id AS doc_id, d.n AS doc_n, i.item_id, i.n, d.place, d.s, i.times
+  FROM shingles d JOIN items i ON d.s = i.s WHERE d.side = 'd'),
+starts AS (
+  SELECT DISTINCT doc_id, doc_n, item_id, n, unnest(range(greatest(place - n + 1, 0), place + 1)) AS start FROM hits),
+common AS (
+  SELECT w.doc_id, w.doc_n, w.item_id, w.n, w.start, h.s, least(count(*), any_value(h.times)) AS shared
+  FROM starts w JOIN hits h ON w.doc_id = h.doc_id AND w.item_id = h.item_id
+    AND h.place >= w.start AND h.place < w.start + w.n
+  GROUP BY ALL),
+scored AS (
+  SELECT doc_id, item_id, start, n,
+    sum(shared) / (n + least(n, doc_n - start) - sum(shared)) AS similarity
+  FROM common GROUP BY doc_id, doc_n, item_id, n, start)
+SELECT doc_id, item_id, similarity, CAST(start AS INTEGER) AS start, CAST(n AS INTEGER) AS n FROM scored
+WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1"""
+
+#: All pairs of a label, and components by passing on the smallest number along links.
+_OP10_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+  SELECT vec_id AS node, vec_id AS low FROM embeddings
+  UNION SELECT l.b, r.low FROM reach r JOIN links l ON r.node = l.a WHERE r.low < l.b),
+roots AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node),
+counts AS (SELECT a AS node, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN roots r ON e.vec_id = r.node LEFT JOIN counts c ON e.vec_id = c.node"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries it can express; the others are tested by brute force."""
+    return {"op3_decontamination": _OP3_SQL, "op10_embeddings": _OP10_SQL}
