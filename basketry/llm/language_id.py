@@ -44,18 +44,20 @@ def dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang", ke
     """A dictionary for each language, made of whole texts of ``labelled``; NULLs are left out.
 
     The sample is bounded, the same for the same rows in any order, and drawn by the hash of ``key``:
-    in each language the row with the smallest hash in each of ``BUCKETS`` buckets.
+    in each language the row with the smallest hash in each of ``BUCKETS`` buckets. The language with the
+    most rows comes first.
     """
     rows = columns(labelled, text=text, lang=lang, key=key).where(
         "lang is not null and text is not null and length(text) > 0"
     )
     rows = rows.withColumn("draw", F.xxhash64(F.col("key").cast("string"), "lang"))
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    languages = [r["lang"] for r in sizes.collect()]
     short = rows.where(F.octet_length("text") <= SAMPLE_BYTES).select("lang", "draw")
     drawn = (
         short.groupBy("lang", F.pmod("draw", F.lit(BUCKETS)).alias("bucket"))
         .agg(F.min("draw").alias("draw"))
-        .join(sizes.select("lang"), "lang", "left_semi")
+        .where(F.col("lang").isin(languages))
     )
     # No more rows than LANGUAGES x BUCKETS, of which each text is at most SAMPLE_BYTES long.
     ids = [tuple(r) for r in drawn.select("lang", "draw").collect()]
@@ -69,12 +71,12 @@ def dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang", ke
         .agg(F.min("text").alias("text"))
         .collect()
     )
-    found: dict[str, bytes] = {}
+    found = {lang: b"" for lang in languages}
     for row in sorted(texts, key=lambda r: (r["lang"], r["draw"])):
-        sample = found.get(row["lang"], b"")
+        sample = found[row["lang"]]
         if len(sample) < DICTIONARY_BYTES:
             found[row["lang"]] = sample + letters(row["text"]) + b" "
-    return found
+    return {lang: sample for lang, sample in found.items() if sample}
 
 
 @lru_cache(maxsize=2)
@@ -95,7 +97,7 @@ def classify(text: str | None, model: tuple[tuple[str, bytes], ...]) -> tuple[st
     blocks = [plain[i : i + BLOCK_BYTES] for i in range(0, len(plain), BLOCK_BYTES)]
     compressors = _compressors(model)
     sizes = np.array([sum(len(c.compress(b)) for b in blocks) for _, c in compressors], float)
-    best = int(sizes.argmin())  # a tie goes to the first language in the order of names
+    best = int(sizes.argmin())  # a tie goes to the language with more training texts
     score = 1 / np.exp(np.maximum((sizes[best] - sizes) * EVIDENCE, -700)).sum()
     others = np.delete(sizes, best)
     narrow = bool(len(others) and others.min() < sizes[best] * (1 + MARGIN))
@@ -107,7 +109,7 @@ def identify(docs: DataFrame, model: dict[str, bytes], text: str = "text") -> Da
 
     A text that is NULL or has no letter, or any text if nothing was learned, is ``und`` and rejected.
     """
-    frozen = tuple(sorted(model.items()))
+    frozen = tuple(model.items())
     shared = docs.sparkSession.sparkContext.broadcast(frozen)  # bounded: see DICTIONARY_BYTES
 
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:

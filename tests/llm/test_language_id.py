@@ -44,13 +44,13 @@ def test_only_the_text_decides(spark):
 
 
 def test_letters_decide_not_case_or_marks(spark):
-    model = tuple(sorted(language_id.dictionaries(table(spark)).items()))
+    model = tuple(language_id.dictionaries(table(spark)).items())
     text = "tara milo kesu banto relig onda"
     assert language_id.classify(text, model)[:2] == language_id.classify("TARA!! Milo, kesu; banto 7 relig-ONDA", model)[:2]
 
 
 def test_texts_without_letters_and_narrow_margins(spark):
-    model = tuple(sorted(language_id.dictionaries(table(spark)).items()))
+    model = tuple(language_id.dictionaries(table(spark)).items())
     for text in (None, "", " \n", "12 34 _ !?"):
         assert language_id.classify(text, model) == ("und", 0.0, True)
     lang, score, rejected = language_id.classify("x", model)
