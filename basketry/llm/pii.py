@@ -29,8 +29,11 @@ KINDS = {
 #: What tells texts apart in which an expression can't match.
 _NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
-#: Different seeds a pattern needs, rounds of scoring, and the score from which patterns and instances count.
-SUPPORT, ROUNDS, SURE = 3, 3, 0.8
+#: Different seeds a pattern needs, and the share of its kind's different seeds; so the number of
+#: candidate patterns does not grow with the corpus, nor the share of places where they occur.
+SUPPORT, SUPPORT_SHARE = 3, 0.002
+#: Rounds of scoring, and the score from which patterns and instances count.
+ROUNDS, SURE = 3, 0.8
 _CONTEXT_CHARS = 80
 #: Candidate patterns that are broadcast; more are joined by sorting.
 BROADCAST_PATTERNS = 500_000
@@ -135,16 +138,19 @@ def _looks_like_identifier(core: Column) -> Column:
     return shape
 
 
-def patterns_of(seeds: DataFrame, support: int = SUPPORT) -> DataFrame:
+def patterns_of(seeds: DataFrame, support: int = SUPPORT, share: float = SUPPORT_SHARE) -> DataFrame:
     """(kind, context, seeds): the two tokens before spans, where enough different values follow them."""
     spans = seeds.select("key", F.explode("spans").alias("s")).distinct()
     before = F.regexp_extract("s.before", r"(?:^|[ \t\n\x0B\f\r])([^ \t\n\x0B\f\r]+[ \t\n\x0B\f\r]+[^ \t\n\x0B\f\r]+)[ \t\n\x0B\f\r]+$", 1)
     context = F.array_join(_tokens(before), " ")
     near = spans.select("s.kind", context.alias("context"), F.lower("s.value").alias("value")).where("context <> ''")
-    values = near.groupBy("kind", "context", "value").count()
-    return values.groupBy("kind", "context").agg(
+    values = cut(near.groupBy("kind", "context", "value").count(), "values")
+    different = values.select("kind", "value").distinct().groupBy("kind").agg(F.count(F.lit(1)).alias("all"))
+    supported = values.groupBy("kind", "context").agg(
         F.count(F.lit(1)).alias("values"), F.sum("count").alias("seeds")
-    ).where(F.col("values") >= support)
+    )
+    enough = F.greatest(F.lit(support), F.ceil(F.col("all") * share))
+    return supported.join(different, "kind").where(F.col("values") >= enough).select("kind", "context", "seeds")
 
 
 def _followers(docs: DataFrame, contexts: DataFrame) -> DataFrame:
