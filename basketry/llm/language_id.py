@@ -16,6 +16,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.llm.tables import columns, map_batches
 
@@ -120,8 +121,8 @@ def identify(docs: DataFrame, model: dict[str, bytes], text: str = "text") -> Da
         )
 
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text].alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return map_batches(rows, apply, f"row {kind}, lang_pred string, score double, rejected boolean")
+    kind = T.StructType([rows.schema["row"]]).add("lang_pred", "string").add("score", "double")
+    return map_batches(rows, apply, kind.add("rejected", "boolean"))
 
 
 def keep_identified(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang") -> DataFrame:

@@ -10,6 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from basketry.sources import paths
 
@@ -56,7 +57,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType
 ) -> DataFrame:
     """``function`` applied to each Arrow batch by itself."""
 
@@ -71,7 +72,7 @@ def map_batches(
 def map_partitions(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     """``function`` applied to the Arrow batches of each partition."""
     ship(df.sparkSession)

@@ -6,7 +6,7 @@ import pytest
 
 LONG_WORDS = 60_000
 #: Columns of the caller that are called like columns inside the operators.
-CLASHING = ["row", "key", "print", "text_key", "removed", "at", "count", "held_out", "score", "words", "spans"]
+CLASHING = ["row", "key", "print", "text_key", "removed", "at", "count", "held_out", "score", "words", "spans", "odd name: <x>"]
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHING)
 
 
