@@ -95,8 +95,8 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def _meet(table: int, same: bool, first: dict, second: dict, threshold: float) -> tuple[dict, list]:
-    """Links of one block with another: for each node how many, weighted by copies, and edges."""
+def _meet(table: int, same: bool, first: dict, second: dict, threshold: float) -> tuple[tuple, list]:
+    """Links of one block with another: nodes with how many, weighted by copies, and edges."""
     close = first["vector"] @ second["vector"].T >= threshold
     if same:
         close = np.triu(close, 1)
@@ -107,48 +107,63 @@ def _meet(table: int, same: bool, first: dict, second: dict, threshold: float) -
     a, b = first["node"][i], second["node"][j]
     ends, weight = np.concatenate([a, b]), np.concatenate([second["size"][j], first["size"][i]])
     nodes, at = np.unique(ends, return_inverse=True)
-    return dict(zip(nodes.tolist(), np.bincount(at, weight).astype(int).tolist(), strict=True)), _forest(a, b)
+    return (nodes, np.bincount(at, weight, len(nodes)).astype(np.int64)), _forest(a, b)
+
+
+def _lists(column: pa.ListArray, rows: np.ndarray) -> np.ndarray:
+    """Rows of a list column, all of one length, as a matrix."""
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy()
+    width = offsets[rows[0] + 1] - offsets[rows[0]]
+    return values[offsets[rows][:, None] + np.arange(width)]
 
 
 def _meetings(threshold: float):
     """Rows sorted by meeting to (a, b, links): b NULL with a's number of links, or an edge a-b."""
+    keys = ["table", "label", "sign", "left", "right"]
 
-    def one(table: int, left: int, right: int, rows: list[dict]) -> tuple[list, list, list]:
-        a, b, n = [], [], []
-        by_width: dict[int, list[dict]] = {}
-        for r in rows:
-            by_width.setdefault(len(r["vector"]), []).append(r)
-        for group in by_width.values():
+    def one(batch: pa.RecordBatch, begin: int, end: int, found: list[list]) -> None:
+        table, left, right = (batch.column(c)[begin].as_py() for c in ("table", "left", "right"))
+        side = batch.column("side").to_numpy()[begin:end]
+        widths = np.diff(batch.column("vector").offsets.to_numpy())[begin:end]
+        for width in np.unique(widths):
             sides = []
-            for side in {left: 0, right: 0}:
-                own = [r for r in group if r["side"] == side]
-                sides.append({k: np.array([r[k] for r in own]) for k in ("node", "size", "vector", "signs")})
-            if any(not len(s["node"]) for s in sides):
-                continue
-            links, edges = _meet(table, left == right, sides[0], sides[-1], threshold)
-            a += [*links, *(x for x, _ in edges)]
-            b += [None] * len(links) + [y for _, y in edges]
-            n += [*links.values()] + [0] * len(edges)
-        return a, b, n
+            for own in {left: 0, right: 0}:
+                rows = begin + np.flatnonzero((side == own) & (widths == width))
+                if len(rows):
+                    sides.append({
+                        "vector": _lists(batch.column("vector"), rows), "signs": _lists(batch.column("signs"), rows),
+                        **{c: batch.column(c).to_numpy()[rows] for c in ("node", "size")},
+                    })
+            if len(sides) == 1 + (left != right):
+                (nodes, links), edges = _meet(table, left == right, sides[0], sides[-1], threshold)
+                found[0] += [*nodes.tolist(), *(x for x, _ in edges)]
+                found[1] += [None] * len(nodes) + [y for _, y in edges]
+                found[2] += [*links.tolist(), *[0] * len(edges)]
+
+    def settled(batch: pa.RecordBatch, ends: list[int]) -> Iterator[pa.RecordBatch]:
+        found: list[list] = [[], [], []]
+        for begin, end in zip([0, *ends], ends, strict=False):
+            if end - begin > 1:
+                one(batch, begin, end, found)
+        if found[0]:
+            arrays = [pa.array(x, pa.int64()) for x in found]
+            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "links"])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def out() -> Iterator[pa.RecordBatch]:
-            if len(held) > 1:
-                a, b, n = one(key[0], key[3], key[4], held)
-                if a:
-                    arrays = [pa.array(x, pa.int64()) for x in (a, b, n)]
-                    yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "links"])
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                now = (row["table"], row["label"], row["sign"], row["left"], row["right"])
-                if now != key:
-                    yield from out()
-                    key, held = now, []
-                held.append(row)
-        yield from out()
+        held = None  # the last meeting, which may go on in the next batch
+        for new in batches:
+            batch = pa.concat_batches([held, new]) if held is not None else new
+            changes = np.zeros(max(batch.num_rows - 1, 0), bool)
+            for c in keys:
+                column = batch.column(c)
+                numbers = column.dictionary_encode().indices if c == "label" else column
+                changes |= np.diff(numbers.to_numpy()) != 0
+            ends = (np.flatnonzero(changes) + 1).tolist()
+            yield from settled(batch, ends)
+            last = ends[-1] if ends else 0
+            held = pa.concat_batches([batch.slice(last)])
+        if held is not None:
+            yield from settled(held, [held.num_rows])
 
     return apply
 
