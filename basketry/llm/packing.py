@@ -29,8 +29,8 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 def encoder(path: str):
     """A tiktoken encoding made from a byte-level BPE file of the library ``tokenizers``.
 
-    It gives the same ids several times faster; the file's own pre-tokenisation is used, and strings of
-    special tokens are ordinary text.
+    It gives the same ids several times faster. Texts are split by the pattern that these files share, and
+    strings of special tokens are ordinary text.
     """
     import json
 
@@ -148,10 +148,12 @@ def pack(
 
     by_part = Window.partitionBy("length").orderBy("part")
     before = counts.select("length", "part", (F.sum("n").over(by_part) - F.col("n")).alias("before"))
+    # Sorted like the pieces and not broadcast: its rows grow with the parts.
+    before = cut(before, "before").hint("merge")
     inside = Window.partitionBy("part", "length").orderBy("at")
     ranked = (
         placed.withColumn("inside", F.row_number().over(inside) - 1)
-        .join(cut(before, "before"), ["length", "part"])
+        .join(before, ["part", "length"])
         .withColumn("rank", F.col("before") + F.col("inside"))
     )
     # At most a few runs for each of the capacity's lengths, whatever the number of pieces.
