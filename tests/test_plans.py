@@ -34,6 +34,15 @@ def test_distinct_counts_do_not_multiply_rows(spark, items):
         assert "Expand" not in plan(df)
 
 
+def test_placing_by_order_sorts_once_and_gives_the_same_rows(spark):
+    orders = stored.bronze_table(spark, SF, "orders")
+    placed = silver.orders_clean(orders, place_by_order=True).drop("silver_processed_at")
+    assert len(re.findall(r"\bSort \[", plan(placed))) == 1
+    assert len(re.findall(r"Exchange", plan(placed))) == 1
+    combined = silver.orders_clean(orders).drop("silver_processed_at")
+    assert sorted(map(str, placed.collect())) == sorted(map(str, combined.collect()))
+
+
 def test_placing_by_user_moves_items_once(items):
     exchanges = re.findall(r"Exchange (\w+)", plan(gold.top_products(items, place_by_user=True)))
     # Items once, one row per task and product, and the sort.
