@@ -29,9 +29,8 @@ KINDS = {
 #: What tells texts apart in which an expression can't match.
 _NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
-#: Different seeds a pattern needs, and the share of its kind's different seeds; so the number of
-#: candidate patterns does not grow with the corpus, nor the share of places where they occur.
-SUPPORT, SUPPORT_SHARE = 3, 0.002
+#: Different seeds a pattern needs.
+SUPPORT = 3
 #: Rounds of scoring, and the score from which patterns and instances count.
 ROUNDS, SURE = 3, 0.8
 _CONTEXT_CHARS = 80
@@ -138,38 +137,49 @@ def _looks_like_identifier(core: Column) -> Column:
     return shape
 
 
-def patterns_of(seeds: DataFrame, support: int = SUPPORT, share: float = SUPPORT_SHARE) -> DataFrame:
+def patterns_of(seeds: DataFrame, support: int = SUPPORT) -> DataFrame:
     """(kind, context, seeds): the two tokens before spans, where enough different values follow them."""
     spans = seeds.select("key", F.explode("spans").alias("s")).distinct()
     before = F.regexp_extract("s.before", r"(?:^|[ \t\n\x0B\f\r])([^ \t\n\x0B\f\r]+[ \t\n\x0B\f\r]+[^ \t\n\x0B\f\r]+)[ \t\n\x0B\f\r]+$", 1)
     context = F.array_join(_tokens(before), " ")
     near = spans.select("s.kind", context.alias("context"), F.lower("s.value").alias("value")).where("context <> ''")
-    values = cut(near.groupBy("kind", "context", "value").count(), "values")
-    different = values.select("kind", "value").distinct().groupBy("kind").agg(F.count(F.lit(1)).alias("all"))
+    values = near.groupBy("kind", "context", "value").count()
     supported = values.groupBy("kind", "context").agg(
         F.count(F.lit(1)).alias("values"), F.sum("count").alias("seeds")
     )
-    enough = F.greatest(F.lit(support), F.ceil(F.col("all") * share))
-    return supported.join(different, "kind").where(F.col("values") >= enough).select("kind", "context", "seeds")
+    return supported.where(F.col("values") >= support).select("kind", "context", "seeds")
 
 
-def _followers(docs: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(key, at, context, value): each place where a context is followed by a token.
+def _places(docs: DataFrame) -> DataFrame:
+    """(key, at, h, value): each token after two others, ``h`` being a hash of those.
 
     ``at`` is the number of the token; ``value`` is its core if that looks like an identifier, else NULL.
     """
-    if contexts.count() <= BROADCAST_PATTERNS:
-        contexts = F.broadcast(contexts)
     tokens = docs.select(_key(F.col("text")).alias("key"), _tokens(F.col("text")).alias("t"))
     n = F.greatest(F.size("t") - 2, F.lit(0))
     in_a_row = F.arrays_zip(F.slice("t", 1, n).alias("x"), F.slice("t", 2, n).alias("y"), F.slice("t", 3, n).alias("z"))
     rows = tokens.select("key", F.posexplode(in_a_row).alias("at", "w"))
-    rows = rows.select("key", (F.col("at") + 2).alias("at"), F.xxhash64("w.x", "w.y").alias("h"), F.col("w.z").alias("token"))
+    core = _core(F.col("w.z"))
+    value = F.when(F.col("w.z").rlike("[0-9@]"), F.when(_looks_like_identifier(core), core))
+    return rows.select("key", (F.col("at") + 2).alias("at"), F.xxhash64("w.x", "w.y").alias("h"), value.alias("value"))
+
+
+def _with_context(rows: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``rows`` whose ``h`` is that of one of the contexts, with ``context``."""
+    if contexts.count() <= BROADCAST_PATTERNS:
+        contexts = F.broadcast(contexts)
     parts = F.split("context", " ")
-    hashed = contexts.withColumn("h", F.xxhash64(parts[0], parts[1]))
-    found = rows.join(hashed, "h")
-    core = _core(F.col("token"))
-    return found.select("key", "at", "context", F.when(_looks_like_identifier(core), core).alias("value"))
+    return rows.join(contexts.withColumn("h", F.xxhash64(parts[0], parts[1])), "h")
+
+
+def _followers(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(context, value, n): how often a context is followed by an identifier, or by none (NULL).
+
+    Places are counted before the join, in each partition and then together, so that the join gets a row for
+    each pair and not one for each place.
+    """
+    counted = _places(docs).groupBy("h", "value").agg(F.count(F.lit(1)).alias("n"))
+    return _with_context(counted, contexts).select("context", "value", "n")
 
 
 def score(patterns: DataFrame, followers: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -209,8 +219,7 @@ def discovered(docs: DataFrame, given: DataFrame, text: str = "text", support: i
     """
     rows = columns(docs, text=text).where("text is not null")
     patterns = cut(patterns_of(given, support), "candidates")
-    followers = _followers(rows, patterns.select("context").distinct())
-    counts = cut(followers.groupBy("context", "value").agg(F.count(F.lit(1)).alias("n")), "followers")
+    counts = cut(_followers(rows, patterns.select("context").distinct()), "followers")
     pattern_scores, instance_scores = score(patterns, counts)
     contexts = pattern_scores.where(F.col("sure") >= sure)
     values = instance_scores.where(F.col("sure") >= sure).withColumnRenamed("sure", "value_sure")
@@ -222,7 +231,8 @@ def discovered(docs: DataFrame, given: DataFrame, text: str = "text", support: i
     best = cut(best.select("context", "value", "best.place", "best.kind"), "best")
     # With nothing to add, no row passes the join below; the texts are then not gone through for places.
     again = rows if not best.isEmpty() else rows.where(F.lit(False))
-    hits = _followers(again, best.select("context").distinct()).join(best, ["context", "value"]).distinct()
+    found = _places(again).where("value is not null")
+    hits = _with_context(found, best.select("context").distinct()).drop("h").join(best, ["context", "value"]).distinct()
     hits = cut(hits, "hits")
     texts = again.select(_key(F.col("text")).alias("key"), "text").join(hits.select("key").distinct(), "key", "left_semi")
     placed = hits.join(texts.groupBy("key").agg(F.min("text").alias("text")), "key")

@@ -105,6 +105,14 @@ def test_patterns_that_lead_elsewhere_add_nothing(spark, letters):
     assert pii.find(letters.union(more)).where("doc_id >= 100 and size(spans) > 0").count() == 0
 
 
+def test_a_rare_sure_context_counts_among_any_number_of_seeds(spark):
+    rows = [(i, f"w{i} v{i} +1203555{i:04}") for i in range(3000)]
+    rows += [(5000 + i, f"then call desk +1204555{i:04} now") for i in range(3)]
+    rows += [(6000, "please call desk ext-5512 now")]
+    found = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s.kind, s.start, s.end) for s in found[6000]] == [("phone", 17, 25)]
+
+
 def test_scores_by_hand(make):
     patterns = make("kind string, context string, seeds long", ("email", "a b", 8), ("email", "c d", 1))
     followers = make("context string, value string, n long", ("a b", None, 8), ("a b", "v", 2), ("c d", "v", 1), ("c d", None, 8))
