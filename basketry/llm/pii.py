@@ -34,6 +34,8 @@ SUPPORT = 3
 #: Rounds of scoring, and the score from which patterns and instances count.
 ROUNDS, SURE = 3, 0.8
 _CONTEXT_CHARS = 80
+#: Stands for the space between two groups of digits while texts are split into tokens.
+_GLUE = "\ue000"
 #: Candidate patterns that are broadcast; more are joined by sorting.
 BROADCAST_PATTERNS = 500_000
 
@@ -121,6 +123,11 @@ def _tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[ \t\n\x0B\f\r]+"), "")
 
 
+def _glued(text: Column) -> Column:
+    """The text with groups of digits that one space separates made one token; no place moves."""
+    return F.regexp_replace(text, r"\x20(?<=[0-9)]\x20)(?=[0-9(])", _GLUE)
+
+
 def _core(token: Column) -> Column:
     """The token without marks at its ends."""
     return F.regexp_replace(token, r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$", "")
@@ -129,18 +136,21 @@ def _core(token: Column) -> Column:
 def _looks_like_identifier(core: Column) -> Column:
     """Has a digit or an at sign, at least five characters, and is nothing that was judged before.
 
-    What a given expression matches was found or rejected there; so was a number of ten digits or more.
+    What the expressions of emails, IP addresses and phones match was found or rejected there; so was a number
+    of as many digits as a card. Other numbers were judged by no expression, however long.
     """
-    shape = (F.length(core) >= 5) & core.rlike("[0-9@]") & ~core.rlike("[0-9](?:-?[0-9]){9}")
+    plain = F.translate(core, _GLUE, " ")
+    shape = (F.length(core) >= 5) & core.rlike("[0-9@]")
     for kind in ("email", "ip", "phone"):
-        shape = shape & ~core.rlike(KINDS[kind])
-    return shape
+        shape = shape & ~plain.rlike(KINDS[kind])
+    numbers = F.regexp_extract_all(plain, F.lit(KINDS["card"]), 0)
+    return shape & ~F.exists(numbers, lambda x: F.length(F.regexp_replace(x, "[^0-9]", "")).between(14, 19))
 
 
 def patterns_of(seeds: DataFrame, support: int = SUPPORT) -> DataFrame:
     """(kind, context, seeds): the two tokens before spans, where enough different values follow them."""
     spans = seeds.select("key", F.explode("spans").alias("s")).distinct()
-    before = F.regexp_extract("s.before", r"(?:^|[ \t\n\x0B\f\r])([^ \t\n\x0B\f\r]+[ \t\n\x0B\f\r]+[^ \t\n\x0B\f\r]+)[ \t\n\x0B\f\r]+$", 1)
+    before = F.regexp_extract(_glued(F.col("s.before")), r"(?:^|[ \t\n\x0B\f\r])([^ \t\n\x0B\f\r]+[ \t\n\x0B\f\r]+[^ \t\n\x0B\f\r]+)[ \t\n\x0B\f\r]+$", 1)
     context = F.array_join(_tokens(before), " ")
     near = spans.select("s.kind", context.alias("context"), F.lower("s.value").alias("value")).where("context <> ''")
     values = near.groupBy("kind", "context", "value").count()
@@ -155,7 +165,7 @@ def _places(docs: DataFrame) -> DataFrame:
 
     ``at`` is the number of the token; ``value`` is its core if that looks like an identifier, else NULL.
     """
-    tokens = docs.select(_key(F.col("text")).alias("key"), _tokens(F.col("text")).alias("t"))
+    tokens = docs.select(_key(F.col("text")).alias("key"), _tokens(_glued(F.col("text"))).alias("t"))
     n = F.greatest(F.size("t") - 2, F.lit(0))
     in_a_row = F.arrays_zip(F.slice("t", 1, n).alias("x"), F.slice("t", 2, n).alias("y"), F.slice("t", 3, n).alias("z"))
     rows = tokens.select("key", F.posexplode(in_a_row).alias("at", "w"))
@@ -234,7 +244,7 @@ def discovered(docs: DataFrame, given: DataFrame, text: str = "text", support: i
     found = _places(again).where("value is not null")
     hits = _with_context(found, best.select("context").distinct()).drop("h").join(best, ["context", "value"]).distinct()
     hits = cut(hits, "hits")
-    texts = again.select(_key(F.col("text")).alias("key"), "text").join(hits.select("key").distinct(), "key", "left_semi")
+    texts = again.select(_key(F.col("text")).alias("key"), _glued(F.col("text")).alias("text")).join(hits.select("key").distinct(), "key", "left_semi")
     placed = hits.join(texts.groupBy("key").agg(F.min("text").alias("text")), "key")
     # The tokens before are taken whole, one after the other, so that a long text needs no recursion.
     lead = F.concat(F.lit(r"^(?:[ \t\n\x0B\f\r]*+[^ \t\n\x0B\f\r]++){"), F.col("at").cast("string"), F.lit(r"}+[ \t\n\x0B\f\r]*+"))

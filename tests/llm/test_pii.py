@@ -113,6 +113,18 @@ def test_a_rare_sure_context_counts_among_any_number_of_seeds(spark):
     assert [(s.kind, s.start, s.end) for s in found[6000]] == [("phone", 17, 25)]
 
 
+def test_numbers_that_no_expression_judged_are_found(spark):
+    rows = [(i, f"so my phone is +1203555{i:04} thanks") for i in range(30)]
+    new = ["555-123-4567", "2035558282", "DE89370400440532013000", "203 555 8282", "(203) 555 8282", "555 12"]
+    judged = ["1234123412341234", "1234 1234 1234 1234", "+123-45", "1.2.3.400"]
+    rows += [(100 + i, f"ok 7 8 my phone is {x}, thanks") for i, x in enumerate(new + judged)]
+    found = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    got = [[(s.kind, texts[100 + i][s.start : s.end]) for s in found[100 + i]] for i in range(len(new + judged))]
+    want = [[("phone", x.lstrip("("))] for x in new]
+    assert got == want + [[]] * len(judged)
+
+
 def test_scores_by_hand(make):
     patterns = make("kind string, context string, seeds long", ("email", "a b", 8), ("email", "c d", 1))
     followers = make("context string, value string, n long", ("a b", None, 8), ("a b", "v", 2), ("c d", "v", 1), ("c d", None, 8))
