@@ -11,6 +11,7 @@ their rank within their length by counting over partitions and join the runs by
 from __future__ import annotations
 
 import heapq
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -22,6 +23,8 @@ from basketry.llm.tables import columns, cut, map_batches
 
 CAPACITY = 2048
 CLOSING_ID = 1
+#: From about a million blanks in a row on, tiktoken's pattern overflows its stack and ends the task.
+_LONG_BLANK = re.compile(r"(?<!\s)\s{100000}")
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
@@ -53,6 +56,23 @@ def encoder(path: str):
     )
 
 
+@lru_cache(maxsize=2)
+def whole_encoder(path: str):
+    """The tokenizer of the library ``tokenizers`` itself; special tokens are ordinary text."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def token_ids(path: str, text: str) -> list[int]:
+    """The ids of a text. Where a run of white space is too long for tiktoken's pattern, the other library makes them."""
+    if not _LONG_BLANK.search(text):
+        return encoder(path).encode_ordinary(text)
+    return whole_encoder(path).encode(text, add_special_tokens=False).ids
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -73,10 +93,9 @@ def pieces(
     path = tokenizer or default_tokenizer()
 
     def cut_up(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoding = encoder(path)
         out: list[list] = [[], [], [], [], []]
         for key, value in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-            tokens = encoding.encode_ordinary(value.as_py() or "") + [CLOSING_ID]
+            tokens = token_ids(path, value.as_py() or "") + [CLOSING_ID]
             data = np.array(tokens, "<u4").tobytes()
             for start in range(0, len(tokens), capacity):
                 piece = data[4 * start : 4 * (start + capacity)]

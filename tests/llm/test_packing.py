@@ -68,6 +68,18 @@ def test_ids_equal_the_other_library_on_odd_text():
     assert [encoding.encode_ordinary(t) + [1] for t in texts] == own_ids(texts)
 
 
+def test_very_long_runs_of_white_space(spark):
+    blank = [" " * 3_000_000, "\n" * 3_000_000, "a" + " \n" * 1_000_000 + "b", "don't " + "\t" * 150_000 + "<|endoftext|>"]
+    ids = own_ids(blank)
+    path = packing.default_tokenizer()
+    assert [packing.token_ids(path, t) + [1] for t in blank] == ids
+    edges = [n * " " + "x" for n in (99_999, 100_000, 100_001)]
+    assert [packing.token_ids(path, t) for t in edges] == [packing.encoder(path).encode_ordinary(t) for t in edges]
+    docs = spark.createDataFrame([(0, blank[0])], "doc_id long, text string")
+    rows = packing.pack(docs).orderBy("start").collect()
+    assert np.concatenate([np.frombuffer(r["ids"], "<u4") for r in rows]).tolist() == ids[0]
+
+
 def test_placing_every_length_once():
     draw = random.Random(6)
     for _ in range(60):
