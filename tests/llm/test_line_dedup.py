@@ -1,3 +1,5 @@
+import random
+
 from basketry.llm import line_dedup
 from basketry.llm.patience import align, longest_increasing
 from basketry.llm.queries import op1_line_dedup
@@ -47,6 +49,33 @@ def test_lines_of_many_documents_meet_the_first(spark):
     assert kept(spark, *texts) == [texts[0], *(prose(100 + i, 12) for i in range(1, len(texts)))]
 
 
+def test_windows_cover_every_long_enough_block():
+    draw = random.Random(4)
+    for _ in range(300):
+        lines = [(p, draw.randint(1, 12), True) for p in sorted(draw.sample(range(30), 20))]
+        found = line_dedup.windows(lines)
+        for a in range(20):
+            for b in range(a + 1, 20):
+                if lines[b][0] - lines[a][0] == b - a and sum(x[1] for x in lines[a : b + 1]) >= 10:
+                    inside = {i for x, y in found if a <= x and y <= b for i in range(x, y + 1)}
+                    assert inside | {i for i in range(a, b + 1) if lines[i][1] >= 10} == set(range(a, b + 1))
+
+
+def test_passages_of_many_documents_whose_lines_occur_alone_before(spark):
+    lines = [prose(i, 4) for i in range(30, 35)]
+    passage = "\n".join(lines)
+    alone = [f"{prose(1, 12)}\n{lines[2]}\n{prose(2, 12)}", f"{prose(3, 12)}\n{lines[0]}\n{lines[1]}\n{prose(4, 12)}"]
+    texts = [*alone, *(f"{prose(100 + i, 12)}\n{passage}" for i in range(3 * line_dedup.RARE))]
+    assert kept(spark, *texts) == [*alone, texts[2], *(prose(100 + i, 12) for i in range(1, len(texts) - 2))]
+
+
+def test_a_rare_line_beside_a_frequent_one(spark):
+    often, rare = prose(40, 7), prose(41, 6)
+    texts = [f"{prose(200 + i, 12)}\n{often}\n{prose(300 + i, 12)}" for i in range(2 * line_dedup.RARE)]
+    texts += [f"{prose(400 + i, 12)}\n{often}\n{rare}" for i in range(2)]
+    assert kept(spark, *texts) == [*texts[:-1], prose(401, 12)]
+
+
 def test_registered_query_by_brute_force(spark):
     """No document loses a line that no earlier one has, and none keeps a long line of an earlier one."""
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
