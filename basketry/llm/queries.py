@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +15,15 @@ from basketry.llm import (
     licenses,
     line_dedup,
     packing,
+    periodic,
     pii,
     simhash,
+    token_files,
     url_rules,
+    vector_codes,
 )
 from basketry.llm.tables import held_out, read
+from basketry.sources import paths
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +100,61 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in one of ten documents the words from a place on repeat the first p of them.
+
+    Place and p follow from the crc32 of the doc_id; a document without one stays as it is.
+    """
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    by = F.floor(hashed / 10)
+    size = F.size("words")
+    start = by % size
+    period = 1 + F.floor((size - start) / (3 + by % 8))
+    again = F.transform(
+        F.sequence("start", size.cast("long") - 1),
+        lambda i: F.get("words", (F.col("start") + (i - F.col("start")) % F.col("period")).cast("int")),
+    )
+    chosen = docs.select("doc_id", "text").withColumn("words", F.when(hashed % 10 == 0, words))
+    planted = chosen.withColumn("start", F.when(size > 0, start)).withColumn("period", F.when(size > 0, period))
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("start").cast("int")), again), " ")
+    return planted.select("doc_id", F.when(F.col("start").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(with_planted_periods(read(spark, sf_dir, "documents")))
+    # Runs come by start and period, so that the first of equally long ones stays.
+    greatest = F.aggregate(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda best, run: F.when(run["length"] * best["period"] > best["length"] * run["period"], run).otherwise(best),
+    )
+    line = lambda run: F.concat_ws(",", *[run[k].cast("string") for k in ("start", "length", "period")])
+    lines = F.array_join(F.transform("runs", lambda run: F.concat(line(run), F.lit("\n"))), "")
+    return found.withColumn("best", greatest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, codebooks = vector_codes.compress(read(spark, sf_dir, "embeddings"))
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c.cast("long")), 2, "0")))
+    digest = hashlib.sha256(",".join(map(str, codebooks.ravel().tolist())).encode()).hexdigest()
+    return found.select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error", "label_error",
+        F.lit(digest).alias("codebooks_sha256"),
+    )
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = paths.work_folder(spark, "token-files")
+    token_files.write(read(spark, sf_dir, "documents"), folder)
+    return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -106,6 +167,9 @@ def queries() -> dict:
         "op8_packing": op8_packing,
         "op9_url_rules": op9_url_rules,
         "op10_embeddings": op10_embeddings,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_token_files": op13_token_files,
     }
 
 
@@ -157,7 +221,47 @@ counts AS (SELECT a AS node, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e JOIN roots r ON e.vec_id = r.node LEFT JOIN counts c ON e.vec_id = c.node"""
 
+#: Every part against every entry of its codebook, in each round.
+_OP12_ROUND = """
+near{n} AS (
+  SELECT vec_id, label, p, any_value(x) AS x,
+    min(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - e[i]) * (x[i] - e[i]))) * 64 + k) AS best
+  FROM parts JOIN book{n} USING (p) GROUP BY vec_id, label, p),
+book{m} AS (
+  SELECT b.p, b.k, coalesce(any_value(r.e), any_value(b.e)) AS e FROM book{n} b LEFT JOIN (
+    SELECT p, k, list(CAST((s - ((s % c + c) % c)) / c AS BIGINT) ORDER BY i) AS e FROM (
+      SELECT p, best % 64 AS k, i, sum(x[i])::BIGINT AS s, count(*) AS c
+      FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM near{n}) GROUP BY ALL) GROUP BY ALL) r
+  ON b.p = r.p AND b.k = r.k GROUP BY b.p, b.k)"""
+_OP12_SQL = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT vec_id, label, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS x
+  FROM (SELECT *, unnest(range(16)) AS p FROM kept)),
+book0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, x AS e FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)),
+{_OP12_ROUND.format(n=0, m=1)},
+{_OP12_ROUND.format(n=1, m=2)},
+{_OP12_ROUND.format(n=2, m=3).split("),\nbook3")[0]}),
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', best % 64), '' ORDER BY p) AS code, sum(best // 64)::BIGINT AS error
+  FROM near2 GROUP BY vec_id, label),
+digest AS (
+  SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY p, k, i)) AS codebooks_sha256
+  FROM (SELECT p, k, unnest(e) AS y, unnest(range(len(e))) AS i FROM book2))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT codebooks_sha256 FROM digest) AS codebooks_sha256
+FROM coded"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries it can express; the others are tested by brute force."""
-    return {"op3_decontamination": _OP3_SQL, "op10_embeddings": _OP10_SQL}
+    return {
+        "op3_decontamination": _OP3_SQL,
+        "op10_embeddings": _OP10_SQL,
+        "op12_vector_codes": _OP12_SQL,
+    }

@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -79,6 +82,20 @@ def map_partitions(
     return df.mapInArrow(function, schema)
 
 
+def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """A batch cut into parts whose values of ``column`` have about ``limit`` bytes, one row at least.
+
+    What a worker builds from a part is then bounded by the limit or by one long text, however many
+    rows the batch has.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // limit
+    starts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
+    for start, end in pairwise(starts):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
 def texts_as_bytes(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding them."""
     return batch.column(column).cast(pa.binary()).to_pylist()

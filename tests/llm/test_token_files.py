@@ -1,0 +1,140 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from basketry.llm import token_files
+from basketry.llm.queries import op13_token_files
+
+SF = "/root/testdata/sf0.001"
+
+
+def own_ids(texts, path=None):
+    tokenizer = Tokenizer.from_file(path or token_files.default_tokenizer())
+    tokenizer.encode_special_tokens = True
+    return [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+
+
+def ids_of(row) -> list[int]:
+    return np.frombuffer(row["ids"], "<u4").tolist()
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_any_ids_come_back_from_their_code(seed):
+    draw = np.random.default_rng(seed)
+    lengths = draw.integers(1, 40, draw.integers(1, 30))
+    ranks = (2 ** draw.uniform(0, 32, lengths.sum())).astype("<u4")
+    ranks[:3] = [0, 255, 256]
+    ranks[-3:] = [65535, 65536, (1 << 32) - 1]
+    control, data, *ends = token_files.encode(ranks, lengths)
+    assert (token_files.decode(control, data, lengths) == ranks).all()
+    # Each document by itself.
+    at = [0, *np.cumsum(lengths)]
+    parts = [np.concatenate([[0], e]) for e in ends]
+    for i, n in enumerate(lengths):
+        own = [x[p[i] : p[i + 1]] for x, p in zip((control, data), parts, strict=True)]
+        assert (token_files.decode(*own, lengths[i : i + 1]) == ranks[at[i] : at[i + 1]]).all()
+
+
+def test_lengths_follow_from_control_bytes():
+    control, data, *_ = token_files.encode(np.array([5, 300, 70_000, 1 << 24, 7], "<u4"), np.array([5]))
+    assert control.tolist() == [0b11100100, 0]
+    assert data.tolist() == [5, 44, 1, 112, 17, 1, 0, 0, 0, 1, 7]
+
+
+TEXTS = [
+    "It's A dog, don't; x's... (so) 'll's 1234 a1b2", "<|endoftext|> a<|startoftext|>b", "\x01 a \x01\x01 b\x01",
+    "H̱ ẖ ẗ İ İ ΣΣ Été é, a,́ a≯", "a b c　d\u0085e\x1cf\x00g",
+    "中文字, \U0001f600\U0001f600! क्ष", "x" * 5000 + ", " + "y" * 70 + "% ", "a" * 64 + " " + "a" * 65, " ", "",
+]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_by_word_are_those_of_whole_texts(name):
+    import public_tokenizers
+
+    path = public_tokenizers.path(name)
+    words = token_files.Words(path)
+    assert words.by_word == words.by_letters == (name == "word_bpe_49k.json")
+    for _ in range(2):  # asked for, and remembered
+        got = words.ids([t.encode() for t in TEXTS])
+        assert [np.frombuffer(i, "<u4").tolist() for i in got] == own_ids(TEXTS, path)
+    assert all(len(w) <= token_files.WORD_BYTES for w in words.known)
+
+
+_WORDS = token_files.Words(token_files.default_tokenizer())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"]) | st.sampled_from("aAbé'.,;!st \ń̈\x01"))))
+def test_ids_of_random_unicode(texts):
+    got = _WORDS.ids([t.encode() for t in texts])
+    assert [np.frombuffer(i, "<u4").tolist() for i in got] == own_ids(texts)
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 5)
+    words = token_files.Words(token_files.default_tokenizer())
+    texts = [f"some words, word{i} more" for i in range(20)]
+    got = [words.ids([t.encode()])[0] for t in texts]
+    assert [np.frombuffer(i, "<u4").tolist() for i in got] == own_ids(texts)
+
+
+def test_the_query_equals_the_library(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    ids, at, want = own_ids([d.text for d in docs]), 0, set()
+    for doc, own in zip(docs, ids, strict=True):
+        want.add((doc.doc_id, at, len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
+        at += len(own)
+    assert {tuple(r) for r in op13_token_files(spark, SF).collect()} == want
+
+
+def test_files_are_ranked_ordered_and_bounded(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    token_files.write(docs.repartition(6), str(tmp_path), block=2000)
+    spark.conf.unset(merging)
+    blocks = spark.read.parquet(f"{tmp_path}/blocks").orderBy("file", "block").collect()
+    assert len({b.file for b in blocks}) > 1
+    order = [i for b in blocks for i in b.doc_ids]
+    assert order == sorted(r.doc_id for r in docs.collect())
+    for b in blocks:
+        assert len(b.doc_ids) == len(b.n_tokens)
+        assert len(b.control) == sum(-(-n // 4) for n in b.n_tokens)
+        # Without its last document a block has not reached its size.
+        last = token_files.LENGTHS[np.frombuffer(b.control, np.uint8)[-(-(-b.n_tokens[-1] // 4)) :]].sum()
+        last = int(last)
+        assert len(b.data) - last < 2000
+    ranked = {r["rank"]: r["id"] for r in spark.read.parquet(f"{tmp_path}/ranks").collect()}
+    counts = np.bincount([i for own in own_ids([r.text for r in docs.collect()]) for i in own])
+    by_rank = [counts[ranked[i]] for i in range(len(ranked))]
+    assert by_rank == sorted(by_rank, reverse=True) and sum(by_rank) == counts.sum()
+
+
+def test_hard_rows(spark, hard_docs, hard_rows, no_docs, tmp_path):
+    token_files.write(hard_docs, f"{tmp_path}/hard")
+    got = sorted((r["start"], r["doc_id"], ids_of(r)) for r in token_files.read(spark, f"{tmp_path}/hard").collect())
+    want = zip([r[0] for r in hard_rows], own_ids([r[1] for r in hard_rows]), strict=True)
+    assert sorted(repr(g[1:]) for g in got) == sorted(map(repr, want))
+    assert [g[1] for g in got] == sorted((g[1] for g in got), key=lambda i: -1 if i is None else i)
+    assert [g[0] for g in got] == [0, *np.cumsum([len(g[2]) for g in got])[:-1]]
+    token_files.write(no_docs, f"{tmp_path}/none")
+    assert token_files.read(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_equal_rows_are_divided_and_written_alike(spark, tmp_path):
+    draw = random.Random(3)
+    rows = [(None, "one text of many copies")] * 400 + [(5, f"w{draw.random()}") for _ in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for i, parts in enumerate((3, 7)):
+        token_files.write(docs.repartition(parts), f"{tmp_path}/{i}")
+        found.append(sorted((r["start"], r["doc_id"], ids_of(r)) for r in token_files.read(spark, f"{tmp_path}/{i}").collect()))
+    assert found[0] == found[1] and len(found[0]) == 700
