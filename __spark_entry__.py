@@ -137,6 +137,18 @@ def _scan_csv(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return scan.select(*ENTITIES[entity].columns)
 
 
+def scan_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products whose names hold line breaks and quotes, landed as lines and put together by block."""
+
+    def fill(at: str) -> None:
+        products = driver_tables.raw_products_in_lines(spark, sf_dir)
+        driver_tables.write_csv(products, f"{at}/source", raw.RFC4180)
+        snapshots.write_snapshot(raw.read_lines(spark, f"{at}/source"), f"{at}/products", LABEL)
+
+    at = stored.folder(spark, sf_dir, "in-lines", fill)
+    return raw.read_raw(spark, at, "products", LABEL, raw.RFC4180)[0].drop("source_file_name")
+
+
 def scan_parquet_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{paths.work_folder(spark, 'bronze')}/orders"
     snapshots.write_snapshot(_bronze(spark, sf_dir, "orders"), root, LABEL)
@@ -274,6 +286,7 @@ def queries() -> dict[str, Query]:
         "raw_landing": raw_landing,
         "raw_landing_summary": raw_landing_summary,
         **{f"scan_csv_{e}": partial(_scan_csv, entity=e) for e in ENTITIES},
+        "scan_csv_multiline": scan_csv_multiline,
         "scan_parquet_snapshot": scan_parquet_snapshot,
         "latest_snapshot": latest_snapshot,
         "snapshot_label": snapshot_label,

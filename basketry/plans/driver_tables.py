@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from basketry.contracts import ENTITIES
+from basketry.sources.raw import DEFAULT, Dialect
 
 # Department ids by product type. STANDARD has an id but no department row.
 DEPARTMENT_IDS = {
@@ -113,11 +114,14 @@ def _aisle_id() -> Column:
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     every_17 = F.col("p_partkey") % 17 == 0
+    name = F.concat("p_name", F.when(every_17, ', "large"').otherwise(""), F.lit(" "))
+    return _products(spark, sf_dir, name)
+
+
+def _products(spark: SparkSession, sf_dir: str, name: Column) -> DataFrame:
     return _table(spark, sf_dir, "part").select(
         F.concat(F.lit(" "), _text(F.col("p_partkey"))).alias("product_id"),
-        F.concat("p_name", F.when(every_17, ', "large"').otherwise(""), F.lit(" ")).alias(
-            "product_name"
-        ),
+        name.alias("product_name"),
         _aisle_id().alias("aisle_id"),
         _department_id().alias("department_id"),
     )
@@ -155,6 +159,13 @@ def raw_order_products_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_items(spark, sf_dir, F.col("l_linestatus") == "F")
 
 
+def raw_products_in_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The products, every third one with a name of several lines, quotes and commas."""
+    lines = F.concat(F.replace("p_name", F.lit(" "), F.lit("\n")), F.lit('\n\n"'), "p_type", F.lit('",\n'), "p_name")
+    other = F.concat("p_name", F.lit(' 5" x'))
+    return _products(spark, sf_dir, F.when(F.col("p_partkey") % 3 == 0, lines).otherwise(other))
+
+
 RAW_TABLES = {
     "orders": raw_orders,
     "products": raw_products,
@@ -165,10 +176,11 @@ RAW_TABLES = {
 }
 
 
-def write_csv(table: DataFrame, path: str) -> None:
-    """A CSV source in the default dialect, blanks kept: a directory of parts with a header each."""
+def write_csv(table: DataFrame, path: str, dialect: Dialect = DEFAULT) -> None:
+    """A CSV source, blanks kept: a directory of parts with a header each."""
     (
         table.write.option("header", True)
+        .option("escape", dialect.escape)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

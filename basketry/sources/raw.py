@@ -10,9 +10,9 @@ import csv
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from basketry.contracts import ENTITIES, Entity
 from basketry.functions.together import together
@@ -36,8 +36,7 @@ class Dialect:
     """How quotes and line breaks inside quoted fields are written.
 
     With ``doubled_quotes`` a quote inside a field is doubled, else it has a backslash before it.
-    With ``multi_line`` fields may hold line breaks; the lines of a file are then put together by
-    one task, else a record ends with its line.
+    With ``multi_line`` quoted fields may hold line breaks, else a record ends with its line.
     """
 
     doubled_quotes: bool = False
@@ -112,30 +111,98 @@ def land_sources(
     return together(spark, [partial(land, e) for e in ENTITIES.values()])
 
 
+def _open_after(dialect: Dialect) -> tuple[Column, Column]:
+    """Whether a quoted field is open after a line, if none was before it, and if one was.
+
+    A quote opens a field only where the field begins; elsewhere in an unquoted one it is text. The patterns
+    never go back, so that lines of any length need no more stack.
+    """
+    inside = '[^"]*+(?:""[^"]*+)*+' if dialect.doubled_quotes else r'[^"\\]*+(?:\\(?:.|$)[^"\\]*+)*+'
+    field = f'(?:"{inside}"[^,]*+|[^",][^,]*+)?'
+    rest = f'(?:{field},)*+"{inside}$'
+    line = F.col("line")
+    return line.rlike(f"(?s)^{rest}"), line.rlike(f'(?s)^{inside}(?:$|"[^,]*+,{rest})')
+
+
+def _joined(lines: DataFrame, dialect: Dialect) -> DataFrame:
+    """Records as one row each, where quoted fields may hold line breaks.
+
+    What a line does to the state of being inside a quoted field is one of four things: it closes, opens, keeps or flips
+    it. These compose in any grouping, so each block of a file is summed up by itself, the sums (a row for each
+    block) are put in order, and with the state at its start each block finds its records. Only the parts of
+    records that cross the edge of a block are shuffled again.
+    """
+    block = ["source_file", "block"]
+    from_none, from_open = _open_after(dialect)
+    in_block = Window.partitionBy(*block).orderBy("row")
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    marked = lines.select(*LINE_COLUMNS, from_none.alias("sets_to"), from_open.alias("from_open")).select(
+        *LINE_COLUMNS,
+        F.when(F.col("sets_to") == F.col("from_open"), F.col("sets_to")).alias("sets_to"),
+        (F.col("sets_to") & ~F.col("from_open")).cast("int").alias("flips"),
+    )
+    marked = marked.withColumn("turns", F.sum("flips").over(in_block))
+    set_at = F.struct(F.col("sets_to").alias("to"), "turns")
+    last = F.last(F.when(F.col("sets_to").isNotNull(), set_at), ignorenulls=True)
+    marked = marked.withColumn("last", last.over(before)).select(
+        *LINE_COLUMNS, "sets_to", "flips",
+        F.col("last.to").alias("known"),  # the state before the line, but for `odd`; NULL: that of the block's start
+        ((F.col("turns") - F.col("flips") - F.coalesce("last.turns", F.lit(0))) % 2 == 1).alias("odd"),
+    )
+
+    def starts(entry: bool) -> Column:
+        return F.max(F.when(F.coalesce("known", F.lit(entry)) == F.col("odd"), F.col("row")))
+
+    after = F.struct(
+        F.coalesce("sets_to", "known").alias("known"),
+        (F.col("sets_to").isNull() & (F.col("odd") != (F.col("flips") == 1))).alias("odd"),
+    )
+    edges = marked.groupBy(*block).agg(
+        F.max_by(after, "row").alias("after"), starts(False).alias("last_start"), starts(True).alias("last_start_inside")
+    )
+    in_file = Window.partitionBy("source_file").orderBy("block")
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    flips = (F.col("after.known").isNull() & F.col("after.odd")).cast("int")
+    edges = edges.withColumn("flips", flips).withColumn("turns", F.sum("flips").over(in_file))
+    set_at = F.struct((F.col("after.known") != F.col("after.odd")).alias("to"), "turns")
+    last = F.last(F.when(F.col("after.known").isNotNull(), set_at), ignorenulls=True)
+    edges = edges.withColumn("last", last.over(earlier))
+    odd = (F.col("turns") - F.col("flips") - F.coalesce("last.turns", F.lit(0))) % 2 == 1
+    edges = edges.withColumn("entry", F.coalesce("last.to", F.lit(False)) != odd)
+    edges = edges.select(
+        *block, "entry",
+        (F.coalesce("after.known", "entry") != F.col("after.odd")).alias("exit"),
+        F.when(F.col("entry"), F.col("last_start_inside")).otherwise(F.col("last_start")).alias("last_start"),
+    )
+    # In which block the record began that is open at the start of a block.
+    opens = F.when(F.col("exit") & F.col("last_start").isNotNull(), F.col("block"))
+    edges = edges.withColumn("home", F.last(opens, ignorenulls=True).over(earlier))
+
+    began = F.coalesce("known", "entry") == F.col("odd")
+    numbered = marked.join(edges, block).withColumn("record", F.count_if(began).over(in_block))
+    parts = numbered.groupBy(*block, "record").agg(
+        F.min("row").alias("row"),
+        F.array_join(F.array_sort(F.collect_list(F.struct("row", "line")))["line"], "\n").alias("line"),
+        *[F.first(c).alias(c) for c in ("exit", "last_start", "home")],
+    )
+    goes_on = F.col("exit") & (F.col("row") == F.col("last_start"))
+    crosses = (F.col("record") == 0) | F.coalesce(goes_on, F.lit(False))
+    home = F.when(F.col("record") == 0, F.col("home")).otherwise(F.col("block"))
+    crossing = parts.where(crosses).select("line", "source_file", "block", "row", home.alias("home"))
+    put_together = crossing.groupBy("source_file", "home").agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("block", "line")))["line"], "\n").alias("line"),
+        F.min_by("row", "block").alias("row"),
+    )
+    return parts.where(~crosses).select(*LINE_COLUMNS).unionByName(
+        put_together.select("line", "source_file", F.col("home").alias("block"), "row")
+    )
+
+
 def _records(lines: DataFrame, dialect: Dialect) -> DataFrame:
     """Lines that are a record each; with ``multi_line`` those that a quoted break parts are joined."""
     lines = lines.withColumn("line", F.rtrim("line", F.lit("\r")))
     if dialect.multi_line:
-        plain = F.col("line")
-        if not dialect.doubled_quotes:
-            plain = F.regexp_replace(plain, r"\\.", "")
-        quotes = F.length(plain) - F.length(F.replace(plain, F.lit('"')))
-        in_file = Window.partitionBy("source_file").orderBy("block", "row")
-        before = in_file.rowsBetween(Window.unboundedPreceding, -1)
-        starts = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 0
-        numbered = lines.withColumn("quotes", quotes).withColumn("starts", starts)
-        numbered = numbered.withColumn("record", F.count_if("starts").over(in_file))
-        parts = F.array_sort(F.collect_list(F.struct("block", "row", "line")))
-        lines = (
-            numbered.groupBy("source_file", "record")
-            .agg(parts.alias("parts"))
-            .select(
-                F.array_join(F.col("parts.line"), "\n").alias("line"),
-                "source_file",
-                F.col("parts")[0]["block"].alias("block"),
-                F.col("parts")[0]["row"].alias("row"),
-            )
-        )
+        lines = _joined(lines, dialect)
     return lines.where(F.col("line").rlike(r"[^\x00-\x20]"))
 
 
@@ -149,8 +216,8 @@ def _names(header: str, dialect: Dialect) -> list[str]:
 def parse_lines(lines: DataFrame, dialect: Dialect = DEFAULT) -> DataFrame:
     """String columns named by the header of each file, and ``source_file``.
 
-    Files with equal headers are read together; others are put together by name, NULL where a
-    file lacks a column. Blank lines are left out, fields beyond the header are not read, missing
+    Files with other headers are put together by name, NULL where a file lacks a column, all in one
+    pass. Blank lines are left out, fields beyond the header are not read, missing
     ones are NULL.
     """
     # Headers are in the first block of a file, so that other files of the snapshot are not read
@@ -167,18 +234,16 @@ def parse_lines(lines: DataFrame, dialect: Dialect = DEFAULT) -> DataFrame:
     if sum(files.values()) <= BROADCAST_FILES:
         first = F.broadcast(first)
     body = records.join(first, "source_file").where(at != F.col("first"))
-    parsed = []
-    for header in sorted(files):
-        schema = StructType()
-        for name in _names(header, dialect):
-            schema.add(name, StringType())
-        fields = F.from_csv("line", schema.toDDL(), {"escape": dialect.escape})
-        own = body.where(F.col("header") == header)
-        parsed.append(own.select(fields.alias("fields"), "source_file").select("fields.*", "source_file"))
-    out = parsed[0]
-    for more in parsed[1:]:
-        out = out.unionByName(more, allowMissingColumns=True)
-    return out
+    schemas = {h: StructType([StructField(n, StringType()) for n in _names(h, dialect)]) for h in sorted(files)}
+    names = list(dict.fromkeys(n for schema in schemas.values() for n in schema.names))
+    fields = F.lit(None)
+    for header, schema in schemas.items():
+        own = F.from_csv("line", schema.toDDL(), {"escape": dialect.escape})
+        if schema.names != names:  # bound to a name, so that a line is parsed once
+            every = [(lambda f, n: f[n] if n in schema.names else F.lit(None).cast("string"), n) for n in names]
+            own = F.transform(F.array(own), lambda f: F.struct(*[pick(f, n).alias(n) for pick, n in every]))[0]
+        fields = own if len(schemas) == 1 else F.when(F.col("header") == header, own).otherwise(fields)
+    return body.select(fields.alias("fields"), "source_file").select("fields.*", "source_file")
 
 
 def _listing(spark: SparkSession, path: str) -> DataFrame:

@@ -347,6 +347,12 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{e}' AS entity, TRUE AS has_files, TRUE AS bytes_agree" for e in ENTITIES
     )
     out |= {f"scan_csv_{e}": _all_of(f"raw_{e}") for e in ENTITIES}
+    out["scan_csv_multiline"] = (
+        "SELECT ' ' || p_partkey AS product_id, CASE WHEN p_partkey % 3 = 0 THEN"
+        " replace(p_name, ' ', chr(10)) || chr(10) || chr(10) || '\"' || p_type || '\",' || chr(10) || p_name"
+        f" ELSE p_name || ' 5\" x' END AS product_name, {_AISLE_ID} AS aisle_id,"
+        f" {_DEPARTMENT_CASE} AS department_id FROM part"
+    )
     out["scan_parquet_snapshot"] = _all_of("bronze_orders")
     out["latest_snapshot"] = _with(
         ["bronze_products"],

@@ -1,0 +1,101 @@
+"""Records that hold line breaks, in files of many blocks."""
+
+from __future__ import annotations
+
+import csv
+import io
+import random
+
+import pytest
+
+from basketry.sources import raw
+
+csv.field_size_limit(10_000_000)
+
+SMALL_BLOCKS = {
+    "spark.sql.files.maxPartitionBytes": "60", "spark.sql.files.openCostInBytes": "1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def small_blocks(spark):
+    for key, value in SMALL_BLOCKS.items():
+        spark.conf.set(key, value)
+    yield
+    for key in SMALL_BLOCKS:
+        spark.conf.unset(key)
+
+
+def field(draw: random.Random, doubled: bool) -> str:
+    kind = draw.random()
+    if kind < 0.3:
+        return "".join(draw.choices("ab 1.", k=draw.randint(0, 6)))
+    if kind < 0.45:  # quotes that open nothing
+        return "x" + "".join(draw.choices('a" ', k=draw.randint(0, 6)))
+    quote = '""' if doubled else '\\"'
+    inside = "".join(draw.choices(["a", ",", "\n", quote, "bc ", "\n\n"], k=draw.randint(0, 25)))
+    return f'"{inside}"'
+
+
+def text(draw: random.Random, records: int, doubled: bool = True) -> str:
+    rows = [",".join(["r", *(field(draw, doubled) for _ in range(draw.randint(1, 3)))]) for _ in range(records)]
+    return "\n".join(rows)
+
+
+def read(text: str, doubled: bool = True) -> list[list[str]]:
+    escape = None if doubled else "\\"
+    return [r for r in csv.reader(io.StringIO(text, newline=""), doublequote=doubled, escapechar=escape) if r]
+
+
+def records(spark, folder, dialect) -> dict[str, list[str]]:
+    """The records of each file, in order."""
+    found = raw._records(raw.read_lines(spark, str(folder)), dialect).orderBy("source_file", "block", "row")
+    out: dict[str, list[str]] = {}
+    for r in found.collect():
+        out.setdefault(r.source_file.rsplit("/", 1)[1], []).append(r.line)
+    return out
+
+
+@pytest.mark.parametrize("doubled", [True, False])
+def test_records_of_many_blocks_equal_a_csv_reader(spark, tmp_path, small_blocks, doubled):
+    draw = random.Random(4)
+    texts = {f"f{i}": text(draw, draw.randint(1, 60), doubled) for i in range(12)}
+    # Quotes that are never closed: the rest of the file is one field.
+    texts["early"] = 'r,a\nr,"open\n' + text(draw, 40, doubled)
+    texts["late"] = text(draw, 40, doubled) + '\nr,"open\nto,the end'
+    texts["last"] = text(draw, 40, doubled) + '\nr,"'
+    # One record over many blocks, and blocks without the start of any.
+    texts["long"] = 'r,"' + "many lines,\n" * 60 + '",x\nr,y'
+    for name, whole in texts.items():
+        (tmp_path / name).write_text(whole, newline="")
+    found = records(spark, tmp_path, raw.Dialect(doubled_quotes=doubled, multi_line=True))
+    assert raw.read_lines(spark, str(tmp_path)).select("source_file", "block").distinct().count() > 100
+    for name, whole in texts.items():
+        apart = [r for record in found[name] for r in read(record, doubled)]
+        assert apart == read(whole, doubled), name
+        assert len(found[name]) == len(read(whole, doubled)), name
+
+
+def test_long_lines_need_no_deep_stack(spark, tmp_path):
+    whole = 'r,"' + 'a""' * 200_000 + "\n" + '""b,' * 200_000 + '"\n' + "r," + '"x",' * 100_000 + '"\n"'
+    (tmp_path / "f").write_text(whole)
+    found = records(spark, tmp_path, raw.RFC4180)["f"]
+    assert [read(r)[0] for r in found] == read(whole) and len(found) == 2
+
+
+def test_lines_are_ordered_within_their_block_only(spark, tmp_path):
+    (tmp_path / "f").write_text(text(random.Random(1), 50))
+    found = raw._records(raw.read_lines(spark, str(tmp_path)), raw.RFC4180)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    by_file = [w for w in windows if "[source_file" in w and "[source_file#" in w and ", block#" not in w.split("], [")[1]]
+    # What is put in order for a whole file are the blocks, of which there is one row each.
+    assert windows and all("row#" not in w.split("], [")[-1] for w in by_file)
+    assert any("row#" in w.split("], [")[-1] for w in windows)
+
+
+def test_no_lines(spark, tmp_path):
+    (tmp_path / "f").write_text("")
+    assert records(spark, tmp_path, raw.RFC4180) == {}
