@@ -25,7 +25,7 @@ from basketry.contracts import AUDIT_COLUMNS, ENTITIES, LAYERS
 from basketry.functions.skew import hot_keys, uneven_share
 from basketry.operators import gold, quality, questions, silver
 from basketry.operators.bronze import to_bronze
-from basketry.plans import driver_tables, medallion, stored
+from basketry.plans import driver_tables, lineage, medallion, stored
 from basketry.sources import paths, raw, snapshots
 
 # The operators on training text are a part of their own; the rest works without them.
@@ -214,6 +214,30 @@ def _end_to_end(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return snapshots.read_snapshot(spark, at.table("gold", table)).drop(*AUDIT_COLUMNS)
 
 
+def run_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs of all tables after the aisles alone were landed anew, and after building what that made stale."""
+
+    def fill(at: str) -> None:
+        run, source = medallion.Roots.under(f"{at}/layers"), stored.sources(spark, sf_dir)
+        raw.land_sources(spark, source, run.raw, OLD_LABEL)
+        medallion.run_stale(spark, run)
+        aisles = raw.read_lines(spark, f"{source}/{ENTITIES['aisles'].file_name}")
+        snapshots.write_snapshot(aisles, f"{run.raw}/aisles", LABEL)
+        lineage.report(spark, run).write.parquet(f"{at}/landed")
+        snapshots.summary_frame(spark, medallion.run_stale(spark, run)).write.parquet(f"{at}/written")
+        lineage.report(spark, run).write.parquet(f"{at}/built")
+
+    at = stored.folder(spark, sf_dir, "stale", fill)
+    phases = [spark.read.parquet(f"{at}/{p}").withColumn("phase", F.lit(p)) for p in ("landed", "built")]
+    written = spark.read.parquet(f"{at}/written").select(F.col("table_name").alias("name"), "row_count")
+    return (
+        quality.union_reports(phases)
+        .withColumn("name", F.substring_index("table_name", ".", -1))
+        .join(written, "name", "left")
+        .drop("name")
+    )
+
+
 def dq_source_raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For the raw layer, and for a copy of it that lacks a line of the departments."""
     source, root = stored.sources(spark, sf_dir), stored.raw_root(spark, sf_dir)
@@ -292,6 +316,7 @@ def queries() -> dict[str, Query]:
         "snapshot_label": snapshot_label,
         "snapshot_overwrite": snapshot_overwrite,
         "snapshot_summary": snapshot_summary,
+        "run_stale": run_stale,
         **{f"end_to_end_{t}": partial(_end_to_end, table=t) for t in LAYERS["gold"]},
         "dq_key_duplicates": lambda s, d: quality.key_duplicates(stored.all_bronze(s, d)),
         "dq_type_conformance": lambda s, d: quality.type_conformance(stored.all_raw(s, d)),

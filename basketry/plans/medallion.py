@@ -19,13 +19,10 @@ from basketry.functions.skew import hot_keys, uneven_share
 from basketry.functions.together import together
 from basketry.operators import gold, silver
 from basketry.operators.bronze import to_bronze
+from basketry.plans import lineage
+from basketry.plans.lineage import Version
 from basketry.sources.raw import DEFAULT, Dialect, read_raw
-from basketry.sources.snapshots import (
-    SnapshotSummary,
-    latest_snapshot,
-    read_snapshot,
-    write_snapshot,
-)
+from basketry.sources.snapshots import SnapshotSummary, read_snapshot, write_snapshot
 
 LAYER_ORDER = ["bronze", "silver", "gold"]
 
@@ -48,10 +45,18 @@ class Roots:
         return f"{getattr(self, layer).rstrip('/')}/{name}"
 
 
-def _read(spark: SparkSession, roots: Roots, layer: str, name: str) -> tuple[DataFrame, str]:
-    root = roots.table(layer, name)
-    label = latest_snapshot(spark, root)
-    return read_snapshot(spark, root, label, contract(layer, name)), label
+def _read(spark: SparkSession, roots: Roots, given: Version) -> DataFrame:
+    kind = contract(given.layer, given.name)
+    return read_snapshot(spark, roots.table(given.layer, given.name), given.label, kind)
+
+
+def _write(
+    spark: SparkSession, roots: Roots, layer: str, name: str, df: DataFrame, made_of: list[Version]
+) -> SnapshotSummary:
+    """Labelled like the first input; what it was made of is recorded once it is there."""
+    summary = write_snapshot(df, roots.table(layer, name), made_of[0].label)
+    lineage.record(spark, roots, (layer, name), summary.label, made_of)
+    return summary
 
 
 def run_bronze(
@@ -61,56 +66,45 @@ def run_bronze(
     batch_time: datetime | None = None,
     dialect: Dialect = DEFAULT,
 ) -> SnapshotSummary:
-    raw, label = read_raw(spark, roots.raw, entity, dialect=dialect)
-    return write_snapshot(
-        to_bronze(raw, entity, label, batch_time), roots.table("bronze", entity), label
-    )
+    given = lineage.inputs(spark, roots, ("bronze", entity))
+    label = given[0].label
+    raw, _ = read_raw(spark, roots.raw, entity, label, dialect)
+    return _write(spark, roots, "bronze", entity, to_bronze(raw, entity, label, batch_time), given)
 
 
 def run_orders_clean(
     spark: SparkSession, roots: Roots, batch_time: datetime | None = None
 ) -> SnapshotSummary:
-    orders, label = _read(spark, roots, "bronze", "orders")
-    return write_snapshot(
-        silver.orders_clean(orders, batch_time), roots.table("silver", "orders_clean"), label
-    )
+    given = lineage.inputs(spark, roots, ("silver", "orders_clean"))
+    table = silver.orders_clean(_read(spark, roots, given[0]), batch_time)
+    return _write(spark, roots, "silver", "orders_clean", table, given)
 
 
 def run_products_enriched(
     spark: SparkSession, roots: Roots, batch_time: datetime | None = None
 ) -> SnapshotSummary:
     """Labelled like the products; aisles and departments use their own latest snapshot."""
-    products, label = _read(spark, roots, "bronze", "products")
-    aisles, _ = _read(spark, roots, "bronze", "aisles")
-    departments, _ = _read(spark, roots, "bronze", "departments")
-    return write_snapshot(
-        silver.products_enriched(products, aisles, departments, batch_time),
-        roots.table("silver", "products_enriched"),
-        label,
-    )
+    given = lineage.inputs(spark, roots, ("silver", "products_enriched"))
+    table = silver.products_enriched(*(_read(spark, roots, v) for v in given), batch_time)
+    return _write(spark, roots, "silver", "products_enriched", table, given)
 
 
 def run_order_items(
     spark: SparkSession, roots: Roots, source: str, batch_time: datetime | None = None
 ) -> SnapshotSummary:
     """``source`` is prior or train. Labelled like the items; the rest uses its own latest."""
-    items, label = _read(spark, roots, "bronze", f"order_products_{source}")
-    orders, _ = _read(spark, roots, "silver", "orders_clean")
-    products, _ = _read(spark, roots, "silver", "products_enriched")
-    return write_snapshot(
-        silver.order_items_enriched(items, orders, products, batch_time),
-        roots.table("silver", f"order_items_{source}_enriched"),
-        label,
-    )
+    name = f"order_items_{source}_enriched"
+    given = lineage.inputs(spark, roots, ("silver", name))
+    table = silver.order_items_enriched(*(_read(spark, roots, v) for v in given), batch_time)
+    return _write(spark, roots, "silver", name, table, given)
 
 
 def run_orders_by_period(
     spark: SparkSession, roots: Roots, batch_time: datetime | None = None
 ) -> SnapshotSummary:
-    orders, label = _read(spark, roots, "silver", "orders_clean")
-    return write_snapshot(
-        gold.orders_by_period(orders, batch_time), roots.table("gold", "orders_by_period"), label
-    )
+    given = lineage.inputs(spark, roots, ("gold", "orders_by_period"))
+    table = gold.orders_by_period(_read(spark, roots, given[0]), batch_time)
+    return _write(spark, roots, "gold", "orders_by_period", table, given)
 
 
 def run_product_rankings(
@@ -124,15 +118,14 @@ def run_product_rankings(
     What is kept between the two writes is one row per product; a lost part of it
     is computed again.
     """
-    items, label = _read(spark, roots, "silver", "order_items_prior_enriched")
+    given = lineage.inputs(spark, roots, ("gold", "top_products"))  # those of the other ranking, too
+    items = _read(spark, roots, given[0])
     hot_users = hot_keys(items, "user_id", share=uneven_share(spark))["user_id"]
     measures = gold.product_measures(items, place_by_user=not hot_users)
     measures.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return [
-            write_snapshot(
-                gold.product_ranking(measures, t, batch_time), roots.table("gold", t), label
-            )
+            _write(spark, roots, "gold", t, gold.product_ranking(measures, t, batch_time), given)
             for t in tables
         ]
     finally:
@@ -180,3 +173,35 @@ def run(
     """All layers up to ``upto``, from landed raw snapshots."""
     wanted = LAYER_ORDER[: LAYER_ORDER.index(upto) + 1]
     return [s for layer in wanted for s in run_layer(spark, roots, layer, batch_time, dialect)]
+
+
+def run_stale(
+    spark: SparkSession, roots: Roots, batch_time: datetime | None = None, dialect: Dialect = DEFAULT
+) -> list[SnapshotSummary]:
+    """Build only the tables whose inputs have newer or other snapshots than those they were made of.
+
+    Tables that do not need each other are built side by side. With nothing to do nothing is written.
+    """
+    stale = [table for table, inputs in lineage.stale_inputs(spark, roots).items() if inputs]
+    rankings = tuple(name for name in ("top_products", "repurchase_metrics") if ("gold", name) in stale)
+    step = {
+        **{("bronze", e): partial(run_bronze, spark, roots, e, batch_time, dialect) for e in ENTITIES},
+        ("silver", "orders_clean"): partial(run_orders_clean, spark, roots, batch_time),
+        ("silver", "products_enriched"): partial(run_products_enriched, spark, roots, batch_time),
+        **{
+            ("silver", f"order_items_{s}_enriched"): partial(run_order_items, spark, roots, s, batch_time)
+            for s in ("prior", "train")
+        },
+        ("gold", "orders_by_period"): partial(run_orders_by_period, spark, roots, batch_time),
+        **dict.fromkeys(
+            [("gold", name) for name in rankings[:1]],
+            partial(run_product_rankings, spark, roots, batch_time, rankings),
+        ),
+    }
+    written, done = [], set()
+    while waiting := [table for table in stale if table in step and table not in done]:
+        ready = [t for t in waiting if not set(lineage.INPUTS[t]) & set(waiting)]
+        for made in together(spark, [step[t] for t in ready]):
+            written += made if isinstance(made, list) else [made]
+        done.update(ready)
+    return written

@@ -46,6 +46,37 @@ def has_data_files(spark: SparkSession, path: str) -> bool:
     )
 
 
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name below ``path``, bytes, time of the last change) of all visible files below it."""
+    fs, at = _file_system(spark, path)
+    base = fs.makeQualified(at).toString().rstrip("/") + "/"
+    found, files = [], fs.listFiles(at, True)
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().toString().removeprefix(base)
+        if not any(part[0] in "._" for part in name.split("/")):
+            found.append((name, status.getLen(), status.getModificationTime()))
+    return found
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced if it is there."""
+    fs, at = _file_system(spark, path)
+    out = fs.create(at, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    fs, at = _file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def total_size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below ``path``."""
     fs, at = _file_system(spark, path)

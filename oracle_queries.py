@@ -314,6 +314,46 @@ def _orphans(table: str, column: str, referenced: str) -> str:
     )
 
 
+# What each table is made of; written out here like the other names.
+_MADE_OF = {
+    **{f"bronze.{e}": [f"raw.{e}"] for e in _RAW_STARTS},
+    "silver.orders_clean": ["bronze.orders"],
+    "silver.products_enriched": ["bronze.products", "bronze.aisles", "bronze.departments"],
+    "silver.order_items_prior_enriched": [
+        "bronze.order_products_prior", "silver.orders_clean", "silver.products_enriched",
+    ],
+    "silver.order_items_train_enriched": [
+        "bronze.order_products_train", "silver.orders_clean", "silver.products_enriched",
+    ],
+    "gold.orders_by_period": ["silver.orders_clean"],
+    "gold.top_products": ["silver.order_items_prior_enriched"],
+    "gold.repurchase_metrics": ["silver.order_items_prior_enriched"],
+}
+
+
+def _run_stale() -> str:
+    """Only what is made of the aisles, directly or not, is stale after they were landed anew."""
+    of_aisles = {
+        "raw.aisles", "bronze.aisles", "silver.products_enriched", "silver.order_items_prior_enriched",
+        "silver.order_items_train_enriched", "gold.top_products", "gold.repurchase_metrics",
+    }
+    rows = []
+    for phase in ("landed", "built"):
+        for table, inputs in _MADE_OF.items():
+            for given in inputs:
+                renewed = phase == "built" and given in ("raw.aisles", "bronze.aisles")
+                layer, name = table.split(".")
+                count = f"(SELECT count(*) FROM ({_GOLD[name] if layer == 'gold' else f'SELECT * FROM {layer}_{name}'}))"
+                rows.append(
+                    f"SELECT '{phase}' AS phase, '{table}' AS table_name, '{given}' AS input_name,"
+                    f" '{LABEL if renewed else OLD_LABEL}' AS label, {phase == 'landed' and given in of_aisles} AS stale,"
+                    f" {phase == 'built' and table == 'silver.products_enriched'} AS mixed,"
+                    f" {count if table in of_aisles else 'CAST(NULL AS BIGINT)'} AS row_count"
+                )
+    tables = ["bronze_aisles", *(f"silver_{t}" for t in STARTS["silver"])]
+    return _with(tables, " UNION ALL ".join(rows))
+
+
 def oracle_sql() -> dict[str, str]:
     raw = [f"raw_{e}" for e in ENTITIES]
     bronze = [f"bronze_{e}" for e in ENTITIES]
@@ -381,6 +421,7 @@ def oracle_sql() -> dict[str, str]:
     )
     out |= {f"end_to_end_{n}": sql for n, sql in _GOLD.items()}
 
+    out["run_stale"] = _run_stale()
     out["dq_key_duplicates"] = _with(
         bronze, union(_key_duplicates(t, k) for t, k in TABLE_KEYS.items())
     )
