@@ -22,14 +22,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+def cut(df: DataFrame, name: str = "cut", compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it again: the lineage ends there.
 
     A lost executor costs only the tasks it ran, since every later stage starts from files that all
     executors see.
     """
     folder = paths.work_folder(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(folder)
+    df.write.mode("overwrite").option("compression", compression).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -13,8 +13,8 @@ of any file system:
     with a control byte of its own, so each can be decoded alone; what its last control byte has to spare is zero and has
     no data.
 
-A block ends when it has ``BLOCK`` bytes of data, so that a reader's memory is bounded by that and by the longest
-document. Decoding looks the lengths up by control byte, sums them up to places, and gathers the bytes with numpy for a
+A block has documents whose ids, uncoded, take about ``BLOCK`` bytes, or one longer document; a reader's memory is
+bounded by that. Decoding looks the lengths up by control byte, sums them up to places, and gathers the bytes with numpy for a
 block at once.
 
 Ids come from the library ``tokenizers``. Where a tokenizer first splits at white space, as the default one does, a
@@ -24,29 +24,29 @@ the answer; with another tokenizer it asks for whole texts.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.tables import columns, cut, map_partitions, slices, texts_as_bytes
+from basketry.llm.tables import columns, cut, map_partitions, slices
 
 CLOSING_ID = 1
-#: Bytes of data after which a block ends.
-BLOCK = 1 << 20
+#: Bytes that the ids of a block take, with four for each.
+BLOCK = 1 << 22
 #: Words (of up to so many bytes) whose ids a worker remembers.
 REMEMBERED, WORD_BYTES = 1 << 19, 64
 #: A word that stands between others; control characters are words of their own.
 _BORDER = b"\x01"
 #: Lower-case letters up to U+00FF, and marks after them that neither begin a contraction nor combine with others.
-_LETTERS = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([.,;:!?%&#)]*)")
+_LETTERS, _MARKS = "a-zß-öø-ÿ", ".,;:!?%&#)"
 #: Bytes of text or of ids that are worked on at once; a longer text is worked on alone.
-_PART = 1 << 22
+_PART = 1 << 23
 
 #: For each control byte, how many bytes its four ranks have.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + np.uint8(1)
@@ -77,42 +77,79 @@ class Words:
         self.border = int(np.frombuffer(border, "<u4")[0])
         alone = [self._ids(word) for word in (b"a", b"bc", b"d", b",;")]
         self.by_word = self._ids(b"a bc\nd ,; " + _BORDER) == b"".join([*alone, border]) and len(border) == 4
-        joined, sample = self._ids(b"A\xc3\xbc b\xc3\xb6c,;"), "a\xfc b\xf6c".encode()
-        self.by_letters = self.by_word and joined == self._ids(sample, self.plain) + alone[-1]
+        joined, letters = self._ids("Aü böc,;".encode()), [self._ids(x.encode(), self.plain) for x in ("aü", "böc")]
+        self.by_letters = self.by_word and joined == b"".join([*letters, alone[-1]])
+        vocabulary = self.whole.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.by_letters &= all(self.ends[np.frombuffer(x, "<u4")].tolist()[-2:] in ([False, True], [True]) for x in letters)
 
     def _ids(self, text: bytes, tokenizer=None) -> bytes:
         (found,) = (tokenizer or self.whole).encode_batch_fast([text.decode()], add_special_tokens=False)
         return np.array(found.ids, "<u4").tobytes()
 
-    def _learn(self, words: list[bytes], tokenizer=None) -> None:
-        """Remember the ids of words, asked for in one text with a word of its own between them."""
-        plain = [w for w in words if _BORDER not in w]
-        self.known.update((w, self._ids(w)) for w in words if _BORDER in w)
-        between = b" %b " % _BORDER
-        ids = self._ids(between.join(plain) + between if plain else b"", tokenizer)
-        ends = 4 * np.flatnonzero(np.frombuffer(ids, "<u4") == self.border)
-        starts = [0, *(ends + 4).tolist()]
-        self.known.update((w, ids[a:b]) for w, a, b in zip(plain, starts, ends.tolist(), strict=False))
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text and the closing id, little-endian unsigned 32-bit."""
-        closing = CLOSING_ID.to_bytes(4, "little")
-        if not self.by_word:
-            return [self._ids(text) + closing for text in texts]
-        split = [text.split() for text in texts]  # of bytes: only ASCII white space separates
+    def _learn(self, words: list[bytes], letters: bool) -> None:
+        """Remember the ids of words, asked for in one text."""
+        if letters:  # each word is one piece, and a piece's last id tells that it is the last
+            ids = self._ids(b" ".join(words), self.plain)
+            ends = 4 * np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 4
+            starts = [0, *ends.tolist()]
+        else:  # with a word of its own between them
+            self.known.update((w, self._ids(w)) for w in words if _BORDER in w)
+            words = [w for w in words if _BORDER not in w]
+            ids = self._ids((b" %b " % _BORDER).join([*words, b""]))
+            ends = 4 * np.flatnonzero(np.frombuffer(ids, "<u4") == self.border)
+            starts = [0, *(ends + 4).tolist()]
+        self.known.update((w, ids[a:b]) for w, a, b in zip(words, starts, ends.tolist(), strict=False))
+
+    def _of_words(self, words: pa.Array) -> list[bytes]:
+        """The ids of each of different words."""
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        new = set().union(*split).difference(known)
-        divided = {w: m.groups() for w in new if (m := _LETTERS.fullmatch(w.lower()))} if self.by_letters else {}
-        letters, marks = {a for a, _ in divided.values()}, {b for _, b in divided.values() if b}
-        self._learn(list(letters.difference(known)), self.plain)
-        self._learn(list(marks.union(new.difference(divided)).difference(known)))
-        known.update((w, known[a] + known[b] if b else known[a]) for w, (a, b) in divided.items())
-        out = [b"".join(map(known.__getitem__, words)) + closing for words in split]
-        for word in (w for w in [*new, *letters, *marks] if len(w) > WORD_BYTES):
-            known.pop(word, None)
-        return out
+        lower = pc.ascii_lower(words)
+        plain = pc.match_substring_regex(lower, f"^[{_LETTERS}]+[{_MARKS}]*$")
+        plain = pc.and_(plain, pa.scalar(self.by_letters))
+        heads = pc.if_else(plain, pc.ascii_rtrim(lower, characters=_MARKS), words)
+        longer = np.flatnonzero(pc.not_equal(pc.binary_length(heads), pc.binary_length(words)).to_numpy(zero_copy_only=False))
+        letters = set(heads.filter(plain).cast(pa.binary()).to_pylist()).difference(known)
+        heads = heads.cast(pa.binary()).to_pylist()
+        tails = [w[len(heads[i]) :] for i, w in zip(longer, words.take(longer).cast(pa.binary()).to_pylist(), strict=True)]
+        self._learn(list(letters), True)
+        others = {*heads, *tails}.difference(known)
+        self._learn(list(others), False)
+        ids = [known[w] for w in heads]
+        for i, tail in zip(longer, tails, strict=True):
+            ids[i] += known[tail]
+        for word in (w for w in letters | others if len(w) > WORD_BYTES):
+            del known[word]
+        return ids
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts and their closing ids, one after another, and the number of ids of each text."""
+        texts = pc.fill_null(texts, "")
+        if not self.by_word:
+            found = [np.frombuffer(self._ids(t), "<u4") for t in texts.cast(pa.binary()).to_pylist()]
+            parts = [x for ids in found for x in (ids, [CLOSING_ID])]
+            return np.concatenate([np.empty(0, "<u4"), *parts]).astype("<u4"), np.array([len(i) + 1 for i in found], np.int64)
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        ids = self._of_words(words.dictionary)
+        different = len(ids)
+        # The last one of the different words is the closing id, after the words of each text.
+        sizes = np.array([*map(len, ids), 4], np.int64) // 4
+        flat = np.frombuffer(b"".join([*ids, CLOSING_ID.to_bytes(4, "little")]), "<u4")
+        many = np.diff(split.offsets.to_numpy())
+        order = np.full(len(words) + len(texts), different, np.int64)
+        order[np.arange(len(words)) + np.repeat(np.arange(len(texts)), many)] = words.indices.to_numpy()
+        out = flat[_stretches((np.cumsum(sizes) - sizes)[order], sizes[order])]
+        before = np.concatenate([[0], np.cumsum(sizes[order])])
+        return out, np.diff(before[np.concatenate([[0], np.cumsum(many + 1)])])
+
+
+def _stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1 .. of each stretch, one after another."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
 @lru_cache(maxsize=2)
@@ -169,9 +206,9 @@ def token_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", token
         words = words_of(path)
         for batch in batches:
             for part in slices(batch, "text", _PART):
-                ids = words.ids([t or b"" for t in texts_as_bytes(part, "text")])
-                lengths = pa.array([len(i) // 4 for i in ids], pa.int64())
-                arrays = [part.column("doc_id"), lengths, pa.array(ids, pa.binary())]
+                ids, lengths = words.ids(part.column("text"))
+                packed = _binary(ids.view(np.uint8), 4 * np.cumsum(lengths))
+                arrays = [part.column("doc_id"), pa.array(lengths), packed]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids"])
 
     rows = columns(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -191,7 +228,6 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
 
-_CODED = "doc_id long, n_tokens long, control binary, data binary"
 _BLOCK = "file int, block int, before long, doc_ids array<long>, n_tokens array<long>, control binary, data binary"
 
 
@@ -209,7 +245,11 @@ def write(
     no blocks.
     """
     spark = docs.sparkSession
-    found = cut(token_ids(docs, doc_id, text, tokenizer), "ids")
+    # The ids decide between rows of one doc_id, so that the files are always the same; the last key
+    # divides equal rows among the partitions.
+    order = ["doc_id", "n_tokens", "hash", "at"]
+    found = token_ids(docs, doc_id, text, tokenizer).withColumn("hash", F.xxhash64("ids"))
+    found = cut(found.withColumn("at", F.monotonically_increasing_id()), "ids", compression="zstd")
     counted = map_partitions(found.select("ids"), _counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # One row for each id of the vocabulary at most.
     ordered = np.array([r["id"] for r in sorted(counted.collect(), key=lambda r: (-r["n"], r["id"]))], np.int64)
@@ -219,51 +259,26 @@ def write(
     rank_of[ordered] = np.arange(len(ordered))
     given = spark.sparkContext.broadcast(rank_of)
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "ids", _PART):
-                ranks = given.value[np.frombuffer(b"".join(part.column("ids").to_pylist()), "<u4")]
-                control, data, *ends = encode(ranks, part.column("n_tokens").to_numpy())
-                arrays = [*part.columns[:2], _binary(control, ends[0]), _binary(data, ends[1])]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "control", "data"])
-
-    coded = map_partitions(found, code, _CODED).withColumn("hash", F.xxhash64("control", "data"))
-    coded = cut(coded.withColumn("at", F.monotonically_increasing_id()), "coded")
-    # The ids decide between rows of one doc_id, so that the files are always the same; the last key
-    # divides equal rows among the partitions.
-    order = ["doc_id", "n_tokens", "hash", "at"]
-    ordered_rows = coded.repartitionByRange(*order).sortWithinPartitions(*order).drop("hash", "at")
-    map_partitions(ordered_rows, partial(_blocks, limit=block), _BLOCK).write.mode("overwrite").parquet(f"{folder}/blocks")
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """The sorted documents of a partition put together to blocks."""
-    file, block, before = TaskContext.get().partitionId(), 0, 0
-    held: list[tuple] = []
-
-    def joined() -> pa.RecordBatch:
-        ids, lengths, control, data = zip(*held, strict=True)
-        row = {
-            "file": file, "block": block, "before": before, "doc_ids": list(ids), "n_tokens": list(lengths),
-            "control": b"".join(control), "data": b"".join(data),
-        }
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([value], kind) for value, kind in zip(row.values(), kinds, strict=True)], list(row)
-        )
-
-    size = 0
-    for batch in batches:
-        for part in slices(batch, "data", limit):
-            for row in zip(*[c.to_pylist() for c in part.columns], strict=True):
-                held.append(row)
-                size += len(row[3])
-                if size >= limit:
-                    yield joined()
-                    block, before = block + 1, before + sum(r[1] for r in held)
-                    held, size = [], 0
-    if held:
-        yield joined()
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, before = TaskContext.get().partitionId(), 0
+        parts = (part for batch in batches for part in slices(batch, "ids", block))
+        for number, part in enumerate(parts):
+            lengths = part.column("n_tokens").to_numpy()
+            ids = np.frombuffer(b"".join(part.column("ids").to_pylist()), "<u4")
+            control, data, *_ = encode(given.value[ids], lengths)
+            whole = pa.array([0, part.num_rows], pa.int32())
+            yield pa.RecordBatch.from_pydict({
+                "file": pa.array([file], pa.int32()), "block": pa.array([number], pa.int32()),
+                "before": pa.array([before], pa.int64()),
+                "doc_ids": pa.ListArray.from_arrays(whole, part.column("doc_id")),
+                "n_tokens": pa.ListArray.from_arrays(whole, part.column("n_tokens")),
+                "control": pa.array([control.tobytes()]), "data": pa.array([data.tobytes()]),
+            })
+            before += int(lengths.sum())
+
+    rows = found.repartitionByRange(*order).sortWithinPartitions(*order).drop("hash", "at")
+    written = map_partitions(rows, blocks, _BLOCK).write.mode("overwrite")
+    written.option("compression", "zstd").parquet(f"{folder}/blocks")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
