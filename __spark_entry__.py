@@ -238,6 +238,25 @@ def run_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gold_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products ranked from a state of the first orders and two more loads, merged one after the other."""
+
+    def fill(at: str) -> None:
+        run = medallion.Roots.under(at)
+        items = stored.silver_table(spark, sf_dir, _ITEMS)
+        load = F.when(F.col("order_id") % 10 < 7, 0).when(F.col("order_id") % 10 < 9, 1).otherwise(2)
+        for number, label in enumerate(("2026-04-01", "2026-04-02", "2026-04-03")):
+            snapshots.write_snapshot(items.where(load == number), run.table("silver", _ITEMS), label)
+            medallion.update_product_rankings(spark, run)
+
+    at = medallion.Roots.under(stored.folder(spark, sf_dir, "updated", fill))
+    tables = [
+        snapshots.read_snapshot(spark, at.table("gold", t), "2026-04-03").withColumn("ranking", F.lit(t))
+        for t in ("top_products", "repurchase_metrics")
+    ]
+    return tables[0].unionByName(tables[1], allowMissingColumns=True).drop(*AUDIT_COLUMNS)
+
+
 def dq_source_raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For the raw layer, and for a copy of it that lacks a line of the departments."""
     source, root = stored.sources(spark, sf_dir), stored.raw_root(spark, sf_dir)
@@ -288,6 +307,7 @@ _QUESTIONS = {
     "q_user_frequency": (questions.user_frequency, _ORDERS),
     "q_cohort_retention": (questions.cohort_retention, _ORDERS),
     "q_basket_evolution": (questions.basket_evolution, _ITEMS),
+    "gold_rollup": (gold.purchase_rollup, _ITEMS),
 }
 
 
@@ -317,6 +337,7 @@ def queries() -> dict[str, Query]:
         "snapshot_overwrite": snapshot_overwrite,
         "snapshot_summary": snapshot_summary,
         "run_stale": run_stale,
+        "gold_updated": gold_updated,
         **{f"end_to_end_{t}": partial(_end_to_end, table=t) for t in LAYERS["gold"]},
         "dq_key_duplicates": lambda s, d: quality.key_duplicates(stored.all_bronze(s, d)),
         "dq_type_conformance": lambda s, d: quality.type_conformance(stored.all_raw(s, d)),

@@ -53,6 +53,14 @@ def purchase_measures(
     ``hot_keys(items, "user_id", share=uneven_share(spark))`` names none; a customer's rows of one
     product then are no more than that either.
     """
+    return measures_of(purchase_state(items, keys, place_by_user), keys)
+
+
+def purchase_state(items: DataFrame, keys: list[str], place_by_user: bool = False) -> DataFrame:
+    """What ``purchase_measures`` needs to know of each of ``keys`` and customer.
+
+    States of disjoint orders can be merged, see ``merge_states``.
+    """
     if place_by_user:
         items = items.repartition(keys[0], "user_id")
     again = F.col("reordered") == 1
@@ -61,15 +69,30 @@ def purchase_measures(
         F.sum("reordered").alias("reorders"),
         F.max(F.when(again, 1)).alias("again"),
     )
-    per_user = per_order.groupBy(*keys, "user_id").agg(
+    return per_order.groupBy(*keys, "user_id").agg(
         F.sum("rows").alias("rows"),
         F.sum("reorders").alias("reorders"),
         F.count("order_id").alias("orders"),
         F.count(F.when(F.col("again") == 1, F.col("order_id"))).alias("reorder_orders"),
         F.max("again").alias("again"),
     )
+
+
+def merge_states(states: list[DataFrame], keys: list[str]) -> DataFrame:
+    """One state of several, none of which has an order of another."""
+    every = states[0]
+    for state in states[1:]:
+        every = every.unionByName(state)
+    return every.groupBy(*keys, "user_id").agg(
+        *[F.sum(c).alias(c) for c in ("rows", "reorders", "orders", "reorder_orders")],
+        F.max("again").alias("again"),
+    )
+
+
+def measures_of(state: DataFrame, keys: list[str]) -> DataFrame:
+    """The measures of each of ``keys`` from its state."""
     return (
-        per_user.groupBy(*keys)
+        state.groupBy(*keys)
         .agg(
             F.sum("rows").alias("total_order_rows"),
             F.sum("reorders").alias("total_reorders"),
@@ -127,3 +150,58 @@ def repurchase_metrics(
 ) -> DataFrame:
     """Every product, the one most often bought again first."""
     return product_ranking(product_measures(items, place_by_user), "repurchase_metrics", batch_time)
+
+
+_LEVELS = [["department_id", "department"], ["aisle_id", "aisle"], ["product_id", "product_name"]]
+
+
+def purchase_rollup(items: DataFrame) -> DataFrame:
+    """Purchases of everything (level 0), each department (1), aisle (2) and product (3).
+
+    Columns of lower levels are NULL. Customers are counted exactly at every level after a single shuffle of the items,
+    which places 32,768 neighbouring customer ids together. Products are counted from one row for each product and
+    customer. Above them the customers of an aisle are the bits of a bitmap, one for each aisle and place; those of
+    a department and of everything are such bitmaps put together where they lie. Only counts leave the place, so
+    what moves in the end are a few numbers for each group and place. A customer who alone fills a task weighs as much
+    here; ``hot_keys`` finds such ones.
+    """
+    keys = [c for level in _LEVELS for c in level]
+    place = F.expr("bitmap_bucket_number(user_id)")
+    placed = items.select(*keys, "user_id", "reordered", place.alias("place")).repartition("place")
+    sums = [F.sum(c).alias(c) for c in ("rows", "reorders")]
+    per_user = placed.groupBy("place", *keys, "user_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("reordered").alias("reorders"),
+        F.max(F.when(F.col("reordered") == 1, F.expr("bitmap_bit_position(user_id)"))).alias("again"),
+    )
+    bits = F.expr("bitmap_construct_agg(bitmap_bit_position(user_id))")
+    again = F.expr("bitmap_construct_agg(again)")
+    by_aisle = per_user.groupBy("place", *_LEVELS[0], *_LEVELS[1]).agg(
+        *sums, bits.alias("users"), again.alias("reordering_users")
+    )
+    merged = [F.expr(f"bitmap_or_agg({c})").alias(c) for c in ("users", "reordering_users")]
+    by_department = by_aisle.groupBy("place", *_LEVELS[0]).agg(*sums, *merged)
+    over_all = by_department.groupBy("place").agg(*sums, *merged)
+    counted = [F.expr(f"bitmap_count({c})").alias(c) for c in ("users", "reordering_users")]
+    products = per_user.groupBy("place", *keys).agg(
+        *sums, F.count(F.lit(1)).alias("users"), F.count("again").alias("reordering_users")
+    )
+    levels = []
+    for level, table in enumerate([over_all, by_department, by_aisle, products]):
+        known = [c for part in _LEVELS[:level] for c in part]
+        numbers = ["users", "reordering_users"] if level == len(_LEVELS) else counted
+        columns = [F.col(c) if c in known else F.lit(None).cast(items.schema[c].dataType).alias(c) for c in keys]
+        levels.append(table.select(F.lit(level).alias("level"), *columns, "rows", "reorders", *numbers))
+    every = levels[0]
+    for level in levels[1:]:
+        every = every.unionByName(level)
+    return (
+        every.groupBy("level", *keys)
+        .agg(
+            F.sum("rows").alias("total_order_rows"),
+            F.sum("reorders").alias("total_reorders"),
+            F.sum("users").alias("distinct_users"),
+            F.sum("reordering_users").alias("distinct_reordering_users"),
+        )
+        .withColumn("reorder_rate", ratio4(F.col("total_reorders"), F.col("total_order_rows")))
+    )

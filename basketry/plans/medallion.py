@@ -14,17 +14,19 @@ from functools import partial
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.contracts import ENTITIES, contract
+from basketry.contracts import ENTITIES, PRODUCT_KEYS, contract
 from basketry.functions.skew import hot_keys, uneven_share
 from basketry.functions.together import together
 from basketry.operators import gold, silver
 from basketry.operators.bronze import to_bronze
 from basketry.plans import lineage
 from basketry.plans.lineage import Version
+from basketry.sources import paths
 from basketry.sources.raw import DEFAULT, Dialect, read_raw
-from basketry.sources.snapshots import SnapshotSummary, read_snapshot, write_snapshot
+from basketry.sources.snapshots import SnapshotSummary, read_snapshot, snapshot_labels, write_snapshot
 
 LAYER_ORDER = ["bronze", "silver", "gold"]
+_ITEMS = "order_items_prior_enriched"
 
 
 @dataclass(frozen=True)
@@ -132,6 +134,39 @@ def run_product_rankings(
         measures.unpersist()
 
 
+def update_product_rankings(
+    spark: SparkSession, roots: Roots, batch_time: datetime | None = None
+) -> list[SnapshotSummary]:
+    """The product rankings where each snapshot of the items brings the orders since the one before.
+
+    A state for each product and customer is kept under the label up to which it goes. It is merged with
+    the state of the newer snapshots, and only these are read. An order must come whole in one
+    snapshot. Without newer ones nothing is written.
+    """
+    items_root, state_root = roots.table("silver", _ITEMS), roots.table("gold", "product_state")
+    known = snapshot_labels(spark, state_root) if paths.exists(spark, state_root) else []
+    new = [v for v in snapshot_labels(spark, items_root) if not known or v > known[-1]]
+    if not new:
+        return []
+    kind = contract("silver", _ITEMS)
+    delta = read_snapshot(spark, items_root, new[0], kind)
+    for label in new[1:]:
+        delta = delta.unionByName(read_snapshot(spark, items_root, label, kind))
+    state = gold.purchase_state(delta, PRODUCT_KEYS)
+    if known:
+        state = gold.merge_states([read_snapshot(spark, state_root, known[-1]), state], PRODUCT_KEYS)
+    write_snapshot(state, state_root, new[-1])
+    measures = gold.measures_of(read_snapshot(spark, state_root, new[-1]), PRODUCT_KEYS)
+    measures.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return [
+            write_snapshot(gold.product_ranking(measures, t, batch_time), roots.table("gold", t), new[-1])
+            for t in ("top_products", "repurchase_metrics")
+        ]
+    finally:
+        measures.unpersist()
+
+
 def run_layer(
     spark: SparkSession,
     roots: Roots,

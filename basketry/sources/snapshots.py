@@ -39,11 +39,16 @@ def latest_snapshot(spark: SparkSession, root: str) -> str:
     An empty directory counts: if the newest load left nothing, the reader is to
     fail and not to fall back silently to an older one.
     """
-    names = paths.children(spark, root, directories_only=True)
-    labels = [n.removeprefix(_PREFIX) for n in names if n.startswith(_PREFIX)]
+    labels = snapshot_labels(spark, root)
     if not labels:
         raise FileNotFoundError(f"no {_PREFIX}* directory in {root}")
-    return max(labels)
+    return labels[-1]
+
+
+def snapshot_labels(spark: SparkSession, root: str) -> list[str]:
+    """The labels of all snapshot directories, in order of their text."""
+    names = paths.children(spark, root, directories_only=True)
+    return sorted(n.removeprefix(_PREFIX) for n in names if n.startswith(_PREFIX))
 
 
 def read_snapshot(

@@ -206,14 +206,11 @@ def _all_of(name: str) -> str:
 _KEYS = PRODUCT_KEYS
 _PRIOR = "silver_order_items_prior_enriched"
 
-_TOP_PRODUCTS = _with(
-    [_PRIOR],
-    f"""
+_TOP_PRODUCTS = f"""
 SELECT *, round(total_reorders / total_order_rows, 4) AS reorder_rate FROM (
   SELECT {_KEYS}, count(*) AS total_order_rows, count(DISTINCT order_id) AS distinct_orders,
     count(DISTINCT user_id) AS distinct_users, CAST(sum(reordered) AS BIGINT) AS total_reorders
-  FROM {_PRIOR} GROUP BY ALL)""",
-)
+  FROM {_PRIOR} GROUP BY ALL)"""
 
 
 def _repurchase(keys: str) -> str:
@@ -265,6 +262,7 @@ def _share(keys: str) -> str:
     )
 
 
+_PRODUCT_RANKINGS = {"top_products": _TOP_PRODUCTS, "repurchase_metrics": _repurchase(_KEYS)}
 _GOLD = {
     "orders_by_period": _with(
         ["silver_orders_clean"],
@@ -273,8 +271,7 @@ SELECT *, round(total_orders / distinct_users, 4) AS avg_orders_per_user FROM (
   SELECT order_dow, order_hour_of_day, count(DISTINCT order_id) AS total_orders,
     count(DISTINCT user_id) AS distinct_users FROM silver_orders_clean GROUP BY ALL)""",
     ),
-    "top_products": _TOP_PRODUCTS,
-    "repurchase_metrics": _with([_PRIOR], _repurchase(_KEYS)),
+    **{t: _with([_PRIOR], sql) for t, sql in _PRODUCT_RANKINGS.items()},
 }
 
 _NUMERIC = [
@@ -422,6 +419,20 @@ def oracle_sql() -> dict[str, str]:
     out |= {f"end_to_end_{n}": sql for n, sql in _GOLD.items()}
 
     out["run_stale"] = _run_stale()
+    ranked = {t: f"SELECT *, '{t}' AS ranking FROM ({sql})" for t, sql in _PRODUCT_RANKINGS.items()}
+    out["gold_updated"] = _with([_PRIOR], " UNION ALL BY NAME ".join(ranked.values()))
+    levels = ["department_id, department", "aisle_id, aisle", "product_id, product_name"]
+    sets = ", ".join(f"({', '.join(levels[:n])})" for n in range(4))
+    out["gold_rollup"] = _with(
+        [_PRIOR],
+        f"""
+SELECT *, round(total_reorders / total_order_rows, 4) AS reorder_rate FROM (
+  SELECT CAST(3 - grouping(department_id) - grouping(aisle_id) - grouping(product_id) AS INTEGER) AS level, {', '.join(levels)},
+    count(*) AS total_order_rows, CAST(sum(reordered) AS BIGINT) AS total_reorders,
+    count(DISTINCT user_id) AS distinct_users,
+    count(DISTINCT CASE WHEN reordered = 1 THEN user_id END) AS distinct_reordering_users
+  FROM {_PRIOR} GROUP BY GROUPING SETS ({sets}))""",
+    )
     out["dq_key_duplicates"] = _with(
         bronze, union(_key_duplicates(t, k) for t, k in TABLE_KEYS.items())
     )
