@@ -238,6 +238,14 @@ def run_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def silver_items_in_buckets(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """Items and orders joined where they lie, in buckets of the order."""
+    items = stored.in_buckets(spark, sf_dir, "bronze", f"order_products_{source}")
+    orders = stored.in_buckets(spark, sf_dir, "silver", "orders_clean")
+    products = stored.silver_table(spark, sf_dir, "products_enriched")
+    return silver.order_items_from_buckets(items, orders, products).drop(*AUDIT_COLUMNS)
+
+
 def gold_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products ranked from a state of the first orders and two more loads, merged one after the other."""
 
@@ -336,6 +344,7 @@ def queries() -> dict[str, Query]:
         "snapshot_label": snapshot_label,
         "snapshot_overwrite": snapshot_overwrite,
         "snapshot_summary": snapshot_summary,
+        **{f"silver_{s}_in_buckets": partial(silver_items_in_buckets, source=s) for s in ("prior", "train")},
         "run_stale": run_stale,
         "gold_updated": gold_updated,
         **{f"end_to_end_{t}": partial(_end_to_end, table=t) for t in LAYERS["gold"]},

@@ -11,13 +11,13 @@ UNEVEN = 2
 _MOST_SHARES = 50_000
 
 
-def uneven_share(spark: SparkSession) -> float:
-    """The share of all rows that ``UNEVEN`` tasks of a shuffle hold on average.
+def uneven_share(spark: SparkSession, tasks: int | None = None) -> float:
+    """The share of all rows that ``UNEVEN`` of so many tasks hold on average, by default those of a shuffle.
 
     It follows the number of shuffle partitions: a key with a smaller share may be placed in one
     task at any size of data and cluster. Beyond 100,000 partitions it stays where it is there.
     """
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return min(1.0, max(UNEVEN / tasks, 1 / _MOST_SHARES))
 
 

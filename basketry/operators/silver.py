@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.contracts import ITEM_COLUMNS, PRODUCT_KEYS, contract, struct
 from basketry.functions.columns import all_present, processed_at
+from basketry.sources.buckets import Bucketed
 
 _REQUIRED = [
     "order_id", "user_id", "order_number", "order_dow", "order_hour_of_day", "eval_set",
@@ -104,3 +105,20 @@ def order_items_enriched(
         .withColumn("silver_processed_at", processed_at(batch_time))
         .select(*contract("silver", "order_items_prior_enriched").fieldNames())
     )
+
+
+def order_items_from_buckets(
+    items: Bucketed, orders: Bucketed, products: DataFrame, batch_time: datetime | None = None
+) -> DataFrame:
+    """``order_items_enriched`` of items and orders that are stored in equal buckets of order_id.
+
+    Neither is shuffled to meet the other. Items of hot orders, which no bucket holds, get their order from a
+    broadcast: there are at most as many as ``hot_keys`` can name, with one row each.
+    """
+    if items.key != "order_id" or (items.key, items.count) != (orders.key, orders.count):
+        raise ValueError("items and orders need the same number of buckets of order_id")
+    joined = order_items_enriched(items.buckets, orders.buckets, products, batch_time)
+    if not items.hot:
+        return joined
+    few = F.broadcast(orders.all().where(F.col("order_id").isin(items.hot)))
+    return joined.unionByName(order_items_enriched(items.apart, few, products, batch_time))

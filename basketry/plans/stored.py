@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketry.contracts import ENTITIES, contract
 from basketry.plans import driver_tables, medallion
-from basketry.sources import paths, raw
+from basketry.sources import buckets, paths, raw
 from basketry.sources.snapshots import read_snapshot, snapshot_path, write_snapshot
 
 LABEL = "2026-04-02"
@@ -83,6 +83,16 @@ def silver_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return read_snapshot(spark, at.table("silver", table), LABEL, contract("silver", table))
 
 
+def in_buckets(spark: SparkSession, sf_dir: str, layer: str, table: str) -> buckets.Bucketed:
+    """A stored table of items or orders in buckets of order_id."""
+    whole = {"bronze": bronze_table, "silver": silver_table}[layer]
+
+    def fill(at: str) -> None:
+        buckets.store(whole(spark, sf_dir, table), at, "order_id")
+
+    return buckets.load(spark, folder(spark, sf_dir, f"buckets-{layer}-{table}", fill))
+
+
 def _build_orders(spark: SparkSession, sf_dir: str, at: medallion.Roots) -> None:
     bronze_table(spark, sf_dir, "orders")
     medallion.run_orders_clean(spark, at)

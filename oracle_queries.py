@@ -418,6 +418,7 @@ def oracle_sql() -> dict[str, str]:
     )
     out |= {f"end_to_end_{n}": sql for n, sql in _GOLD.items()}
 
+    out |= {f"silver_{s}_in_buckets": _all_of(f"silver_order_items_{s}_enriched") for s in ("prior", "train")}
     out["run_stale"] = _run_stale()
     ranked = {t: f"SELECT *, '{t}' AS ranking FROM ({sql})" for t, sql in _PRODUCT_RANKINGS.items()}
     out["gold_updated"] = _with([_PRIOR], " UNION ALL BY NAME ".join(ranked.values()))

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import pytest
+from samples import ITEMS, ORDERS, PRODUCTS, RAW_DATE, order
+
+from basketry.operators import silver
+from basketry.sources import buckets
+
+SPREAD = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "40",
+}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = {key: spark.conf.get(key, None) for key in SPREAD}
+    for key, value in SPREAD.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def tables(make):
+    """Items of 60 orders, a third of all items in order 7, some without an order."""
+    rows = [(i % 60, i % 9, i, i % 2, RAW_DATE) for i in range(2000)]
+    rows += [(7, i % 9, i, 1, RAW_DATE) for i in range(1000)] + [(None, 1, 1, 1, RAW_DATE)] * 30
+    items = make(ITEMS, *rows)
+    orders = silver.orders_clean(make(ORDERS, *(order(i, user_id=i % 11) for i in range(50))))
+    products = make(PRODUCTS, *((i, f"p{i}", 1, 2, RAW_DATE) for i in range(8)))
+    aisles, departments = make("aisle_id int, aisle string", (1, "a")), make("department_id int, department string", (2, "d"))
+    return items, orders, silver.products_enriched(products, aisles, departments)
+
+
+def told(df) -> list[str]:
+    return sorted(map(repr, df.drop("silver_processed_at").collect()))
+
+
+def plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_items_meet_orders_without_a_shuffle(tables, tmp_path, no_broadcast):
+    items, orders, products = tables
+    stored = buckets.store(items, f"{tmp_path}/items", "order_id", 16)
+    placed = buckets.store(orders, f"{tmp_path}/orders", "order_id", 16)
+    assert stored.hot == [7] and placed.hot == []
+    joined = silver.order_items_from_buckets(stored, placed, products)
+    assert told(joined) == told(silver.order_items_enriched(items, orders, products))
+    text = plan(joined)
+    assert "order_id" not in "".join(line for line in text.splitlines() if "Exchange hashpartitioning" in line)
+    assert "SortMergeJoin [order_id" in text and "Bucketed: true" in joined._jdf.queryExecution().toString()
+    # The plain way moves both sides.
+    assert "Exchange hashpartitioning(order_id" in plan(silver.order_items_enriched(items, orders, products))
+
+
+def test_a_hot_order_is_in_no_bucket(tables, tmp_path, no_broadcast):
+    stored = buckets.store(tables[0], f"{tmp_path}/items", "order_id", 16)
+    from pyspark.sql import functions as F
+
+    sizes = [r["count"] for r in stored.buckets.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < 3030 / 6 and sum(sizes) + stored.apart.count() == 3030
+    assert stored.apart.where("order_id is null").count() == 30
+    assert told(stored.all()) == told(tables[0])
+
+
+def test_another_application_reads_the_buckets(spark, tables, tmp_path):
+    buckets.store(tables[0], f"{tmp_path}/items", "order_id", 8)
+    spark.sql(f"DROP TABLE {buckets._name(f'{tmp_path}/items')}")
+    again = buckets.load(spark, f"{tmp_path}/items")
+    assert (again.key, again.count, again.hot) == ("order_id", 8, [7])
+    assert told(again.all()) == told(tables[0])
+
+
+def test_storing_again_replaces(spark, tables, tmp_path):
+    for rows in (tables[0], tables[0].limit(5), tables[0].limit(0)):
+        assert told(buckets.store(rows, f"{tmp_path}/items", "order_id", 4).all()) == told(rows)
+
+
+def test_unequal_buckets_are_an_error(tables, tmp_path):
+    items, orders, products = tables
+    stored, placed = (buckets.store(t, f"{tmp_path}/{n}", "order_id", n) for t, n in ((items, 4), (orders, 8)))
+    with pytest.raises(ValueError, match="same number"):
+        silver.order_items_from_buckets(stored, placed, products)
