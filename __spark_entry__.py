@@ -315,6 +315,9 @@ _QUESTIONS = {
     "q_user_frequency": (questions.user_frequency, _ORDERS),
     "q_cohort_retention": (questions.cohort_retention, _ORDERS),
     "q_basket_evolution": (questions.basket_evolution, _ITEMS),
+    "q_basket_similarity": (questions.basket_similarity, _ITEMS),
+    "q_order_survival": (questions.order_survival, _ORDERS),
+    "q_frequency_ranks": (questions.frequency_ranks, _ORDERS),
     "gold_rollup": (gold.purchase_rollup, _ITEMS),
 }
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import all_present, ratio4
+from basketry.functions.ranks import weight_before
 from basketry.operators.gold import purchase_measures
 
 # Upper ends of the order-count groups of customers; the last group is open.
@@ -145,6 +146,14 @@ def user_frequency(orders: DataFrame) -> DataFrame:
     )
 
 
+def _cohort(second: Column) -> Column:
+    """The cohort of a customer whose second order came after so many days."""
+    cohort = F.when(second.isNull(), NO_COHORT)
+    for upper, name in COHORTS:
+        cohort = cohort.when(second <= upper, name)
+    return cohort.otherwise(LAST_COHORT)
+
+
 def cohort_retention(orders: DataFrame) -> DataFrame:
     """Customers who order again, by cohort and time since their first order.
 
@@ -177,14 +186,11 @@ def cohort_retention(orders: DataFrame) -> DataFrame:
     running = F.coalesce(F.sum("days").over(inside), F.lit(0.0))
     placed = numbered.withColumn("running", running).join(before, ["user_id", "chunk"])
     since, second = F.col("before") + F.col("running"), F.col("second")
-    cohort = F.when(second.isNull(), NO_COHORT)
-    for upper, name in COHORTS:
-        cohort = cohort.when(second <= upper, name)
     period = F.lit(None)
     for lower, name in reversed(PERIODS):
         period = F.when(since >= lower, name).otherwise(period)
     counted = (
-        placed.groupBy(cohort.otherwise(LAST_COHORT).alias("cohort"), period.alias("period"), "user_id")
+        placed.groupBy(_cohort(second).alias("cohort"), period.alias("period"), "user_id")
         .agg(F.count(F.lit(1)).alias("orders"))
         .groupBy("cohort", "period")
         .agg(F.count(F.lit(1)).alias("user_count"), F.sum("orders").alias("order_count"))
@@ -209,3 +215,94 @@ def basket_evolution(items: DataFrame) -> DataFrame:
         .withColumn("avg_items_per_order", ratio4(F.col("item_count"), F.col("order_count")))
         .withColumn("reorder_rate", ratio4(F.col("total_reorders"), F.col("item_count")))
     )
+
+
+def basket_similarity(items: DataFrame) -> DataFrame:
+    """How much of a basket a customer's next basket keeps: mean Jaccard similarity by order number.
+
+    The similarity of two baskets is the number of products in both over the number in either. A product that a
+    customer bought in orders n and n + 1 is found by a join of the purchases with themselves, shifted by one
+    order, so no customer's baskets are ever held by one task. An order counts if the order before it has items. Of a
+    customer's orders with one number all products count as one basket.
+    """
+    known = items.where(all_present(["user_id", "order_number", "product_id"]))
+    bought = known.select("user_id", "order_number", "product_id").distinct()
+    before = bought.select("user_id", (F.col("order_number") + 1).alias("order_number"), "product_id")
+    kept = before.join(bought, ["user_id", "order_number", "product_id"])
+    basket = ["user_id", "order_number"]
+    size = bought.groupBy(*basket).agg(F.count(F.lit(1)).alias("size"))
+    former = size.select("user_id", (F.col("order_number") + 1).alias("order_number"), F.col("size").alias("former"))
+    common = kept.groupBy(*basket).agg(F.count(F.lit(1)).alias("common"))
+    pairs = size.join(former, basket).join(common, basket, "left")
+    both = F.coalesce("common", F.lit(0))
+    # In millionths, rounded, so that the sum is the same in any order of adding.
+    similarity = F.round(both / (F.col("size") + F.col("former") - both) * 1_000_000).cast("bigint")
+    return (
+        pairs.groupBy("order_number")
+        .agg(
+            F.count(F.lit(1)).alias("basket_count"),
+            F.sum(both).alias("kept_products"),
+            F.count_if(both == 0).alias("all_new"),
+            F.sum(similarity).alias("millionths"),
+        )
+        .withColumn("mean_similarity", ratio4(F.col("millionths"), F.col("basket_count") * 1_000_000))
+        .drop("millionths")
+    )
+
+
+def order_survival(orders: DataFrame) -> DataFrame:
+    """Per cohort and order number k: the customers who got to k, and the estimated share who ever do.
+
+    Cohorts are those of ``cohort_retention``. A customer whose last known order is k left after it, unless that order is in
+    the test set: then the data end there and nobody knows, the customer is censored at k. ``reached`` customers have
+    an order k or later, ``at_risk`` of them are known to have ordered again or left, and the product over
+    all numbers before k of the share of these who went on is the estimate (Kaplan and Meier's product
+    limit); ``share`` takes censored customers for ones who left. What is ordered are a histogram's rows, one for
+    each cohort and number, never customers.
+    """
+    by_user = orders.groupBy("user_id").agg(
+        F.max(F.struct("order_number", (F.col("eval_set") == "test").alias("censored"))).alias("last"),
+        F.min(F.when(F.col("order_number") == 2, F.col("days_since_prior_order"))).alias("second"),
+    )
+    ended = by_user.groupBy(
+        _cohort(F.col("second")).alias("cohort"), F.col("last.order_number").alias("order_number")
+    ).agg(F.count(F.lit(1)).alias("ended"), F.count_if("last.censored").alias("censored"))
+    later = Window.partitionBy("cohort").orderBy(F.desc("order_number"))
+    earlier = Window.partitionBy("cohort").orderBy("order_number").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("cohort")
+    counted = ended.withColumn("reached", F.sum("ended").over(later))
+    at_risk, gone = F.col("reached") - F.col("censored"), F.col("ended") - F.col("censored")
+    # With nobody at risk nobody is known to go. Where all go, later numbers have estimate 0.
+    went_on = F.when(gone == 0, F.lit(1.0)).otherwise((at_risk - gone) / F.nullif(at_risk, F.lit(0)))
+    logs = F.sum(F.when(went_on > 0, F.ln(went_on))).over(earlier)
+    none = F.coalesce(F.max(went_on == 0).over(earlier), F.lit(False))
+    estimate = F.when(none, 0.0).otherwise(F.exp(F.coalesce(logs, F.lit(0.0))))
+    return counted.select(
+        "cohort", "order_number", "reached", at_risk.alias("at_risk"), "ended", "censored",
+        ratio4(F.col("reached"), F.max("reached").over(whole)).alias("share"),
+        F.round(estimate, 4).alias("estimate"),
+    )
+
+
+def frequency_ranks(orders: DataFrame, groups: int = 10) -> DataFrame:
+    """Customers in ``groups`` of equal size by their number of orders, the least active first.
+
+    The exact rank of a customer is the number of customers with fewer orders, so that customers with as many orders
+    have one rank and one group. It comes from a histogram with a row for each number of orders that occurs, see
+    ``weight_before``. Group g has the ranks from (g - 1) / groups to g / groups of all customers; one that ties
+    span is missing.
+    """
+    per_user = orders.groupBy("user_id").agg(F.count("order_id").alias("orders"))
+    histogram = per_user.groupBy("orders").agg(F.count(F.lit(1)).alias("users"))
+    whole = histogram.agg(F.sum("users")).scalar()
+    rank = F.floor(F.col("before") * groups / whole) + 1
+    return (
+        weight_before(histogram, "orders", "users")
+        .groupBy(rank.alias("frequency_rank"))
+        .agg(
+            F.sum("users").alias("user_count"),
+            F.min("orders").alias("fewest_orders"),
+            F.max("orders").alias("most_orders"),
+            F.sum(F.col("users") * F.col("orders")).alias("order_count"),
+        )
+    )

@@ -522,6 +522,56 @@ FROM (
     WINDOW customer AS (PARTITION BY user_id ORDER BY order_number
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
   GROUP BY ALL)""",
+    )
+    out["q_basket_similarity"] = _with(
+        [_PRIOR],
+        f"""
+SELECT order_number, count(*) AS basket_count, CAST(sum(common) AS BIGINT) AS kept_products,
+  count(*) FILTER (WHERE common = 0) AS all_new,
+  round(sum(CAST(round(common / (n + former - common) * 1000000) AS BIGINT)) / (count(*) * 1000000), 4)
+    AS mean_similarity
+FROM (
+  SELECT b.user_id, b.order_number, len(b.p) AS n, len(a.p) AS former, len(list_intersect(a.p, b.p)) AS common
+  FROM baskets a JOIN baskets b ON a.user_id = b.user_id AND a.order_number + 1 = b.order_number)
+GROUP BY order_number""",
+    ).replace(
+        "\nSELECT order_number, count(*) AS basket_count",
+        f", baskets AS (SELECT user_id, order_number, list(DISTINCT product_id) AS p FROM {_PRIOR} GROUP BY ALL)"
+        "\nSELECT order_number, count(*) AS basket_count",
+    )
+    out["q_order_survival"] = _with(
+        ["silver_orders_clean"],
+        """
+SELECT cohort, order_number, reached, at_risk, ended, censored, share,
+  round(CASE WHEN coalesce(max(went_on = 0) OVER before, FALSE) THEN 0 ELSE
+    exp(coalesce(sum(CASE WHEN went_on > 0 THEN ln(went_on) END) OVER before, 0)) END, 4) AS estimate
+FROM (
+  SELECT *, reached - censored AS at_risk,
+    round(reached / max(reached) OVER (PARTITION BY cohort), 4) AS share,
+    CASE WHEN ended = censored THEN 1.0 ELSE (reached - ended) / nullif(reached - censored, 0) END AS went_on
+  FROM (
+    SELECT cohort, order_number, ended, censored,
+      CAST(sum(ended) OVER (PARTITION BY cohort ORDER BY order_number DESC) AS BIGINT) AS reached
+    FROM (
+      SELECT CASE WHEN gap IS NULL THEN 'unknown' WHEN gap <= 30 THEN '0-30' WHEN gap <= 90 THEN '31-90'
+          WHEN gap <= 365 THEN '91-365' ELSE '366+' END AS cohort, order_number,
+        count(*) AS ended, count(*) FILTER (WHERE test) AS censored
+      FROM (
+        SELECT user_id, max(order_number) AS order_number, any_value(gap) AS gap,
+          bool_or(eval_set = 'test' AND order_number = last) AS test
+        FROM (SELECT *, max(order_number) OVER (PARTITION BY user_id) AS last,
+            min(CASE WHEN order_number = 2 THEN days_since_prior_order END) OVER (PARTITION BY user_id) AS gap
+          FROM silver_orders_clean) GROUP BY user_id)
+      GROUP BY ALL)))
+WINDOW before AS (PARTITION BY cohort ORDER BY order_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+    )
+    out["q_frequency_ranks"] = _with(
+        ["silver_orders_clean"],
+        """
+SELECT CAST(floor((r - 1) * 10 / n) + 1 AS BIGINT) AS frequency_rank, count(*) AS user_count,
+  min(orders) AS fewest_orders, max(orders) AS most_orders, CAST(sum(orders) AS BIGINT) AS order_count
+FROM (SELECT orders, rank() OVER (ORDER BY orders) AS r, count(*) OVER () AS n
+  FROM (SELECT user_id, count(*) AS orders FROM silver_orders_clean GROUP BY user_id)) GROUP BY 1""",
     )
     out["q_basket_evolution"] = _with(
         [_PRIOR],

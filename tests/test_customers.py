@@ -1,0 +1,113 @@
+"""Changing baskets, customers who go on ordering, and customers by rank."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.functions.ranks import weight_before
+from basketry.operators import questions
+
+ITEMS = "user_id int, order_number int, product_id int, order_id int"
+ORDERS = "order_id int, user_id int, order_number int, eval_set string, days_since_prior_order double, is_first_order boolean"
+
+
+def test_similarity_of_successive_baskets(make):
+    rows = [
+        (1, 1, 10, 1), (1, 1, 11, 1), (1, 1, 11, 1),  # a product twice is one
+        (1, 2, 11, 2), (1, 2, 12, 2), (1, 2, 13, 2),
+        (1, 4, 11, 3),  # no order 3: no neighbour
+        (2, 1, 10, 4), (2, 2, 10, 5), (2, 3, 20, 6),
+        (None, 1, 10, 7), (None, 2, 10, 8), (3, None, 1, 9),
+    ]
+    got = {r.order_number: tuple(r)[1:] for r in questions.basket_similarity(make(ITEMS, *rows)).collect()}
+    assert got == {2: (2, 2, 0, round((1 / 4 + 1) / 2, 4)), 3: (1, 0, 1, 0.0)}
+
+
+def test_similarity_equals_brute_force(make):
+    draw = random.Random(2)
+    rows = [(draw.randint(1, 6), draw.randint(1, 8), draw.randint(1, 12), 0) for _ in range(400)]
+    baskets = defaultdict(set)
+    for user, number, product, _ in rows:
+        baskets[user, number].add(product)
+    want = defaultdict(list)
+    for (user, number), basket in baskets.items():
+        if former := baskets.get((user, number - 1)):
+            want[number].append(len(basket & former) / len(basket | former))
+    got = {r.order_number: r.mean_similarity for r in questions.basket_similarity(make(ITEMS, *rows)).collect()}
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[k], sum(v) / len(v), abs_tol=1e-4) for k, v in want.items())
+
+
+def orders(users: dict[int, tuple[int, bool]], gap: float = 7.0) -> list[tuple]:
+    """A customer's orders up to a number, the last one in the test set or not."""
+    return [
+        (1000 * u + k, u, k, "test" if k == n and test else "prior", None if k == 1 else gap, k == 1)
+        for u, (n, test) in users.items()
+        for k in range(1, n + 1)
+    ]
+
+
+def test_survival_by_hand(make):
+    users = {1: (2, False), 2: (2, True), 3: (3, False), 4: (4, True), 5: (5, False), 6: (2, False)}
+    got = {r.order_number: r for r in questions.order_survival(make(ORDERS, *orders(users))).collect()}
+    assert {r.cohort for r in got.values()} == {"0-30"} and sorted(got) == [2, 3, 4, 5]
+    assert [tuple(got[2])[2:6], tuple(got[3])[2:6]] == [(6, 5, 3, 1), (3, 3, 1, 0)]
+    # Of five at risk at 2 three went on, then two of three, then one of one.
+    assert [got[k].estimate for k in (2, 3, 4, 5)] == [1.0, 0.6, 0.4, 0.4]
+    assert [got[k].share for k in (2, 3, 4, 5)] == [1.0, 0.5, 0.3333, 0.1667]
+
+
+def test_survival_after_all_went_and_without_anybody_at_risk(make):
+    gone = questions.order_survival(make(ORDERS, *orders({1: (2, False), 2: (2, False)}))).collect()
+    assert [(r.reached, r.at_risk, r.estimate) for r in gone] == [(2, 2, 1.0)]
+    censored = questions.order_survival(make(ORDERS, *orders({1: (2, True), 2: (2, True)}))).collect()
+    assert [(r.reached, r.at_risk, r.ended, r.estimate) for r in censored] == [(2, 0, 2, 1.0)]
+    lone = questions.order_survival(make(ORDERS, *orders({1: (1, False)}))).collect()
+    assert [(r.cohort, r.order_number) for r in lone] == [("unknown", 1)]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_weights_before_are_exact(make, parts):
+    draw = random.Random(parts)
+    histogram = {draw.choice([draw.randint(-50, 50), draw.randint(0, 10**9)]): draw.randint(1, 9) for _ in range(300)}
+    df = make("value long, users long, more string", *((v, w, "x") for v, w in histogram.items()), (None, 5, "x"))
+    got = {r.value: r.before for r in weight_before(df, "value", "users", parts).collect()}
+    so_far, want = 0, {}
+    for value in sorted(histogram):
+        want[value] = so_far
+        so_far += histogram[value]
+    assert got == want
+    assert weight_before(df.limit(0), "value", "users", parts).collect() == []
+
+
+def test_no_task_gets_all_values(spark):
+    histogram = spark.range(20_000).select((F.col("id") * 7 % 20_000).alias("value"), F.lit(1).alias("users"))
+    placed = weight_before(histogram, "value", "users", 40)
+    sizes = [r["count"] for r in placed.groupBy(F.floor(F.col("before") / 500)).count().collect()]
+    assert set(sizes) == {500}
+    text = placed._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in text and "hashpartitioning(range" in text
+    from basketry.functions.ranks import ranges
+
+    bounds = ranges(histogram, "value", 40)
+    widths = [b - a for a, b in zip([0, *bounds], [*bounds, 20_000], strict=True)]
+    assert max(widths) < 2 * 20_000 / 40
+
+
+def test_ranks_equal_a_global_rank(make):
+    draw = random.Random(5)
+    users = {u: (draw.choice([1, 1, 1, 2, 3, draw.randint(1, 30)]), False) for u in range(300)}
+    counts = [n for n, _ in users.values()]
+    want: dict[int, Counter] = defaultdict(Counter)
+    for n in counts:
+        want[sum(c < n for c in counts) * 10 // 300 + 1][n] += 1
+    got = {r.frequency_rank: tuple(r)[1:] for r in questions.frequency_ranks(make(ORDERS, *orders(users))).collect()}
+    assert got == {
+        g: (sum(own.values()), min(own), max(own), sum(n * c for n, c in own.items())) for g, own in want.items()
+    }
+    assert questions.frequency_ranks(make(ORDERS)).collect() == []
