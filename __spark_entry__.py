@@ -23,7 +23,7 @@ if str(Path(__file__).parent) not in sys.path:
 import oracle_queries
 from basketry.contracts import AUDIT_COLUMNS, ENTITIES, LAYERS
 from basketry.functions.skew import hot_keys, uneven_share
-from basketry.operators import gold, quality, questions, silver
+from basketry.operators import drift, gold, quality, questions, silver
 from basketry.operators.bronze import to_bronze
 from basketry.plans import driver_tables, lineage, medallion, stored
 from basketry.sources import paths, raw, snapshots
@@ -288,6 +288,56 @@ def dq_source_raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_source_raw_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For the raw layer, and for a copy of it in which a line of the aisles is another."""
+    source, root = stored.sources(spark, sf_dir), stored.raw_root(spark, sf_dir)
+
+    def fill(at: str) -> None:
+        lines = raw.landed_lines(spark, root, "aisles", LABEL)[0]
+        lowest = lines.agg(F.min("line")).scalar()  # a row, since headers sort after digits
+        line = F.when(F.col("line") == lowest, F.concat("line", F.lit("?"))).otherwise(F.col("line"))
+        snapshots.write_snapshot(lines.withColumn("line", line), f"{at}/aisles", LABEL)
+
+    changed = stored.folder(spark, sf_dir, "changed", fill)
+    given = {e.name: raw.read_lines(spark, f"{source}/{e.file_name}") for e in ENTITIES.values()}
+    whole = {e: raw.landed_lines(spark, root, e, LABEL)[0] for e in ENTITIES}
+    other = whole | {"aisles": raw.landed_lines(spark, changed, "aisles", LABEL)[0]}
+    reports = [
+        quality.content_report(given, landed).withColumn("landing", F.lit(name))
+        for name, landed in (("whole", whole), ("changed", other))
+    ]
+    # Names of files and where they are divided are other in each run; the sides and their number are not.
+    sides = F.array_join(F.array_distinct(F.transform("differing_blocks", lambda b: F.substring_index(b, ":", 1))), ",")
+    counted = quality.union_reports(reports).withColumn("sides", F.array_join(F.array_sort(F.split(sides, ",")), ","))
+    rows = quality.union_reports(
+        [quality.source_records(spark, f"{source}/{e.file_name}").withColumn("entity", F.lit(e.name)) for e in ENTITIES.values()]
+    )
+    return counted.drop("differing_blocks").join(rows, "entity")
+
+
+def dq_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as they are, the same again, and with other hours and fewer days, each compared with the load before."""
+
+    def fill(at: str) -> None:
+        orders = stored.silver_table(spark, sf_dir, _ORDERS).drop(*AUDIT_COLUMNS)
+        some = F.when(F.col("order_id") % 3 != 0, F.col("days_since_prior_order"))
+        shifted = orders.withColumns(
+            {"order_hour_of_day": F.floor(F.col("order_hour_of_day") / 3).cast("int"), "days_since_prior_order": some}
+        )
+        for label, load in (("2026-04-01", orders), ("2026-04-02", orders), ("2026-04-03", shifted)):
+            found = drift.follow(spark, load, f"{at}/history", label)
+            if found is not None:
+                snapshots.write_snapshot(found, f"{at}/drift", label)
+
+    at = stored.folder(spark, sf_dir, "drift", fill)
+    loads = [
+        snapshots.read_snapshot(spark, f"{at}/drift", label).withColumn("run_label", F.lit(label))
+        for label in ("2026-04-02", "2026-04-03")
+    ]
+    # The distances are estimates of sketches.
+    return quality.union_reports(loads).drop("rank_distance", "different_factor")
+
+
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reports of every table of all layers, stored in one write and read again."""
     path = f"{paths.work_folder(spark, 'reports')}/all"
@@ -354,6 +404,8 @@ def queries() -> dict[str, Query]:
         "dq_key_duplicates": lambda s, d: quality.key_duplicates(stored.all_bronze(s, d)),
         "dq_type_conformance": lambda s, d: quality.type_conformance(stored.all_raw(s, d)),
         "dq_source_raw_counts": dq_source_raw_counts,
+        "dq_source_raw_content": dq_source_raw_content,
+        "dq_drift": dq_drift,
         "dq_orphans": lambda s, d: quality.orphans(stored.all_bronze(s, d)),
         "dq_summary": dq_summary,
     }

@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from functools import partial
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
@@ -211,6 +211,85 @@ def source_raw_counts(
     return union_reports(counts)
 
 
+def _digests(lines: DataFrame, side: str) -> DataFrame:
+    """Per file: lines and an order-free digest of them, the sum of their hashes, repeats included."""
+    name = F.substring_index("source_file", "/", -1).alias("file")
+    return lines.groupBy(name).agg(
+        F.count(F.lit(1)).alias(f"{side}_lines"),
+        F.sum(F.xxhash64("line").cast("decimal(38,0)")).alias(f"{side}_digest"),
+    )
+
+
+def content_differences(source: DataFrame, landed: DataFrame) -> DataFrame:
+    """Where the lines of a source and of its landing differ: file, side, block and how many lines.
+
+    Both have the columns of ``read_lines``. ``side`` is ``source`` for lines that the landing lacks or has fewer of, ``raw``
+    for those that the source lacks; ``block`` is the byte at which the side's own part of the file starts, so it does
+    not matter whether both were read in equal parts. Repeats count, the order of lines does not. Files whose
+    digests agree are not looked at again, so that in general nothing but their digests is shuffled.
+    """
+    sides = {"source": source, "raw": landed}
+    digests = _digests(source, "source").join(_digests(landed, "raw"), "file", "full")
+    same = F.col("source_lines").eqNullSafe(F.col("raw_lines")) & F.col("source_digest").eqNullSafe(F.col("raw_digest"))
+    suspect = digests.where(~same).select("file")
+    hashed = {
+        side: lines.select(
+            F.substring_index("source_file", "/", -1).alias("file"), "block", F.xxhash64("line").alias("hash")
+        ).join(suspect, "file", "left_semi")
+        for side, lines in sides.items()
+    }
+    signed = hashed["source"].select("file", "hash", F.lit(1).alias("n")).unionByName(
+        hashed["raw"].select("file", "hash", F.lit(-1).alias("n"))
+    )
+    surplus = signed.groupBy("file", "hash").agg(F.sum("n").alias("n")).where("n <> 0")
+    found = []
+    for side, lines in hashed.items():
+        more = surplus.where("n > 0" if side == "source" else "n < 0").select("file", "hash", F.abs("n").alias("n"))
+        # Which of several equal lines is missing nobody can tell; the last blocks' are taken for it.
+        counted = lines.join(more, ["file", "hash"]).groupBy("file", "hash", "block").agg(
+            F.count(F.lit(1)).alias("here"), F.first("n").alias("n")
+        )
+        after = Window.partitionBy("file", "hash").orderBy(F.desc("block"))
+        left = F.col("n") - (F.sum("here").over(after) - F.col("here"))
+        lines_of = F.greatest(F.least("here", left), F.lit(0))
+        found.append(
+            counted.withColumn("lines", lines_of)
+            .groupBy("file", F.lit(side).alias("side"), "block")
+            .agg(F.sum("lines").alias("lines"))
+            .where("lines > 0")
+        )
+    return found[0].unionByName(found[1])
+
+
+def content_report(source: Mapping[str, DataFrame], landed: Mapping[str, DataFrame]) -> DataFrame:
+    """Per entity: lines that only one side has, the files and blocks with such lines, and whether there are none."""
+    reports, ends = [], [f"{which}_{side}" for side in ("source", "raw") for which in ("first", "last")]
+    for entity in source:
+        differing = content_differences(source[entity], landed[entity])
+        only = [
+            F.coalesce(F.sum(F.when(F.col("side") == side, F.col("lines"))), F.lit(0)).alias(f"only_in_{side}")
+            for side in ("source", "raw")
+        ]
+        named = F.concat_ws(":", "side", "file", F.col("block").cast("string"))
+        reports.append(
+            differing.agg(
+                F.lit(entity).alias("entity"),
+                *only,
+                F.count_distinct("file").alias("differing_files"),
+                *[
+                    reduction(F.when(F.col("side") == side, named)).alias(f"{which}_{side}")
+                    for side in ("source", "raw")
+                    for which, reduction in (("first", F.min), ("last", F.max))
+                ],
+            )
+            # The first and the last block of either side, as texts go.
+            .withColumn("differing_blocks", F.array_distinct(F.array_sort(F.array_compact(F.array(*ends)))))
+            .withColumn("passed", (F.col("only_in_source") == 0) & (F.col("only_in_raw") == 0))
+            .drop(*ends)
+        )
+    return union_reports(reports)
+
+
 def orphans(bronze: Mapping[str, DataFrame]) -> DataFrame:
     """Per reference: ids that the referenced table lacks, and the rows that use them.
 

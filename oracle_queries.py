@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketry.contracts import ENTITIES
+from basketry.contracts import AUDIT_COLUMNS, ENTITIES, contract
 from basketry.plans.driver_tables import DEPARTMENT_IDS, NO_AISLE, NO_DEPARTMENT
 from basketry.plans.stored import LABEL
 
@@ -449,6 +449,36 @@ SELECT *, round(total_reorders / total_order_rows, 4) AS reorder_rate FROM (
             for e in ENTITIES
         ),
     )
+    changed = ("changed", "aisles")
+    out["dq_source_raw_content"] = _with(
+        raw,
+        union(
+            f"SELECT '{landing}' AS landing, '{e}' AS entity, count(*) AS source_rows, CAST({n} AS BIGINT) AS only_in_source,"
+            f" CAST({n} AS BIGINT) AS only_in_raw, CAST({n} AS BIGINT) AS differing_files, '{'raw,source' if n else ''}' AS sides,"
+            f" {not n} AS passed FROM raw_{e}"
+            for landing in ("whole", "changed")
+            for e in ENTITIES
+            for n in (int((landing, e) == changed),)
+        ),
+    )
+    orders_columns = [c for c in contract("silver", "orders_clean").fieldNames() if c not in AUDIT_COLUMNS]
+    reasons = {"order_hour_of_day": "distribution,different", "days_since_prior_order": "nulls"}
+
+    def column_drift(label: str, column: str) -> str:
+        shifted = label == "2026-04-03"
+        kept = f"count(*) FILTER (WHERE order_id % 3 <> 0 AND {column} IS NOT NULL)"
+        less = f"count(*) - {kept if shifted and column == 'days_since_prior_order' else f'count({column})'}"
+        reason = reasons.get(column, "") if shifted else ""
+        return (
+            f"SELECT '{label}' AS run_label, '{column}' AS column_name, count(*) AS row_count_before,"
+            f" count(*) AS row_count_now, count(*) - count({column}) AS null_count_before, {less} AS null_count_now,"
+            f" '{reason}' AS reasons, {bool(reason)} AS drifted FROM silver_orders_clean"
+        )
+
+    out["dq_drift"] = _with(
+        ["silver_orders_clean"],
+        union(column_drift(label, c) for label in ("2026-04-02", "2026-04-03") for c in orders_columns),
+    )
     out["dq_orphans"] = _with(bronze, union(_orphans(*r) for r in REFERENCES))
     of_layers = [f"{layer}_{t}" for layer in ("raw", "bronze", "silver") for t in STARTS[layer]]
     tables = [
