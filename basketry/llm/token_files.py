@@ -13,8 +13,8 @@ of any file system:
     with a control byte of its own, so each can be decoded alone; what its last control byte has to spare is zero and has
     no data.
 
-A block has documents whose ids, uncoded, take about ``BLOCK`` bytes, or one longer document; a reader's memory is
-bounded by that. Decoding looks the lengths up by control byte, sums them up to places, and gathers the bytes with numpy for a
+A block has documents whose ids, with two or four bytes each, take about ``BLOCK`` bytes, or one longer document; a
+reader's memory is bounded by that. Decoding looks the lengths up by control byte, sums them up to places, and gathers the bytes with numpy for a
 block at once.
 
 Ids come from the library ``tokenizers``. Where a tokenizer first splits at white space, as the default one does, a
@@ -25,7 +25,7 @@ the answer; with another tokenizer it asks for whole texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +37,10 @@ from pyspark.sql import functions as F
 from basketry.llm.tables import columns, cut, map_partitions, slices
 
 CLOSING_ID = 1
-#: Bytes that the ids of a block take, with four for each.
+#: Bytes that the ids of a block take before they are coded.
 BLOCK = 1 << 22
 #: Words (of up to so many bytes) whose ids a worker remembers.
-REMEMBERED, WORD_BYTES = 1 << 19, 64
+REMEMBERED, WORD_BYTES = 1 << 20, 64
 #: A word that stands between others; control characters are words of their own.
 _BORDER = b"\x01"
 #: Lower-case letters up to U+00FF, and marks after them that neither begin a contraction nor combine with others.
@@ -195,8 +195,10 @@ def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
     ).cast(pa.binary())
 
 
-def token_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids): each document's ids and the closing id, little-endian unsigned 32-bit.
+def token_ids(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, kind: str = "<u4"
+) -> DataFrame:
+    """(doc_id, n_tokens, ids): each document's ids and the closing id, by default little-endian unsigned 32-bit.
 
     A NULL text counts as empty and has the closing id alone. ``tokenizer`` is a file of the library ``tokenizers``.
     """
@@ -207,7 +209,7 @@ def token_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", token
         for batch in batches:
             for part in slices(batch, "text", _PART):
                 ids, lengths = words.ids(part.column("text"))
-                packed = _binary(ids.view(np.uint8), 4 * np.cumsum(lengths))
+                packed = _binary(ids.astype(kind).view(np.uint8), np.dtype(kind).itemsize * np.cumsum(lengths))
                 arrays = [part.column("doc_id"), pa.array(lengths), packed]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids"])
 
@@ -215,12 +217,12 @@ def token_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", token
     return map_partitions(rows, apply, "doc_id long, n_tokens long, ids binary")
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counts(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
     """How often each id occurs in a partition."""
     total = np.zeros(0, np.int64)
     for batch in batches:
         for part in slices(batch, "ids", _PART):
-            seen = np.bincount(np.frombuffer(b"".join(part.column("ids").to_pylist()), "<u4"))
+            seen = np.bincount(np.frombuffer(b"".join(part.column("ids").to_pylist()), kind))
             if len(seen) > len(total):
                 total, seen = seen.astype(np.int64), total
             total[: len(seen)] += seen
@@ -248,9 +250,10 @@ def write(
     # The ids decide between rows of one doc_id, so that the files are always the same; the last key
     # divides equal rows among the partitions.
     order = ["doc_id", "n_tokens", "hash", "at"]
-    found = token_ids(docs, doc_id, text, tokenizer).withColumn("hash", F.xxhash64("ids"))
+    kind = "<u2" if len(words_of(tokenizer or default_tokenizer()).ends) <= 1 << 16 else "<u4"
+    found = token_ids(docs, doc_id, text, tokenizer, kind).withColumn("hash", F.xxhash64("ids"))
     found = cut(found.withColumn("at", F.monotonically_increasing_id()), "ids", compression="zstd")
-    counted = map_partitions(found.select("ids"), _counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = map_partitions(found.select("ids"), partial(_counts, kind=kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # One row for each id of the vocabulary at most.
     ordered = np.array([r["id"] for r in sorted(counted.collect(), key=lambda r: (-r["n"], r["id"]))], np.int64)
     ranked = pa.table({"rank": pa.array(np.arange(len(ordered)), pa.int32()), "id": pa.array(ordered)})
@@ -264,7 +267,7 @@ def write(
         parts = (part for batch in batches for part in slices(batch, "ids", block))
         for number, part in enumerate(parts):
             lengths = part.column("n_tokens").to_numpy()
-            ids = np.frombuffer(b"".join(part.column("ids").to_pylist()), "<u4")
+            ids = np.frombuffer(b"".join(part.column("ids").to_pylist()), kind)
             control, data, *_ = encode(given.value[ids], lengths)
             whole = pa.array([0, part.num_rows], pa.int32())
             yield pa.RecordBatch.from_pydict({

@@ -113,7 +113,7 @@ def test_files_are_ranked_ordered_and_bounded(spark, tmp_path):
     for b in blocks:
         assert len(b.doc_ids) == len(b.n_tokens)
         assert len(b.control) == sum(-(-n // 4) for n in b.n_tokens)
-        assert 4 * sum(b.n_tokens[1:]) < 2000
+        assert 2 * sum(b.n_tokens[1:]) < 2000
     ranked = {r["rank"]: r["id"] for r in spark.read.parquet(f"{tmp_path}/ranks").collect()}
     counts = np.bincount([i for own in own_ids([r.text for r in docs.collect()]) for i in own])
     by_rank = [counts[ranked[i]] for i in range(len(ranked))]
