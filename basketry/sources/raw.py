@@ -25,10 +25,13 @@ from basketry.sources.snapshots import (
 )
 
 #: What a landed line comes with: its file, the byte at which its part of the file starts, and
-#: numbers that grow with the lines of that part.
+#: numbers that grow with the lines of that part and are unique in a landing.
 LINE_COLUMNS = ["line", "source_file", "block", "row"]
-#: First lines of files, one row each, that are broadcast; of more files they are joined by sorting.
+#: First lines of files, one row each, that the driver looks at; those of more files are joined by sorting.
 BROADCAST_FILES = 100_000
+#: Rows of first lines that are written out in a filter.
+_LISTED = 1000
+_HEADERS, _FIRST = "_headers", "source_file string, header string, block long, row long"
 
 
 @dataclass(frozen=True)
@@ -94,6 +97,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def land_lines(lines: DataFrame, root: str, label: str) -> SnapshotSummary:
+    """A raw snapshot of lines, with the first line of each file beside it, where readers of lines don't see it."""
+    summary = write_snapshot(lines, root, label)
+    at = snapshot_path(root, label)
+    stored = lines.sparkSession.read.schema(lines.schema).parquet(at)
+    _first_lines(stored, DEFAULT).write.mode("overwrite").parquet(f"{at}/{_HEADERS}")
+    return summary
+
+
 def land_sources(
     spark: SparkSession, source_dir: str, raw_root: str, label: str
 ) -> list[SnapshotSummary]:
@@ -106,7 +118,7 @@ def land_sources(
 
     def land(entity: Entity) -> SnapshotSummary:
         lines = read_lines(spark, f"{source_dir}/{entity.file_name}")
-        return write_snapshot(lines, f"{raw_root}/{entity.name}", label)
+        return land_lines(lines, f"{raw_root}/{entity.name}", label)
 
     return together(spark, [partial(land, e) for e in ENTITIES.values()])
 
@@ -213,28 +225,41 @@ def _names(header: str, dialect: Dialect) -> list[str]:
     return [n.strip() for n in lone]
 
 
-def parse_lines(lines: DataFrame, dialect: Dialect = DEFAULT) -> DataFrame:
+def _first_lines(lines: DataFrame, dialect: Dialect) -> DataFrame:
+    """(source_file, header, block, row): the first record of each file. Only first blocks are read for them."""
+    at = F.struct("block", "row")
+    heads = _records(lines.where("block = 0"), dialect).groupBy("source_file")
+    found = heads.agg(F.min_by("line", at).alias("header"), F.min(at).alias("at"))
+    return found.select("source_file", "header", "at.*")
+
+
+def parse_lines(
+    lines: DataFrame, dialect: Dialect = DEFAULT, first_lines: DataFrame | None = None
+) -> DataFrame:
     """String columns named by the header of each file, and ``source_file``.
 
     Files with other headers are put together by name, NULL where a file lacks a column, all in one
-    pass. Blank lines are left out, fields beyond the header are not read, missing
-    ones are NULL.
+    pass. Blank lines are left out, fields beyond the header are not read, missing ones are NULL.
+    ``first_lines`` are those that ``land_lines`` has stored, if there are any.
     """
-    # Headers are in the first block of a file, so that other files of the snapshot are not read
-    # for them.
-    at = F.struct("block", "row")
-    heads = _records(lines.where("block = 0"), dialect)
-    first = heads.groupBy("source_file").agg(
-        F.min_by("line", at).alias("header"), F.min(at).alias("first")
-    )
-    files = {r.header: r["count"] for r in first.groupBy("header").count().collect()}
+    spark = lines.sparkSession
+    if first_lines is None or dialect.multi_line:
+        first_lines = _first_lines(lines, dialect)
     records = _records(lines, dialect)
-    if not files:  # no file with a line: no column but the file's
+    known = first_lines.limit(BROADCAST_FILES + 1).collect()
+    if not known:  # no file with a line: no column but the file's
         return records.select("source_file")
-    if sum(files.values()) <= BROADCAST_FILES:
-        first = F.broadcast(first)
-    body = records.join(first, "source_file").where(at != F.col("first"))
-    schemas = {h: StructType([StructField(n, StringType()) for n in _names(h, dialect)]) for h in sorted(files)}
+    headers = {r["header"] for r in known}
+    if len(known) <= BROADCAST_FILES:
+        first_lines = F.broadcast(spark.createDataFrame(known, first_lines.schema))
+    else:
+        headers |= {r["header"] for r in first_lines.select("header").distinct().collect()}
+    if len(headers) == 1 and len(known) <= _LISTED:
+        body = records.where(~((F.col("block") == 0) & F.col("row").isin([r["row"] for r in known])))
+    else:
+        first = first_lines.select("source_file", "header", F.col("block").alias("at"), F.col("row").alias("first"))
+        body = records.join(first, "source_file").where((F.col("block") != F.col("at")) | (F.col("row") != F.col("first")))
+    schemas = {h: StructType([StructField(n, StringType()) for n in _names(h, dialect)]) for h in sorted(headers)}
     names = list(dict.fromkeys(n for schema in schemas.values() for n in schema.names))
     fields = F.lit(None)
     for header, schema in schemas.items():
@@ -301,7 +326,9 @@ def scan_raw(
         scan = scan_csv(spark, csv_file, dialect)
         return scan.withColumn("source_file", F.col("_metadata.file_path")), label
     if paths.exists(spark, at) and paths.has_data_files(spark, at):
-        return parse_lines(landed_lines(spark, raw_root, entity, label)[0], dialect), label
+        stored = f"{at}/{_HEADERS}"
+        first_lines = spark.read.schema(_FIRST).parquet(stored) if paths.exists(spark, stored) else None
+        return parse_lines(landed_lines(spark, raw_root, entity, label)[0], dialect, first_lines), label
     raise FileNotFoundError(f"no data files in {at}")
 
 
