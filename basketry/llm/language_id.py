@@ -8,11 +8,11 @@ its own repetitions. Where the runner-up comes close, the text is marked as reje
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +20,9 @@ from pyspark.sql import types as T
 
 from basketry.llm.tables import columns, map_batches
 
-#: Bounds of the model: for each language one text for each of so many hash buckets, from the most
-#: frequent languages, and so many bytes of a dictionary.
-BUCKETS, LANGUAGES, DICTIONARY_BYTES = 256, 256, 110_000
+#: Bounds of the model: for each language one text for each of so many hash buckets and so many bytes of a
+#: dictionary; all dictionaries together. Of more languages than fit in, each gets an equal, smaller share.
+BUCKETS, DICTIONARY_BYTES, MODEL_BYTES = 256, 110_000, 64 * 110_000
 BLOCK_BYTES = 4096
 #: zstandard's level for blocks.
 LEVEL = 6
@@ -30,10 +30,10 @@ LEVEL = 6
 MARGIN = 0.01
 #: A code-length gap of one byte counts as so many nats of evidence; repeated words make gaps too large.
 EVIDENCE = 0.25
-#: Longest text that the dictionary takes, in bytes; longer ones are left to other buckets.
-SAMPLE_BYTES = 8192
+#: Characters that a dictionary takes from the beginning of a drawn text.
+SAMPLE = 8192
 UNDETERMINED = "und"
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+_NO_LETTERS = regex.compile(r"\P{L}+")
 
 
 def letters(text: str) -> bytes:
@@ -42,40 +42,31 @@ def letters(text: str) -> bytes:
 
 
 def dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
-    """A dictionary for each language, made of whole texts of ``labelled``; NULLs are left out.
+    """A dictionary for each language, made of texts of ``labelled``; NULLs and texts without letters are left out.
 
-    The sample is bounded, the same for the same rows in any order, and drawn by the hash of ``key``:
-    in each language the row with the smallest hash in each of ``BUCKETS`` buckets. The language with the
-    most rows comes first.
+    The sample is bounded, the same for the same rows in any order, and drawn by the hash of ``key``: in
+    each language the row with the smallest hash in each bucket, of whatever length, of which up to ``SAMPLE``
+    characters are used. Every language that has such a text is learned. The language with the most rows comes first.
     """
-    rows = columns(labelled, text=text, lang=lang, key=key).where(
-        "lang is not null and text is not null and length(text) > 0"
-    )
-    rows = rows.withColumn("draw", F.xxhash64(F.col("key").cast("string"), "lang"))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    rows = columns(labelled, text=text, lang=lang, key=key).where("lang is not null and text is not null")
+    rows = rows.where(F.col("text").rlike(r"\p{L}")).withColumn("draw", F.xxhash64(F.col("key").cast("string"), "lang"))
+    # One row for each language: the model has a dictionary for each.
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
     languages = [r["lang"] for r in sizes.collect()]
-    short = rows.where(F.octet_length("text") <= SAMPLE_BYTES).select("lang", "draw")
-    drawn = (
-        short.groupBy("lang", F.pmod("draw", F.lit(BUCKETS)).alias("bucket"))
-        .agg(F.min("draw").alias("draw"))
-        .where(F.col("lang").isin(languages))
-    )
-    # No more rows than LANGUAGES x BUCKETS, of which each text is at most SAMPLE_BYTES long.
-    ids = [tuple(r) for r in drawn.select("lang", "draw").collect()]
-    if not ids:
+    if not languages:
         return {}
+    most = min(DICTIONARY_BYTES, max(1, MODEL_BYTES // len(languages)))
+    buckets = max(1, BUCKETS * most // DICTIONARY_BYTES)
+    drawn = rows.groupBy("lang", F.pmod("draw", F.lit(buckets)).alias("bucket")).agg(F.min("draw").alias("draw"))
+    ids = [tuple(r) for r in drawn.select("lang", "draw").collect()]
     wanted = F.broadcast(rows.sparkSession.createDataFrame(ids, "lang string, draw long"))
-    texts = (
-        rows.where(F.octet_length("text") <= SAMPLE_BYTES)
-        .join(wanted, ["lang", "draw"])
-        .groupBy("lang", "draw")
-        .agg(F.min("text").alias("text"))
-        .collect()
-    )
+    texts = rows.join(wanted, ["lang", "draw"]).groupBy("lang", "draw").agg(F.min("text").alias("text"))
+    # From the first letter on, so that a long run of other signs leaves something to learn from.
+    start = F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, min(SAMPLE, most))
     found = {lang: b"" for lang in languages}
-    for row in sorted(texts, key=lambda r: (r["lang"], r["draw"])):
+    for row in sorted(texts.select("lang", "draw", start.alias("text")).collect(), key=lambda r: (r["lang"], r["draw"])):
         sample = found[row["lang"]]
-        if len(sample) < DICTIONARY_BYTES:
+        if len(sample) < most:
             found[row["lang"]] = sample + letters(row["text"]) + b" "
     return {lang: sample for lang, sample in found.items() if sample}
 
@@ -111,7 +102,7 @@ def identify(docs: DataFrame, model: dict[str, bytes], text: str = "text") -> Da
     A text that is NULL or has no letter, or any text if nothing was learned, is ``und`` and rejected.
     """
     frozen = tuple(model.items())
-    shared = docs.sparkSession.sparkContext.broadcast(frozen)  # bounded: see DICTIONARY_BYTES
+    shared = docs.sparkSession.sparkContext.broadcast(frozen)  # bounded: see MODEL_BYTES
 
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [classify(t.as_py(), shared.value) for t in batch.column("text")]

@@ -64,7 +64,40 @@ def test_the_sample_is_bounded_and_does_not_depend_on_the_order(spark, monkeypat
     assert one == language_id.dictionaries(docs.orderBy(F.desc("doc_id")).repartition(3))
     monkeypatch.setattr(language_id, "DICTIONARY_BYTES", 500)
     small = language_id.dictionaries(docs)
-    assert all(len(v) < 500 + language_id.SAMPLE_BYTES for v in small.values())
+    assert all(len(v) < 500 + language_id.SAMPLE for v in small.values())
+
+
+def test_a_language_of_long_texts_is_learned(spark):
+    draw = random.Random(2)
+    long = [(i, "123 " * 3000 + " ".join(draw.choices(WORDS["cd"], k=4000)), "cd") for i in range(40)]
+    short = [(100 + i, " ".join(draw.choices(WORDS["ab"], k=30)), "ab") for i in range(40)]
+    model = language_id.dictionaries(spark.createDataFrame(long + short, "doc_id long, text string, lang string"))
+    assert set(model) == {"ab", "cd"}
+    frozen = tuple(model.items())
+    assert language_id.classify("wrzyk choosh plint gruft schw tock", frozen)[::2] == ("cd", False)
+    assert language_id.classify(" ".join(WORDS["ab"]), frozen)[::2] == ("ab", False)
+
+
+def test_numerals_and_signs_are_no_letters(spark):
+    model = tuple(language_id.dictionaries(table(spark)).items())
+    for text in ("½", "²", "①", "Ⅷ", "٣", "१२", "_", "😀", "́"):
+        assert language_id.classify(text, model) == ("und", 0.0, True)
+    for text in ("x½", "ß", "я", "中", "ª"):
+        assert language_id.classify(text, model)[0] != "und"
+    docs = spark.createDataFrame([(1, "½ ²", "ab"), (2, "tara", "cd")], "doc_id long, text string, lang string")
+    assert set(language_id.dictionaries(docs)) == {"cd"}
+
+
+def test_every_one_of_many_languages_can_be_predicted(spark):
+    draw = random.Random(4)
+    words = {f"l{i}": ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(12)] for i in range(300)}
+    rows = [(i * 10 + j, " ".join(draw.choices(own, k=80)), lang) for i, (lang, own) in enumerate(words.items()) for j in range(3)]
+    model = language_id.dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(model) == set(words)
+    assert sum(map(len, model.values())) <= language_id.MODEL_BYTES + 300 * language_id.SAMPLE
+    frozen = tuple(model.items())
+    language_id._compressors.cache_clear()
+    assert all(language_id.classify(" ".join(words[x]), frozen)[0] == x for x in ("l0", "l150", "l299"))
 
 
 def test_hard_rows(hard_docs, hard_rows, spark):
