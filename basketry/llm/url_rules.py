@@ -21,8 +21,8 @@ GIVEN = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: A rule needs this share of the labelled URLs, and so many of them, to say anything.
-SUPPORT, LEAST_ROWS, CONFIDENCE = 0.002, 20, 0.8
+#: A rule needs so many labelled URLs, however many there are, and this share of them with its label.
+LEAST_ROWS, CONFIDENCE = 20, 0.8
 LABEL = "label="
 
 
@@ -49,10 +49,14 @@ def given_rule(host: Column, path: Column, rules=GIVEN) -> tuple[Column, Column]
 
 
 def tokens(url: Column) -> Column:
-    """The distinct tokens of a URL: words of host, path and query keys by place, scheme, host labels."""
+    """The distinct tokens of a URL: labels of the host, words of the path in any script, and query keys.
+
+    A path is decoded first where its percent signs allow that.
+    """
     host, path = host_and_path(url)
+    path = F.coalesce(F.try_url_decode(path), path)
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
-    words = F.filter(F.split(F.lower(path), r"[^a-z]+"), lambda x: x != "")
+    words = F.filter(F.split(F.lower(path), r"[^\p{L}\p{M}\p{N}]+"), lambda x: x != "")
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     keys = F.filter(F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)), lambda x: x != "")
     made = F.concat(
@@ -63,16 +67,17 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.coalesce(made, F.array().cast("array<string>")))
 
 
-def mine(labelled: DataFrame, url: str = "url", label: str = "label", support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+def mine(labelled: DataFrame, url: str = "url", label: str = "label", least: int = LEAST_ROWS, confidence: float = CONFIDENCE) -> DataFrame:
     """Rules (tokens, label, confidence, support, token): ``token`` is the rarest of ``tokens``.
 
-    Rows with a NULL url or label are left out; no rows give no rules. A rule that holds all tokens of
+    A rule counts from ``least`` URLs with its tokens and its label on, at any size of the table. Rows with a NULL url or label are left out; no rows give no rules. A rule that holds all tokens of
     a surer or equally sure rule for the label is pruned.
     """
     rows = columns(labelled, url=url, label=label).where("url is not null and label is not null")
     label_item = F.concat(F.lit(LABEL), F.col("label").cast("string"))
     baskets = cut(rows.select(F.array_append(tokens(F.col("url")), label_item).alias("items")), "baskets")
-    support = min(1.0, max(support, LEAST_ROWS / max(1, baskets.count())))
+    # A little less, so that rounding loses no rule with just as many rows.
+    support = min(1.0, (least - 0.5) / max(1, baskets.count()))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     found = cut(
         model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit(LABEL)))

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from basketry.llm import url_rules
 from basketry.llm.queries import op9_url_rules
 
@@ -85,6 +87,23 @@ def test_mined_rules_and_their_use(spark):
         assert r["verdict"] == ("block" if "spam." in r["url"] and "/pills/" in r["url"] else "allow")
 
 
+def test_a_host_is_blocked_however_many_others_there_are(spark):
+    bad = [(i, f"http://bad.test/x{i}", "block") for i in range(url_rules.LEAST_ROWS)]
+    few = [(90 + i, f"http://few.test/y{i}", "block") for i in range(url_rules.LEAST_ROWS - 1)]
+    for others in (50, 20_000):
+        good = [(1000 + i, f"http://h{i % 7}.test/z{i}", "allow") for i in range(others)]
+        pages = spark.createDataFrame(bad + few + good, "page_id long, url string, label string")
+        blocked = {tuple(r["tokens"]) for r in url_rules.mine(pages).where("label = 'block'").collect()}
+        assert ("host:bad",) in blocked and ("host:few",) not in blocked
+
+
+def test_words_of_any_script_are_tokens(spark):
+    urls = ["http://x.test/казино/Играть-2", "http://x.test/%D0%BA%D0%B0%D0%B7%D0%B8%D0%BD%D0%BE/", "http://x.test/100%/नमस्ते", None]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string").select(url_rules.tokens(F.col("url")).alias("t")).collect()
+    paths = [[t.removeprefix("path:") for t in r["t"] if t.startswith("path:")] for r in rows]
+    assert paths == [["казино", "играть", "2"], ["казино"], ["100", "नमस्ते"], []]
+
+
 def test_nothing(make):
     labelled = make("url string, label string")
     rules = url_rules.mine(labelled)
