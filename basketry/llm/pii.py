@@ -4,8 +4,11 @@ The given patterns find emails, IP addresses, cards and phones. These are the se
 words before a seed are a lexical pattern, the token that follows a pattern elsewhere is an instance. Patterns
 and instances form a bipartite graph with counts, on which scores go to and fro for some rounds: a
 pattern is as sure as the share of its occurrences anywhere that lead to a seed or a sure instance, an instance is
-as sure as its patterns together. Instances of sure patterns that look like an identifier are added.
-Built-in functions only.
+as sure as its patterns together. Sure instances then stand as seeds themselves: the words before them, wherever they
+occur, are new patterns, and the graph grows until no pattern is new or ``INDUCTIONS`` times. Instances of sure
+patterns that look like an identifier are added. Built-in functions only.
+
+A search for the places of patterns goes through all texts, but only places of candidates are counted and shuffled.
 
 The given expressions are written so that they find what their plain forms find, leftmost and not
 overlapping, in linear time and without recursion: a run is taken whole and looked at from its start only.
@@ -32,7 +35,10 @@ _NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 #: Different seeds a pattern needs.
 SUPPORT = 3
 #: Rounds of scoring, and the score from which patterns and instances count.
-ROUNDS, SURE = 3, 0.8
+ROUNDS, SURE = 6, 0.8
+#: How often patterns are sought before sure instances; each time costs two searches of the texts.
+INDUCTIONS = 3
+#: A pattern's two words lie within so many characters before a seed; longer ones are none.
 _CONTEXT_CHARS = 80
 #: Stands for the space between two groups of digits while texts are split into tokens.
 _GLUE = "\ue000"
@@ -109,7 +115,11 @@ def given_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         return F.transform(good, lambda x: F.struct(
             x["start"].alias("start"), F.lit(place).alias("place"), F.lit(kind).alias("kind"),
             (x["start"] + F.length(x["value"])).alias("end"), x["value"].alias("value"),
-            F.substr(F.col("text"), F.greatest(x["start"] - _CONTEXT_CHARS, F.lit(0)) + 1, F.least(x["start"], F.lit(_CONTEXT_CHARS))).alias("before"),
+            # A blank stands for the beginning of the text, so that a word that is cut off is no word.
+            F.concat(
+                F.when(x["start"] <= _CONTEXT_CHARS, " ").otherwise(""),
+                F.substr(F.col("text"), F.greatest(x["start"] - _CONTEXT_CHARS, F.lit(0)) + 1, F.least(x["start"], F.lit(_CONTEXT_CHARS))),
+            ).alias("before"),
         ))
 
     every = F.concat(*[spans(kind, i) for i, kind in enumerate(KINDS)])
@@ -147,21 +157,26 @@ def _looks_like_identifier(core: Column) -> Column:
     return shape & ~F.exists(numbers, lambda x: F.length(F.regexp_replace(x, "[^0-9]", "")).between(14, 19))
 
 
-def patterns_of(seeds: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """(kind, context, seeds): the two tokens before spans, where enough different values follow them."""
-    spans = seeds.select("key", F.explode("spans").alias("s")).distinct()
-    before = F.regexp_extract(_glued(F.col("s.before")), r"(?:^|[ \t\n\x0B\f\r])([^ \t\n\x0B\f\r]+[ \t\n\x0B\f\r]+[^ \t\n\x0B\f\r]+)[ \t\n\x0B\f\r]+$", 1)
+def seed_contexts(given: DataFrame) -> DataFrame:
+    """(kind, context, value, n): how often the two tokens are before a given span's value."""
+    spans = given.select("key", F.explode("spans").alias("s")).distinct()
+    white, word = r"[ \t\n\x0B\f\r]", r"[^ \t\n\x0B\f\r]"
+    before = F.regexp_extract(_glued(F.col("s.before")), rf"{white}({word}+{white}+{word}+){white}+$", 1)
     context = F.array_join(_tokens(before), " ")
     near = spans.select("s.kind", context.alias("context"), F.lower("s.value").alias("value")).where("context <> ''")
-    values = near.groupBy("kind", "context", "value").count()
-    supported = values.groupBy("kind", "context").agg(
-        F.count(F.lit(1)).alias("values"), F.sum("count").alias("seeds")
+    return near.groupBy("kind", "context", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def patterns_of(contexts: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(kind, context, seeds): the contexts that enough different values follow; ``seeds`` are given ones only."""
+    supported = contexts.groupBy("kind", "context").agg(
+        F.count_distinct("value").alias("values"), F.sum(F.when(F.col("is_given"), F.col("n")).otherwise(0)).alias("seeds")
     )
     return supported.where(F.col("values") >= support).select("kind", "context", "seeds")
 
 
 def _places(docs: DataFrame) -> DataFrame:
-    """(key, at, h, value): each token after two others, ``h`` being a hash of those.
+    """(key, at, h, x, y, value): each token after two others, x and y, ``h`` being a hash of those.
 
     ``at`` is the number of the token; ``value`` is its core if that looks like an identifier, else NULL.
     """
@@ -171,25 +186,39 @@ def _places(docs: DataFrame) -> DataFrame:
     rows = tokens.select("key", F.posexplode(in_a_row).alias("at", "w"))
     core = _core(F.col("w.z"))
     value = F.when(F.col("w.z").rlike("[0-9@]"), F.when(_looks_like_identifier(core), core))
-    return rows.select("key", (F.col("at") + 2).alias("at"), F.xxhash64("w.x", "w.y").alias("h"), value.alias("value"))
+    return rows.select("key", (F.col("at") + 2).alias("at"), F.xxhash64("w.x", "w.y").alias("h"), "w.x", "w.y", value.alias("value"))
 
 
 def _with_context(rows: DataFrame, contexts: DataFrame) -> DataFrame:
-    """``rows`` whose ``h`` is that of one of the contexts, with ``context``."""
-    if contexts.count() <= BROADCAST_PATTERNS:
-        contexts = F.broadcast(contexts)
+    """``rows`` whose two words are one of the contexts, with ``context``.
+
+    Up to ``BROADCAST_PATTERNS`` contexts are met where the rows are made; for more, only rows' hashes are sent.
+    """
     parts = F.split("context", " ")
-    return rows.join(contexts.withColumn("h", F.xxhash64(parts[0], parts[1])), "h")
+    known = contexts.select("context", F.xxhash64(parts[0], parts[1]).alias("h"))
+    if contexts.count() <= BROADCAST_PATTERNS:
+        known = F.broadcast(known)
+    met = rows.join(known, "h").where(F.col("context") == F.concat_ws(" ", "x", "y"))
+    return met.drop("x", "y")
 
 
 def _followers(docs: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(context, value, n): how often a context is followed by an identifier, or by none (NULL).
+    """(context, value, n): how often a context is followed by an identifier, or by none (NULL)."""
+    met = _with_context(_places(docs), contexts)
+    return met.groupBy("context", "value").agg(F.count(F.lit(1)).alias("n"))
 
-    Places are counted before the join, in each partition and then together, so that the join gets a row for
-    each pair and not one for each place.
-    """
-    counted = _places(docs).groupBy("h", "value").agg(F.count(F.lit(1)).alias("n"))
-    return _with_context(counted, contexts).select("context", "value", "n")
+
+def _contexts_of(docs: DataFrame, values: DataFrame) -> DataFrame:
+    """(kind, context, value, n): how often the two tokens are before one of the values, wherever it occurs."""
+    if values.count() <= BROADCAST_PATTERNS:
+        values = F.broadcast(values)
+    places = _places(docs).where("value is not null")
+    context = F.concat_ws(" ", "x", "y")
+    return places.join(values, "value").groupBy("kind", context.alias("context"), "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _none(rows: DataFrame) -> DataFrame:
+    return rows.sparkSession.createDataFrame([], "context string, value string, n long")
 
 
 def score(patterns: DataFrame, followers: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -228,9 +257,24 @@ def discovered(docs: DataFrame, given: DataFrame, text: str = "text", support: i
     They don't overlap a given span of their text. Where several kinds fit, the surest does, then the first.
     """
     rows = columns(docs, text=text).where("text is not null")
-    patterns = cut(patterns_of(given, support), "candidates")
-    counts = cut(_followers(rows, patterns.select("context").distinct()), "followers")
+    seen = cut(seed_contexts(given).withColumn("is_given", F.lit(True)), "seeds")
+    patterns = cut(patterns_of(seen, support), "candidates")
+    counts = cut(_followers(rows, patterns.select("context").distinct()) if not patterns.isEmpty() else _none(rows), "followers")
     pattern_scores, instance_scores = score(patterns, counts)
+    known = None
+    for _ in range(INDUCTIONS):
+        found = instance_scores.where(F.col("sure") >= sure).select("kind", "value")
+        new = cut(found if known is None else found.join(known, ["kind", "value"], "left_anti"), "new")
+        if new.isEmpty():
+            break
+        known = new if known is None else cut(known.union(new), "known")
+        seen = cut(seen.unionByName(_contexts_of(rows, new).withColumn("is_given", F.lit(False))), "seen")
+        more = cut(patterns_of(seen, support), "candidates")
+        fresh = cut(more.select("context").distinct().join(patterns.select("context").distinct(), "context", "left_anti"), "fresh")
+        if not fresh.isEmpty():
+            counts = cut(counts.unionByName(_followers(rows, fresh)), "followers")
+        patterns = more
+        pattern_scores, instance_scores = score(patterns, counts)
     contexts = pattern_scores.where(F.col("sure") >= sure)
     values = instance_scores.where(F.col("sure") >= sure).withColumnRenamed("sure", "value_sure")
     pairs = counts.where("value is not null").join(contexts, "context").join(values, ["kind", "value"])

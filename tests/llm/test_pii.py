@@ -125,6 +125,57 @@ def test_numbers_that_no_expression_judged_are_found(spark):
     assert got == want + [[]] * len(judged)
 
 
+def spans_of(spark, rows) -> dict[int, list[str]]:
+    texts = dict(rows)
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans] for r in found}
+
+
+def test_patterns_follow_from_what_was_discovered(spark):
+    rows = [(i, f"call my phone +1203555{i:04} now") for i in range(5)]
+    rows += [(100 + i, f"or my phone 555-777-00{i:02} now") for i in range(3)]
+    # The same numbers after other words, and others after these: a pattern that no given number shows.
+    rows += [(200 + i, f"so reach me 555-777-00{i:02} now") for i in range(3)]
+    rows += [(300 + i, f"so reach me 555-888-11{i:02} now") for i in range(3)]
+    # And once more, from the numbers found last.
+    rows += [(400 + i, f"my new line 555-888-11{i:02} ok") for i in range(3)] + [(500, "my new line 555-999-2222 ok")]
+    rows += [(600 + i, f"see item no 12-{i:04} there") for i in range(20)]
+    found = spans_of(spark, rows)
+    texts = dict(rows)
+    for i, text in rows:
+        number = [w for w in text.split() if w[0] in "+5" or w.startswith("555")]
+        assert found[i] == ([] if i >= 600 else number), text
+
+
+def test_a_number_that_is_found_spreads_to_no_context_of_many_things(spark):
+    rows = [(i, f"call my phone +1203555{i:04} now") for i in range(5)]
+    rows += [(100 + i, f"or my phone 555-777-00{i:02} now") for i in range(3)]
+    rows += [(200 + i, f"it was like 555-777-00{i:02} now") for i in range(3)]
+    rows += [(300 + i, f"it was like word{'x' * i} now") for i in range(40)] + [(400, "it was like 2024-11-30 then")]
+    found = spans_of(spark, rows)
+    assert found[400] == [] and found[200] == ["555-777-0000"][:0] and found[100] == ["555-777-0000"]
+
+
+def test_words_that_are_cut_off_are_no_pattern(spark):
+    long = "x" * 100
+    rows = [(i, f"{long} is +1203555{i:04} now") for i in range(9)] + [(100, f"{long} is 555-777-0000")]
+    rows += [(200, f"{'x' * 77} is 555-777-0000")]
+    exact = "y" * 70
+    rows += [(300 + i, f"{exact} is +1204555{i:04} now") for i in range(9)] + [(400, f"{exact} is 555-777-1111")]
+    found = spans_of(spark, rows)
+    assert found[100] == [] and found[200] == [] and found[400] == ["555-777-1111"]
+
+
+def test_only_places_of_candidates_are_counted(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(200)) + f" my phone +1203555{i:04}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    contexts = spark.createDataFrame([("my phone",)], "context string")
+    counted = pii._followers(docs, contexts)
+    counted.collect()
+    plan = counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.index("Exchange hashpartitioning(context") < plan.index("BroadcastHashJoin")  # it stands above
+
+
 def test_scores_by_hand(make):
     patterns = make("kind string, context string, seeds long", ("email", "a b", 8), ("email", "c d", 1))
     followers = make("context string, value string, n long", ("a b", None, 8), ("a b", "v", 2), ("c d", "v", 1), ("c d", None, 8))
