@@ -1,6 +1,12 @@
+import random
 import re
+import time
+from collections import Counter
+
+import pytest
 
 from basketry.llm import licenses
+from basketry.llm.patience import align
 from basketry.llm.queries import op7_licenses
 
 from .conftest import prose
@@ -51,6 +57,78 @@ def test_registered_query_against_plain_search(spark):
     assert sum(map(bool, got.values())) > 10
 
 
+def common(a: list, b: list) -> int:
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b):
+            row[j + 1], before = max(before + 1 if x == y else 0, row[j + 1], row[j]), row[j + 1]
+    return row[-1]
+
+
+def both_ways(text: str) -> int:
+    """Every notice is one, and every window that aligns well enough has one; the number of notices."""
+    words, found = licenses.word_list(text), notices(text)
+    for license_id, wording, coverage, start, end in found:
+        template = licenses.word_list(licenses.TEMPLATES[license_id][wording])
+        assert coverage >= licenses.COVERAGE and end - start <= licenses.STRETCH * len(template)
+        assert round(coverage * len(template)) <= common(template, words[start:end])
+    for license_id, wordings in licenses.TEMPLATES.items():
+        for i, wording in enumerate(wordings):
+            template = licenses.word_list(wording)
+            least, own = licenses.COVERAGE * len(template), Counter(template)
+            spans = [(s, e) for name, k, _, s, e in found if (name, k) == (license_id, i)]
+            for at in range(len(words) - int(least) + 1):
+                window = words[at : at + len(template)]
+                if window[0] not in own or (own & Counter(window)).total() < least:
+                    continue
+                aligned = align(template, window)
+                if len(aligned) >= least - 1e-9:
+                    first, last = at + aligned[0][1], at + aligned[-1][1] + 1
+                    assert any(s < last and first < e for s, e in spans), (license_id, i, at)
+    return len(found)
+
+
+def damaged(text: str, draw: random.Random, share: float) -> str:
+    words = text.split()
+    for at in draw.sample(range(len(words)), int(share * len(words))):
+        words[at] = draw.choice(["", "zz", words[at] + " zz", words[draw.randrange(len(words))]])
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_damaged_notices_both_ways(seed):
+    draw, found = random.Random(seed), 0
+    every = [w for wordings in licenses.TEMPLATES.values() for w in wordings]
+    for n in range(6):
+        parts = [damaged(draw.choice(every), draw, draw.choice([0, 0.05, 0.1, 0.2, 0.4])) for _ in range(3)]
+        found += both_ways(prose(seed * 10 + n, 30).join(["", *parts, ""]))
+    assert found
+
+
+def test_texts_of_the_table_both_ways(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 3000").collect()
+    assert sum(both_ways(r.text) for r in docs) > 0
+
+
+def test_whole_licenses_are_told_apart():
+    for name, body in (("ISC", licenses._ISC), ("Zlib", licenses._ZLIB), ("Unlicense", licenses._UNLICENSE), ("MIT", licenses._MIT)):
+        whole = {(f[0], f[2]) for f in notices(prose(1, 50) + body + prose(2, 50)) if len(licenses.TEMPLATES[f[0]][f[1]]) > 600}
+        assert whole == {(name, 1.0)}
+    bsd = {f[0]: f[2] for f in notices(licenses._BSD_START + licenses._BSD_END) if f[4] - f[3] > 100}
+    assert bsd["BSD-2-Clause"] == 1 and 0.8 <= bsd["BSD-3-Clause"] < 1
+
+
+def test_many_near_misses_take_bounded_time():
+    words = licenses.word_list(licenses._MIT)
+    draw = random.Random(1)
+    text = " ".join(draw.choice(words) for _ in range(3000))
+    start = time.perf_counter()
+    notices(text)
+    assert time.perf_counter() - start < 60
+
+
 def test_hard_rows(hard_docs, hard_rows):
     rows = licenses.scan(hard_docs).collect()
     assert len(rows) == len(hard_rows) and all(r["notices"] == [] for r in rows)
