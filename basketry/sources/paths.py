@@ -78,9 +78,8 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def total_size(spark: SparkSession, path: str) -> int:
-    """Bytes of all files below ``path``."""
-    fs, at = _file_system(spark, path)
-    return fs.getContentSummary(at).getLength()
+    """Bytes of all visible files below ``path``."""
+    return sum(size for _, size, _ in data_files(spark, path))
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
