@@ -16,6 +16,7 @@ overlapping, in linear time and without recursion: a run is taken whole and look
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -189,23 +190,45 @@ def _places(docs: DataFrame) -> DataFrame:
     return rows.select("key", (F.col("at") + 2).alias("at"), F.xxhash64("w.x", "w.y").alias("h"), "w.x", "w.y", value.alias("value"))
 
 
-def _with_context(rows: DataFrame, contexts: DataFrame) -> DataFrame:
-    """``rows`` whose two words are one of the contexts, with ``context``.
+def _hashed(contexts: DataFrame) -> DataFrame:
+    parts = F.split("context", " ")
+    return contexts.select("context", F.xxhash64(parts[0], parts[1]).alias("h"))
+
 
-    Up to ``BROADCAST_PATTERNS`` contexts are met where the rows are made; for more, only rows' hashes are sent.
+def _possible(rows: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``rows`` whose two words may be one of the contexts: all that are, and few others.
+
+    The contexts' hashes are bits of a small array, which is a constant of the filter. With more than
+    ``BROADCAST_PATTERNS`` contexts all rows may be.
     """
-    parts = F.split("context", " ")
-    known = contexts.select("context", F.xxhash64(parts[0], parts[1]).alias("h"))
+    hashes = _hashed(contexts).select("h").limit(BROADCAST_PATTERNS + 1).toArrow().column("h").to_numpy()
+    if len(hashes) > BROADCAST_PATTERNS:
+        return rows
+    words = 1 << max(4, (len(hashes) // 4).bit_length())  # sixteen bits for each context at least
+    bits = np.zeros(words * 64, np.uint8)
+    bits[(hashes >> 6 & words - 1) * 64 + (hashes & 63)] = 1
+    listed = ",".join(map(str, np.packbits(bits, bitorder="little").view("<i8").tolist()))
+    word = F.shiftright("h", 6).bitwiseAND(F.lit(words - 1)).cast("int")
+    bit = F.getbit(F.get(F.split(F.lit(listed), ",").cast("array<bigint>"), word), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
+    return rows.where(bit == 1)
+
+
+def _with_context(rows: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``rows`` whose two words are one of the contexts, with ``context``."""
+    known = _hashed(contexts)
     if contexts.count() <= BROADCAST_PATTERNS:
         known = F.broadcast(known)
-    met = rows.join(known, "h").where(F.col("context") == F.concat_ws(" ", "x", "y"))
-    return met.drop("x", "y")
+    return rows.join(known, "h").where(F.col("context") == F.concat_ws(" ", "x", "y")).drop("x", "y")
 
 
 def _followers(docs: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(context, value, n): how often a context is followed by an identifier, or by none (NULL)."""
-    met = _with_context(_places(docs), contexts)
-    return met.groupBy("context", "value").agg(F.count(F.lit(1)).alias("n"))
+    """(context, value, n): how often a context is followed by an identifier, or by none (NULL).
+
+    Places that can't be of a context go where they are made. The others are counted in each partition and then
+    together, so that the join gets a row for each pair and not one for each place.
+    """
+    counted = _possible(_places(docs), contexts).groupBy("h", "x", "y", "value").agg(F.count(F.lit(1)).alias("n"))
+    return _with_context(counted, contexts).select("context", "value", "n")
 
 
 def _contexts_of(docs: DataFrame, values: DataFrame) -> DataFrame:
@@ -285,7 +308,7 @@ def discovered(docs: DataFrame, given: DataFrame, text: str = "text", support: i
     best = cut(best.select("context", "value", "best.place", "best.kind"), "best")
     # With nothing to add, no row passes the join below; the texts are then not gone through for places.
     again = rows if not best.isEmpty() else rows.where(F.lit(False))
-    found = _places(again).where("value is not null")
+    found = _possible(_places(again).where("value is not null"), best.select("context").distinct())
     hits = _with_context(found, best.select("context").distinct()).drop("h").join(best, ["context", "value"]).distinct()
     hits = cut(hits, "hits")
     texts = again.select(_key(F.col("text")).alias("key"), _glued(F.col("text")).alias("text")).join(hits.select("key").distinct(), "key", "left_semi")

@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.llm import pii
 from basketry.llm.queries import op2_pii
@@ -170,10 +171,22 @@ def test_only_places_of_candidates_are_counted(spark):
     rows = [(i, " ".join(f"w{i}x{k}" for k in range(200)) + f" my phone +1203555{i:04}") for i in range(50)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     contexts = spark.createDataFrame([("my phone",)], "context string")
-    counted = pii._followers(docs, contexts)
-    counted.collect()
-    plan = counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.index("Exchange hashpartitioning(context") < plan.index("BroadcastHashJoin")  # it stands above
+    assert [tuple(r) for r in pii._followers(docs, contexts).collect()] == [("my phone", None, 50)]
+    every, possible = pii._places(docs), pii._possible(pii._places(docs), contexts)
+    assert every.count() == 50 * 201 and 50 <= possible.count() < 50 * 201 / 16
+    assert "Join" not in possible._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_place_of_a_context_is_possible(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr("concat('w', id) x", "concat('v', id % 50) y")
+    rows = rows.withColumn("h", F.xxhash64("x", "y"))
+    some = rows.where("hash(x) % 3 = 0")
+    contexts = some.select(F.concat_ws(" ", "x", "y").alias("context"))
+    possible = pii._possible(rows, contexts)
+    assert some.join(possible, ["x", "y"], "left_anti").count() == 0
+    assert possible.count() < some.count() + 200
+    monkeypatch.setattr(pii, "BROADCAST_PATTERNS", 10)
+    assert pii._possible(rows, contexts).count() == 3000
 
 
 def test_scores_by_hand(make):
