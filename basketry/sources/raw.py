@@ -226,11 +226,23 @@ def _names(header: str, dialect: Dialect) -> list[str]:
 
 
 def _first_lines(lines: DataFrame, dialect: Dialect) -> DataFrame:
-    """(source_file, header, block, row): the first record of each file. Only first blocks are read for them."""
-    at = F.struct("block", "row")
-    heads = _records(lines.where("block = 0"), dialect).groupBy("source_file")
-    found = heads.agg(F.min_by("line", at).alias("header"), F.min(at).alias("at"))
-    return found.select("source_file", "header", "at.*")
+    """(source_file, header, block, row): the first record of each file. Only first blocks are read for them.
+
+    Their numbers are found first, which no line is held or sorted for, and then the lines of these numbers. Records of
+    several lines are sorted to be put together anyway.
+    """
+    records = _records(lines.where("block = 0"), dialect)
+    if dialect.multi_line:
+        at = F.struct("block", "row")
+        found = records.groupBy("source_file").agg(F.min_by("line", at).alias("header"), F.min(at).alias("at"))
+        return found.select("source_file", "header", "at.*")
+    first = records.groupBy("source_file").agg(F.min("row").alias("row"))
+    known = first.limit(BROADCAST_FILES + 1).collect()
+    if len(known) <= BROADCAST_FILES:
+        first = F.broadcast(lines.sparkSession.createDataFrame(known, first.schema))
+    if len(known) <= _LISTED:
+        records = records.where(F.col("row").isin([r["row"] for r in known]))
+    return records.join(first, ["source_file", "row"]).select("source_file", F.col("line").alias("header"), "block", "row")
 
 
 def parse_lines(

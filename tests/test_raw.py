@@ -233,3 +233,23 @@ def test_a_landed_table_without_lines(spark, tmp_path):
     assert raw.scan_raw(spark, root, "aisles")[0].columns == ["source_file"]
     with pytest.raises(ValueError, match="missing_columns is 'aisle,aisle_id'"):
         quality.validate_raw(spark, root)
+
+
+def test_first_lines_are_found_without_sorting_the_others(spark, tmp_path, monkeypatch):
+    parts = tmp_path / "parts"
+    parts.mkdir()
+    for i in range(3):
+        (parts / f"part-{i}").write_text(" \n\n" + f"id,n{i}\n" + "7,x\n" * 50)
+    lines = raw.read_lines(spark, str(parts)).coalesce(1)
+    plans = []
+
+    def spied(df, collect=type(lines).collect):
+        got = collect(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return got
+
+    monkeypatch.setattr(type(lines), "collect", spied)
+    found = raw._first_lines(lines, raw.DEFAULT).collect()
+    assert sorted(r["header"] for r in found) == ["id,n0", "id,n1", "id,n2"]
+    assert {r["block"] for r in found} == {0}
+    assert not [p for p in plans if "Sort" in p]
