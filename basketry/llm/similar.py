@@ -1,4 +1,4 @@
-"""Groups of similar texts: long SimHash fingerprints, blocks of their bits as keys, Hamming distance, exact similarity.
+"""Groups of similar texts: long SimHash fingerprints, blocks of their bits as keys, and an exact join for what they miss.
 
 Two texts are similar if their sets of ``words``-word shingles have a Jaccard similarity of at least ``similarity``. Then
 a bit of their fingerprints differs with a known probability, about 0.15 at 0.8. A 64-bit fingerprint tells too little
@@ -6,16 +6,20 @@ there: ten bits differ, and no block of it that is long enough to be selective i
 have ``BITS`` bits, and blocks are drawn from them: as many bits as make random texts meet seldom, and as many blocks as
 let similar ones meet with probability ``RECALL``.
 
-A few texts that agree on a block are compared pair by pair. Of many, all are compared with one of them, the pivot; those
-that are no match go on with a pivot of their own, until few are left. So a block that thousands of near copies share
-costs a comparison for each of them, not for each pair. Comparisons check the Hamming distance, and what passes is
-decided by the shingles themselves. Texts that match the same pivot are one group; two texts that are kept were found
-different wherever they met, or one of them matched another pivot.
+A few texts that agree on a block are compared pair by pair; of many, all are compared with one of them, the pivot. So a block
+that thousands of near copies share costs a comparison for each of them, not for each pair. Comparisons check the Hamming
+distance, and what passes is decided by the shingles themselves.
+
+What fingerprints miss is found without chance. Of two similar texts, each has a shingle of the other among its smallest
+n - ceil(similarity * n) + 1 hashes. Texts that share one of these and are not in one group yet are all compared: if their
+sizes allow the similarity, by parities (each shingle turns one of ``BITS`` bits, so at least as many shingles differ as
+bits do), and then by the shingles themselves. So the groups are those of all similar pairs.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,8 @@ from pyspark.sql import functions as F
 from basketry.llm.components import components
 from basketry.llm.tables import columns, cut, map_batches, slices, texts_as_bytes
 
-BITS, RECALL = 512, 0.97
+#: ``RECALL`` is that of the fingerprints alone; the groups don't depend on it.
+BITS, RECALL = 512, 0.5
 SEED = 42
 #: Texts that random others meet in one block on average, as a power of two.
 _SPARE_BITS = 3
@@ -35,6 +40,8 @@ BROADCAST_NODES = 200_000
 #: Nodes that agree on a block and are still compared pair by pair.
 PAIRWISE = 32
 _CHUNK, _PART = 1 << 13, 1 << 22
+#: What a product may be wrong by; sizes are whole numbers.
+_ROUNDING = 1e-6
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -78,19 +85,37 @@ def blocks(nodes: int, similarity: float) -> np.ndarray:
     return np.stack([draw.choice(BITS, width, replace=False) for _ in range(many)])
 
 
-def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, text_key, print) for each row of (doc_id, text, text_key)."""
+def prefix(hashes: np.ndarray, similarity: float) -> np.ndarray:
+    """The smallest hashes, of which each similar set has one among its own."""
+    return hashes[: len(hashes) - math.ceil(similarity * len(hashes) - _ROUNDING) + 1]
+
+
+def parities(hashes: np.ndarray) -> bytes:
+    """For each of ``BITS`` classes of hashes whether their number is odd."""
+    return np.packbits(np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).tobytes()
 
-    def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-        prints = [
-            fingerprint(shingles(text or b"", words))
-            for part in slices(batch, "text", _PART)
-            for text in texts_as_bytes(part, "text")
-        ]
-        arrays = [batch.column("doc_id"), batch.column("text_key"), pa.array(prints, pa.binary())]
-        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "print"])
 
-    return map_batches(docs, apply, "doc_id long, text_key long, print binary")
+def fingerprints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(doc_id, text_key, same, n, print, odd, prefix) for each row of (doc_id, text, text_key).
+
+    ``same`` is a digest of the ``n`` shingles, ``odd`` their parities.
+    """
+    names = ["same", "n", "print", "odd", "prefix"]
+
+    def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = []
+        for part in slices(batch, "text", _PART):
+            for text in texts_as_bytes(part, "text"):
+                x = shingles(text or b"", words)
+                first = prefix(x, similarity).view(np.int64)
+                found.append((xxhash.xxh3_128_digest(x.tobytes()), len(x), fingerprint(x), parities(x), first))
+        kinds = [pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+        arrays = [pa.array(list(c), k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *arrays], ["doc_id", "text_key", *names])
+
+    return map_batches(
+        docs, apply, "doc_id long, text_key long, same binary, n long, print binary, odd binary, prefix array<long>"
+    )
 
 
 def _keyed(nodes: DataFrame, places: np.ndarray) -> DataFrame:
@@ -111,18 +136,18 @@ def _keyed(nodes: DataFrame, places: np.ndarray) -> DataFrame:
     return found.select(F.explode("keys").alias("key"), "node")
 
 
-def _near(pairs: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
-    """The (pivot, node) pairs that differ in at most ``most`` bits."""
+def _near(pairs: DataFrame, nodes: DataFrame, column: str, most: Callable[[np.ndarray], np.ndarray | int]) -> DataFrame:
+    """The (pivot, node) pairs that differ in at most ``most`` bits of a column, which is given the sums of their sizes."""
 
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
         one, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(-1, BITS // 64) for c in ("a", "b"))
-        near = np.bitwise_count(one ^ other).sum(1) <= most
+        near = np.bitwise_count(one ^ other).sum(1) <= most(batch.column("size").to_numpy())
         return batch.select(["pivot", "node"]).filter(pa.array(near))
 
-    prints = nodes.select("node", "print")
-    one = prints.select(F.col("node").alias("pivot"), F.col("print").alias("a"))
-    joined = pairs.join(prints.withColumnRenamed("print", "b"), "node").join(one, "pivot")
-    return map_batches(joined.select("pivot", "node", "a", "b"), apply, "pivot long, node long")
+    bits = nodes.select("node", F.col(column).alias("b"), F.col("n").alias("m"))
+    one = bits.select(F.col("node").alias("pivot"), F.col("b").alias("a"), F.col("m").alias("l"))
+    joined = pairs.join(bits, "node").join(one, "pivot").select("pivot", "node", "a", "b", (F.col("l") + F.col("m")).alias("size"))
+    return map_batches(joined, apply, "pivot long, node long")
 
 
 def _shingles(text: Column, words: int) -> Column:
@@ -152,28 +177,44 @@ def _alike(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, simi
     return joined.where(both >= similarity * (F.size("a") + F.size("b") - both)).select("pivot", "node")
 
 
+def _met_in_blocks(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(pivot, node) pairs that agree on a block of the fingerprint; in large blocks those with the smallest node."""
+    keyed = _keyed(nodes, blocks(nodes.count(), similarity))
+    low = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("met"))
+    met = cut(keyed.join(cut(low.where("met > 1"), "pivots"), "key"), "met")
+    few = met.where(F.col("met") <= PAIRWISE).select("key", "node")
+    pairs = few.withColumnRenamed("node", "pivot").join(few, "key").where("pivot < node").select("pivot", "node")
+    many = met.where((F.col("met") > PAIRWISE) & (F.col("node") != F.col("pivot")))
+    return cut(pairs.union(many.select("pivot", "node")).distinct(), "pairs")
+
+
+def _met_in_prefixes(nodes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(pivot, node) pairs that share a hash of their prefixes, have sizes that allow the similarity and other roots."""
+    keyed = nodes.select(F.explode("prefix").alias("key"), "node", "n")
+    shared = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("key"), "shared")
+    met = keyed.join(shared, "key").join(roots, "node", "left")
+    met = cut(met.withColumn("root", F.coalesce("root", "node")), "met")
+    apart = met.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    met = cut(met.join(cut(apart.select("key"), "apart"), "key"), "apart")
+    other = met.select("key", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("root").alias("other"))
+    near_sizes = F.least("n", "m") >= similarity * F.greatest("n", "m") - _ROUNDING
+    pairs = met.join(other, "key").where((F.col("pivot") < F.col("node")) & (F.col("root") != F.col("other")) & near_sizes)
+    return cut(pairs.select("pivot", "node").distinct(), "pairs")
+
+
 def links(nodes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
     """(a, b) of similar nodes: enough for their groups. ``nodes`` is a written table."""
-    most, places = radius(similarity), blocks(nodes.count(), similarity)
-    keyed, found, tried = _keyed(nodes, places), None, None
-    while True:
-        low = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n"))
-        met = cut(keyed.join(cut(low.where("n > 1"), "pivots"), "key"), "met")
-        few = met.where(F.col("n") <= PAIRWISE).select("key", "node")
-        pairs = few.withColumnRenamed("node", "pivot").join(few, "key").where("pivot < node").select("pivot", "node")
-        many = met.where((F.col("n") > PAIRWISE) & (F.col("node") != F.col("pivot"))).select("key", "pivot", "node")
-        pairs = pairs.union(many.select("pivot", "node")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["pivot", "node"], "left_anti")
-        pairs = cut(pairs, "pairs")
-        if not pairs.isEmpty():
-            alike = cut(_alike(cut(_near(pairs, nodes, most), "near"), nodes, docs, words, similarity), "alike")
-            found = alike if found is None else found.union(alike)
-            tried = pairs if tried is None else tried.union(pairs)
-        if found is None or many.isEmpty():
-            return (pairs if found is None else found).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        # In a larger block those that match the pivot are done; all others of it go on without it.
-        keyed = cut(many.join(found, ["pivot", "node"], "left_anti").select("key", "node"), "left")
+    most, share = radius(similarity), (1 - similarity) / (1 + similarity)
+
+    def alike(pairs: DataFrame, column: str, most: Callable[[np.ndarray], np.ndarray | int]) -> DataFrame:
+        return cut(_alike(cut(_near(pairs, nodes, column, most), "near"), nodes, docs, words, similarity), "alike")
+
+    found = alike(_met_in_blocks(nodes, similarity), "print", lambda size: most)
+    roots = components(found.select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+    rest = _met_in_prefixes(nodes, cut(roots, "roots"), similarity)
+    if not rest.isEmpty():
+        found = found.union(alike(rest, "odd", lambda size: share * size + _ROUNDING))
+    return found.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
 
 
 def groups(
@@ -187,17 +228,18 @@ def groups(
     """
     rows = columns(docs, doc_id=doc_id, text=text)
     rows = rows.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
-    prints = cut(fingerprints(rows, words), "prints")
+    prints = cut(fingerprints(rows, words, similarity), "prints")
     order = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_key")
-    nodes = prints.groupBy("print").agg(F.min(order).alias("first"))
+    one_of = [F.any_value(c).alias(c) for c in ("n", "print", "odd", "prefix")]
+    nodes = prints.groupBy("same").agg(F.min(order).alias("first"), *one_of)
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     roots = components(links(nodes, rows, words, similarity))
-    rooted = nodes.join(roots, "node", "left").select("print", "first", F.coalesce("root", "node").alias("root"))
+    rooted = nodes.join(roots, "node", "left").select("same", "first", F.coalesce("root", "node").alias("root"))
     rooted = cut(rooted, "rooted")
     keepers = cut(rooted.groupBy("root").agg(F.min("first").alias("keeper")), "keepers")
-    grouped = cut(rooted.join(keepers, "root").select("print", "keeper"), "grouped")
+    grouped = cut(rooted.join(keepers, "root").select("same", "keeper"), "grouped")
     keeps = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & F.col("text_key").eqNullSafe(F.col("keeper.text_key"))
-    return prints.join(grouped, "print").select(
+    return prints.join(grouped, "same").select(
         "doc_id", "text_key", F.col("keeper.doc_id").alias("component_id"), keeps.alias("keeps")
     )
 
