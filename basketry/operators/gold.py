@@ -62,7 +62,9 @@ def purchase_state(items: DataFrame, keys: list[str], place_by_user: bool = Fals
     States of disjoint orders can be merged, see ``merge_states``.
     """
     if place_by_user:
-        items = items.repartition(keys[0], "user_id")
+        # Given their number, parts are not put together again: several steps hold a row for each order of theirs.
+        parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        items = items.repartition(parts, keys[0], "user_id")
     again = F.col("reordered") == 1
     per_order = items.groupBy(*keys, "user_id", "order_id").agg(
         F.count(F.lit(1)).alias("rows"),

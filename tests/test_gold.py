@@ -120,3 +120,11 @@ def test_orders_by_period(make, batch_time):
         for k, users in sorted(groups.items())
     ]
     assert got == want
+
+
+def test_placed_parts_are_not_put_together_again(spark):
+    rows = "id % 50 AS product_id, id % 37 AS user_id, id AS order_id, 1 AS reordered"
+    items = spark.range(2000).selectExpr(*rows.split(", "))
+    state = gold.purchase_state(items, ["product_id"], place_by_user=True)
+    parts = state.select(F.spark_partition_id().alias("part")).distinct().count()
+    assert parts == int(spark.conf.get("spark.sql.shuffle.partitions"))
