@@ -12,7 +12,7 @@ distance, and what passes is decided by the shingles themselves.
 
 What fingerprints miss is found without chance. Of two similar texts, each has a shingle of the other among its smallest
 n - ceil(similarity * n) + 1 hashes. Texts that share one of these and are not in one group yet are all compared: if their
-sizes allow the similarity, by parities (each shingle turns one of ``BITS`` bits, so at least as many shingles differ as
+sizes allow the similarity, by parities (each shingle turns a bit, so at least as many shingles differ as
 bits do), and then by the shingles themselves. So the groups are those of all similar pairs.
 """
 
@@ -91,8 +91,31 @@ def prefix(hashes: np.ndarray, similarity: float) -> np.ndarray:
 
 
 def parities(hashes: np.ndarray) -> bytes:
-    """For each of ``BITS`` classes of hashes whether their number is odd."""
-    return np.packbits(np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).tobytes()
+    """For each class of hashes whether their number is odd; classes are a power of two, twice the hashes at least."""
+    classes = max(BITS, 1 << (2 * len(hashes)).bit_length())
+    numbers = np.bincount((hashes & np.uint64(classes - 1)).astype(np.int64), minlength=classes)
+    return np.packbits(numbers & 1, bitorder="little").tobytes()
+
+
+def odd_differences(ones: list[bytes], others: list[bytes]) -> np.ndarray:
+    """In how many classes the parities of each pair differ; of two numbers of classes the smaller one counts."""
+    out = np.zeros(len(ones), np.int64)
+    sizes = np.array([[len(x), len(y)] for x, y in zip(ones, others, strict=True)]).reshape(-1, 2)
+    for some in np.unique(sizes, axis=0):
+        at = np.flatnonzero((sizes == some).all(1))
+        # A class of the smaller number holds those of the larger one that end in the same bits.
+        folded = [
+            np.bitwise_xor.reduce(np.frombuffer(b"".join([side[i] for i in at]), "<u8").reshape(len(at), -1, some.min() // 8), 1)
+            for side in (ones, others)
+        ]
+        out[at] = np.bitwise_count(folded[0] ^ folded[1]).sum(1)
+    return out
+
+
+def print_differences(ones: list[bytes], others: list[bytes]) -> np.ndarray:
+    """In how many bits the fingerprints of each pair differ."""
+    one, other = (np.frombuffer(b"".join(x), "<u8").reshape(-1, BITS // 64) for x in (ones, others))
+    return np.bitwise_count(one ^ other).sum(1)
 
 
 def fingerprints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -136,12 +159,13 @@ def _keyed(nodes: DataFrame, places: np.ndarray) -> DataFrame:
     return found.select(F.explode("keys").alias("key"), "node")
 
 
-def _near(pairs: DataFrame, nodes: DataFrame, column: str, most: Callable[[np.ndarray], np.ndarray | int]) -> DataFrame:
-    """The (pivot, node) pairs that differ in at most ``most`` bits of a column, which is given the sums of their sizes."""
+def _near(
+    pairs: DataFrame, nodes: DataFrame, column: str, differences: Callable, most: Callable[[np.ndarray], np.ndarray | int]
+) -> DataFrame:
+    """The (pivot, node) pairs that differ in at most ``most`` bits of a column; ``most`` is given the sums of their sizes."""
 
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-        one, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(-1, BITS // 64) for c in ("a", "b"))
-        near = np.bitwise_count(one ^ other).sum(1) <= most(batch.column("size").to_numpy())
+        near = differences(batch.column("a").to_pylist(), batch.column("b").to_pylist()) <= most(batch.column("size").to_numpy())
         return batch.select(["pivot", "node"]).filter(pa.array(near))
 
     bits = nodes.select("node", F.col(column).alias("b"), F.col("n").alias("m"))
@@ -206,14 +230,14 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, similarity: float) -> D
     """(a, b) of similar nodes: enough for their groups. ``nodes`` is a written table."""
     most, share = radius(similarity), (1 - similarity) / (1 + similarity)
 
-    def alike(pairs: DataFrame, column: str, most: Callable[[np.ndarray], np.ndarray | int]) -> DataFrame:
-        return cut(_alike(cut(_near(pairs, nodes, column, most), "near"), nodes, docs, words, similarity), "alike")
+    def alike(pairs: DataFrame, *bits) -> DataFrame:
+        return cut(_alike(cut(_near(pairs, nodes, *bits), "near"), nodes, docs, words, similarity), "alike")
 
-    found = alike(_met_in_blocks(nodes, similarity), "print", lambda size: most)
+    found = alike(_met_in_blocks(nodes, similarity), "print", print_differences, lambda size: most)
     roots = components(found.select(F.col("pivot").alias("a"), F.col("node").alias("b")))
     rest = _met_in_prefixes(nodes, cut(roots, "roots"), similarity)
     if not rest.isEmpty():
-        found = found.union(alike(rest, "odd", lambda size: share * size + _ROUNDING))
+        found = found.union(alike(rest, "odd", odd_differences, lambda size: share * size + _ROUNDING))
     return found.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
 
 

@@ -126,3 +126,14 @@ def test_a_text_is_linked_by_one_that_matched_a_pivot(spark):
     assert jaccard(rows[0][1], rows[-1][1]) < 0.8 <= min(jaccard(rows[0][1], rows[-2][1]), jaccard(rows[-2][1], rows[-1][1]))
     found = similar.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["component_id"] for r in found} == {0}
+
+
+def test_parities_never_differ_in_more_classes_than_shingles():
+    draw = np.random.default_rng(2)
+    for n, m, both in [(10, 12, 8), (255, 257, 250), (300, 600, 300), (4000, 4100, 3600), (0, 3, 0), (5, 5, 5)]:
+        shared, one, other = (draw.integers(0, 1 << 63, k).astype("<u8") for k in (both, n - both, m - both))
+        prints = [similar.parities(np.unique(np.concatenate([shared, x]))) for x in (one, other)]
+        found = similar.odd_differences([prints[0]] * 2, [prints[1]] * 2)
+        apart = n + m - 2 * both
+        assert found[0] == found[1] <= apart and found[0] % 2 == apart % 2
+        assert found[0] >= 0.6 * apart or apart < 20
