@@ -208,7 +208,7 @@ def compress(
         blocks: dict[str, list] = {"vec_ids": [], "labels": [], "trees": []}
         for start in range(0, batch.num_rows, BLOCK):
             some = batch.slice(start, BLOCK)
-            numbers = np.asarray(some.column("vector").flatten(), float).reshape(-1, PARTS, width)
+            numbers = np.asarray(some.column("vector").flatten(), float).reshape(some.num_rows, PARTS, width)
             blocks["vec_ids"].append(some.column("vec_id").to_pylist())
             blocks["labels"].append(some.column("label").to_pylist())
             blocks["trees"].append([build(part).dump() for part in np.moveaxis(integers(numbers), 1, 0)])
