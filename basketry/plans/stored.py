@@ -12,7 +12,8 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.contracts import ENTITIES, contract
+from basketry.contracts import ENTITIES, LAYERS, contract
+from basketry.functions.together import together
 from basketry.plans import driver_tables, medallion
 from basketry.sources import buckets, paths, raw
 from basketry.sources.snapshots import read_snapshot, snapshot_path, write_snapshot
@@ -43,27 +44,35 @@ def folder(spark: SparkSession, sf_dir: str, name: str, fill: Callable[[str], No
     return at
 
 
-def sources(spark: SparkSession, sf_dir: str) -> str:
-    """The six CSV sources."""
-    write = partial(driver_tables.write_source_files, spark, sf_dir)
-    return folder(spark, sf_dir, "source", write)
+def sources(spark: SparkSession, sf_dir: str, *entities: str) -> str:
+    """The folder of the CSV sources, with those of some entities, by default all six."""
+    at = f"{_base(spark, sf_dir)}/source"
+    write = partial(driver_tables.write_source_files, spark, sf_dir, at)
+    steps = [partial(folder, spark, sf_dir, f"source-of/{e}", lambda _, e=e: write(e)) for e in entities or ENTITIES]
+    together(spark, steps)
+    return at
 
 
 def _missing(spark: SparkSession, root: str) -> bool:
     return not paths.exists(spark, snapshot_path(root, LABEL))
 
 
-def raw_root(spark: SparkSession, sf_dir: str) -> str:
-    """The raw layer, landed from the sources."""
+def raw_root(spark: SparkSession, sf_dir: str, *entities: str) -> str:
+    """The raw layer, with some entities landed from their sources, by default all six."""
     at = roots(spark, sf_dir)
-    if any(_missing(spark, at.table("raw", e)) for e in ENTITIES):
+    absent = [e for e in entities or ENTITIES if _missing(spark, at.table("raw", e))]
+    if absent == list(ENTITIES):
         raw.land_sources(spark, sources(spark, sf_dir), at.raw, LABEL)
+    elif absent:
+        source = sources(spark, sf_dir, *absent)
+        lines = {e: raw.read_lines(spark, f"{source}/{ENTITIES[e].file_name}") for e in absent}
+        together(spark, [partial(raw.land_lines, x, at.table("raw", e), LABEL) for e, x in lines.items()])
     return at.raw
 
 
 def raw_table(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """A landed raw table, with the file each row came from."""
-    return raw.read_raw(spark, raw_root(spark, sf_dir), entity, LABEL)[0]
+    return raw.read_raw(spark, raw_root(spark, sf_dir, entity), entity, LABEL)[0]
 
 
 def bronze_table(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -88,7 +97,10 @@ def in_buckets(spark: SparkSession, sf_dir: str, layer: str, table: str) -> buck
     whole = {"bronze": bronze_table, "silver": silver_table}[layer]
 
     def fill(at: str) -> None:
-        buckets.store(whole(spark, sf_dir, table), at, "order_id")
+        df = whole(spark, sf_dir, table)
+        # Of all sources, so that tables that meet have equal numbers.
+        count = buckets.enough(spark, paths.total_size(spark, sources(spark, sf_dir)))
+        buckets.store(df, at, "order_id", count)
 
     return buckets.load(spark, folder(spark, sf_dir, f"buckets-{layer}-{table}", fill))
 
@@ -106,6 +118,7 @@ def _build_products(spark: SparkSession, sf_dir: str, at: medallion.Roots) -> No
 
 def _build_items(source: str) -> Callable[[SparkSession, str, medallion.Roots], None]:
     def build(spark: SparkSession, sf_dir: str, at: medallion.Roots) -> None:
+        raw_root(spark, sf_dir, f"order_products_{source}", "orders", "products", "aisles", "departments")
         bronze_table(spark, sf_dir, f"order_products_{source}")
         silver_table(spark, sf_dir, "orders_clean")
         silver_table(spark, sf_dir, "products_enriched")
@@ -123,22 +136,37 @@ _BUILD = {
 
 
 def gold_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A gold table; the two rankings are built together, the calendar needs no items."""
     at = roots(spark, sf_dir)
     if _missing(spark, at.table("gold", table)):
-        silver_table(spark, sf_dir, "orders_clean")
-        silver_table(spark, sf_dir, "order_items_prior_enriched")
-        medallion.run_layer(spark, at, "gold")
+        if table == "orders_by_period":
+            silver_table(spark, sf_dir, "orders_clean")
+            medallion.run_orders_by_period(spark, at)
+        else:
+            silver_table(spark, sf_dir, "order_items_prior_enriched")
+            medallion.run_product_rankings(spark, at)
     return read_snapshot(spark, at.table("gold", table), LABEL, contract("gold", table))
 
 
 def stored_as_is(spark: SparkSession, sf_dir: str, layer: str, table: str) -> DataFrame:
     """A stored table with all its columns, whatever its contract says."""
     if layer == "raw":
-        return raw.scan_raw(spark, raw_root(spark, sf_dir), table, LABEL)[0]
+        return raw.scan_raw(spark, raw_root(spark, sf_dir, table), table, LABEL)[0]
     {"bronze": bronze_table, "silver": silver_table, "gold": gold_table}[layer](spark, sf_dir, table)
     return read_snapshot(spark, roots(spark, sf_dir).table(layer, table), LABEL)
 
 
+def build_all(spark: SparkSession, sf_dir: str) -> None:
+    """Build the layers of which nothing is there, tables that do not need each other side by side."""
+    at = roots(spark, sf_dir)
+    raw_root(spark, sf_dir)
+    for layer in medallion.LAYER_ORDER:
+        if all(_missing(spark, at.table(layer, t)) for t in LAYERS[layer]):
+            medallion.run_layer(spark, at, layer)
+        for t in LAYERS[layer]:
+            stored_as_is(spark, sf_dir, layer, t)
+
+
 def damaged(spark: SparkSession, sf_dir: str, layer: str, table: str) -> dict[str, DataFrame]:
     """Stored copies of a table that break its contract: one in its columns, one without rows."""
     kind = contract(layer, table)

@@ -18,6 +18,10 @@ from basketry.functions.skew import hot_keys, uneven_share
 from basketry.sources import paths
 
 
+#: Bytes of text that a bucket holds, and the most buckets that Spark allows.
+BYTES, MOST = 16 << 20, 100_000
+
+
 @dataclass(frozen=True)
 class Bucketed:
     """A stored table: rows in buckets of ``key``, and those of ``hot`` values and of none beside them."""
@@ -36,6 +40,14 @@ def _name(path: str) -> str:
     return f"buckets_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
 
 
+def enough(spark: SparkSession, size: int) -> int:
+    """How many buckets hold tables of so many bytes of text: one for each ``BYTES``, at least as many as a shuffle has.
+
+    A bucket is read and sorted by one task, so its size must not grow with the table.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(-(-size // BYTES), MOST))
+
+
 def store(df: DataFrame, path: str, key: str, count: int | None = None) -> Bucketed:
     """Write a table in ``count`` buckets of an integer column, by default as many as a shuffle has partitions.
 

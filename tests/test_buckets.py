@@ -85,3 +85,9 @@ def test_unequal_buckets_are_an_error(tables, tmp_path):
     stored, placed = (buckets.store(t, f"{tmp_path}/{n}", "order_id", n) for t, n in ((items, 4), (orders, 8)))
     with pytest.raises(ValueError, match="same number"):
         silver.order_items_from_buckets(stored, placed, products)
+
+
+def test_more_text_gives_more_buckets(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert buckets.enough(spark, 0) == parts
+    assert buckets.enough(spark, 100 * parts * buckets.BYTES) == 100 * parts

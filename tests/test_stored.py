@@ -1,0 +1,34 @@
+"""A query's stored tables are built from what they are made of, and from nothing else."""
+
+from __future__ import annotations
+
+import pytest
+
+from basketry.contracts import ENTITIES, LAYERS
+from basketry.plans import stored
+from basketry.sources import paths
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def apart(spark, tmp_path, monkeypatch):
+    """Layers of their own."""
+    monkeypatch.setattr(stored, "_BASES", {(spark.sparkContext.applicationId, SF): str(tmp_path)})
+    return stored.roots(spark, SF)
+
+
+def test_the_calendar_needs_no_items(spark, apart):
+    calendar = stored.gold_table(spark, SF, "orders_by_period")
+    assert calendar.count() > 0
+    assert paths.children(spark, apart.raw, directories_only=True) == ["orders"]
+    assert paths.children(spark, apart.gold, directories_only=True) == ["orders_by_period"]
+    # What was left out is there as soon as it is asked for.
+    assert set(paths.children(spark, stored.raw_root(spark, SF), directories_only=True)) == set(ENTITIES)
+
+
+def test_all_layers_are_built(spark, apart):
+    stored.build_all(spark, SF)
+    for layer, tables in LAYERS.items():
+        root = getattr(apart, layer)
+        assert set(tables) <= set(paths.children(spark, root, directories_only=True))
