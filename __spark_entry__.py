@@ -21,8 +21,8 @@ if str(Path(__file__).parent) not in sys.path:
     sys.path.insert(0, str(Path(__file__).parent))
 
 import oracle_queries
-from basketry.contracts import AUDIT_COLUMNS, ENTITIES, LAYERS
-from basketry.functions.skew import hot_keys, uneven_share
+from basketry.contracts import AUDIT_COLUMNS, ENTITIES, LAYERS, PRODUCT_KEYS
+from basketry.functions.skew import placing
 from basketry.operators import drift, gold, quality, questions, silver
 from basketry.operators.bronze import to_bronze
 from basketry.plans import driver_tables, lineage, medallion, stored
@@ -65,9 +65,8 @@ def _gold(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     if table == "orders_by_period":
         return gold.orders_by_period(stored.silver_table(spark, sf_dir, "orders_clean"))
     items = stored.silver_table(spark, sf_dir, "order_items_prior_enriched")
-    hot_users = hot_keys(items, "user_id", share=uneven_share(spark))["user_id"]
     build = {"top_products": gold.top_products, "repurchase_metrics": gold.repurchase_metrics}
-    return build[table](items, place_by_user=not hot_users)
+    return build[table](items, **placing(items, PRODUCT_KEYS[0]))
 
 
 _LAYER_TABLE = {"bronze": _bronze, "silver": _silver, "gold": _gold}

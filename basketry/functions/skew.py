@@ -21,6 +21,12 @@ def uneven_share(spark: SparkSession, tasks: int | None = None) -> float:
     return min(1.0, max(UNEVEN / tasks, 1 / _MOST_SHARES))
 
 
+def placing(df: DataFrame, key: str, user: str = "user_id") -> dict[str, bool]:
+    """By which columns rows may be placed without filling a task: ``place_by_key`` and ``place_by_user``, from one scan."""
+    hot = hot_keys(df, key, user, share=uneven_share(df.sparkSession))
+    return {"place_by_key": not hot[key], "place_by_user": not hot[user]}
+
+
 def hot_keys(df: DataFrame, *columns: str, share: float = 0.001) -> dict[str, list[int]]:
     """Per integer column, the values that hold more than ``share`` of its rows.
 

@@ -37,7 +37,7 @@ def orders_by_period(orders: DataFrame, batch_time: datetime | None = None) -> D
 
 
 def purchase_measures(
-    items: DataFrame, keys: list[str], place_by_user: bool = False
+    items: DataFrame, keys: list[str], place_by_user: bool = False, place_by_key: bool = False
 ) -> DataFrame:
     """Rows, reorders and the exact distinct customers and orders per ``keys``.
 
@@ -52,19 +52,29 @@ def purchase_measures(
     Use it when no customer holds more rows than a few tasks do on average, that is when
     ``hot_keys(items, "user_id", share=uneven_share(spark))`` names none; a customer's rows of one
     product then are no more than that either.
+
+    With ``place_by_key`` rows are placed by the first key alone, and every step runs where they lie, so that nothing else
+    moves. It goes before ``place_by_user`` and is for first keys of which ``hot_keys`` names none; see ``skew.placing``.
     """
-    return measures_of(purchase_state(items, keys, place_by_user), keys)
+    return measures_of(purchase_state(items, keys, place_by_user, place_by_key), keys)
+
+
+def _placed(df: DataFrame, *by: str) -> DataFrame:
+    # Given their number, parts are not put together again: several steps hold a row for each order of theirs.
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
-def purchase_state(items: DataFrame, keys: list[str], place_by_user: bool = False) -> DataFrame:
+def purchase_state(
+    items: DataFrame, keys: list[str], place_by_user: bool = False, place_by_key: bool = False
+) -> DataFrame:
     """What ``purchase_measures`` needs to know of each of ``keys`` and customer.
 
     States of disjoint orders can be merged, see ``merge_states``.
     """
-    if place_by_user:
-        # Given their number, parts are not put together again: several steps hold a row for each order of theirs.
-        parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        items = items.repartition(parts, keys[0], "user_id")
+    if place_by_key:
+        items = _placed(items, keys[0])
+    elif place_by_user:
+        items = _placed(items, keys[0], "user_id")
     again = F.col("reordered") == 1
     per_order = items.groupBy(*keys, "user_id", "order_id").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -80,11 +90,16 @@ def purchase_state(items: DataFrame, keys: list[str], place_by_user: bool = Fals
     )
 
 
-def merge_states(states: list[DataFrame], keys: list[str]) -> DataFrame:
-    """One state of several, none of which has an order of another."""
+def merge_states(states: list[DataFrame], keys: list[str], place_by_key: bool = False) -> DataFrame:
+    """One state of several, none of which has an order of another.
+
+    With ``place_by_key`` rows are placed by the first key before they are merged, and lie so afterwards.
+    """
     every = states[0]
     for state in states[1:]:
         every = every.unionByName(state)
+    if place_by_key:
+        every = _placed(every, keys[0])
     return every.groupBy(*keys, "user_id").agg(
         *[F.sum(c).alias(c) for c in ("rows", "reorders", "orders", "reorder_orders")],
         F.max("again").alias("again"),
@@ -109,13 +124,13 @@ def measures_of(state: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def product_measures(items: DataFrame, place_by_user: bool = False) -> DataFrame:
+def product_measures(items: DataFrame, place_by_user: bool = False, place_by_key: bool = False) -> DataFrame:
     """The measures that both product rankings select from.
 
     Products are told apart by all six of their columns: one id under two names
     gives two rows.
     """
-    return purchase_measures(items, PRODUCT_KEYS, place_by_user)
+    return purchase_measures(items, PRODUCT_KEYS, place_by_user, place_by_key)
 
 
 # Sort columns of each ranking, largest first. Ties are in no particular order.
@@ -140,18 +155,20 @@ def top_products(
     items: DataFrame,
     batch_time: datetime | None = None,
     place_by_user: bool = False,
+    place_by_key: bool = False,
 ) -> DataFrame:
     """Every product, the one bought most first."""
-    return product_ranking(product_measures(items, place_by_user), "top_products", batch_time)
+    return product_ranking(product_measures(items, place_by_user, place_by_key), "top_products", batch_time)
 
 
 def repurchase_metrics(
     items: DataFrame,
     batch_time: datetime | None = None,
     place_by_user: bool = False,
+    place_by_key: bool = False,
 ) -> DataFrame:
     """Every product, the one most often bought again first."""
-    return product_ranking(product_measures(items, place_by_user), "repurchase_metrics", batch_time)
+    return product_ranking(product_measures(items, place_by_user, place_by_key), "repurchase_metrics", batch_time)
 
 
 _LEVELS = [["department_id", "department"], ["aisle_id", "aisle"], ["product_id", "product_name"]]

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.contracts import ENTITIES, PRODUCT_KEYS, contract
-from basketry.functions.skew import hot_keys, uneven_share
+from basketry.functions.skew import placing
 from basketry.functions.together import together
 from basketry.operators import gold, silver
 from basketry.operators.bronze import to_bronze
@@ -122,8 +122,7 @@ def run_product_rankings(
     """
     given = lineage.inputs(spark, roots, ("gold", "top_products"))  # those of the other ranking, too
     items = _read(spark, roots, given[0])
-    hot_users = hot_keys(items, "user_id", share=uneven_share(spark))["user_id"]
-    measures = gold.product_measures(items, place_by_user=not hot_users)
+    measures = gold.product_measures(items, **placing(items, PRODUCT_KEYS[0]))
     measures.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return [

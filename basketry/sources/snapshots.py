@@ -89,6 +89,7 @@ def write_snapshot(df: DataFrame, root: str, label: str) -> SnapshotSummary:
         .withColumn(SNAPSHOT_COLUMN, F.lit(label))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy(SNAPSHOT_COLUMN)
         .parquet(root)
     )

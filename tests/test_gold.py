@@ -128,3 +128,17 @@ def test_placed_parts_are_not_put_together_again(spark):
     state = gold.purchase_state(items, ["product_id"], place_by_user=True)
     parts = state.select(F.spark_partition_id().alias("part")).distinct().count()
     assert parts == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_placed_by_key_measures_equal_the_definition(make, seed):
+    items = make(ENRICHED, *random_items(seed))
+    got = gold.product_measures(items, place_by_key=True).drop("reorder_rate")
+    assert as_set(got) == as_set(plain(items))
+
+
+def test_placing_by_key_moves_rows_once(make):
+    df = gold.product_measures(make(ENRICHED, *random_items(1)), place_by_key=True)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
