@@ -151,9 +151,15 @@ def update_product_rankings(
     delta = read_snapshot(spark, items_root, new[0], kind)
     for label in new[1:]:
         delta = delta.unionByName(read_snapshot(spark, items_root, label, kind))
-    state = gold.purchase_state(delta, PRODUCT_KEYS)
+    placed = placing(delta, PRODUCT_KEYS[0])
     if known:
-        state = gold.merge_states([read_snapshot(spark, state_root, known[-1]), state], PRODUCT_KEYS)
+        before = read_snapshot(spark, state_root, known[-1])
+        # A product that is hot in neither is not hot in both, where it has at most a row for each of its items.
+        both = placed["place_by_key"] and placing(before, PRODUCT_KEYS[0])["place_by_key"]
+        state = gold.purchase_state(delta, PRODUCT_KEYS, place_by_user=placed["place_by_user"] and not both, place_by_key=both)
+        state = gold.merge_states([before, state], PRODUCT_KEYS, place_by_key=both)
+    else:
+        state = gold.purchase_state(delta, PRODUCT_KEYS, **placed)
     write_snapshot(state, state_root, new[-1])
     measures = gold.measures_of(read_snapshot(spark, state_root, new[-1]), PRODUCT_KEYS)
     measures.persist(StorageLevel.MEMORY_AND_DISK)

@@ -102,3 +102,11 @@ def test_levels_shuffle_the_items_once(spark, make):
 
 def test_levels_of_no_items(make):
     assert gold.purchase_rollup(make(ENRICHED)).collect() == []
+
+
+def test_states_merged_by_key_equal_one_run(make):
+    parts = [some_items(i, range(100 * i, 100 * i + 40)) for i in range(3)]
+    states = [gold.purchase_state(make(ENRICHED, *p), PRODUCT_KEYS, place_by_key=True) for p in parts]
+    merged = gold.merge_states(states, PRODUCT_KEYS, place_by_key=True)
+    whole = make(ENRICHED, *[row for p in parts for row in p])
+    assert told(gold.measures_of(merged, PRODUCT_KEYS)) == told(gold.product_measures(whole))
