@@ -340,6 +340,7 @@ def dq_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reports of every table of all layers, stored in one write and read again."""
     path = f"{paths.work_folder(spark, 'reports')}/all"
+    stored.build_all(spark, sf_dir)
     reports = [
         quality.contract_report(stored.stored_as_is(spark, sf_dir, layer, t), layer, t)
         for layer, tables in LAYERS.items()
