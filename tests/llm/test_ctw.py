@@ -170,3 +170,36 @@ def test_nothing_to_learn_from(no_docs, hard_docs, hard_rows):
     rows = ctw.score(hard_docs.withColumn("learn", hard_docs["held_out"] == "x"), "learn").collect()
     assert len(rows) == len(hard_rows)
     assert all(r.bits_per_byte in (None, pytest.approx(8)) and r.n_known == 0 for r in rows)
+
+
+@pytest.fixture(scope="module")
+def large_corpus():
+    """More than twice 131,072 bytes, with a sentence that is there twice."""
+    filler = [prose(i % 7, 4000) for i in range(12)]
+    return [(i, t, False) for i, t in enumerate([*filler, "Quartz jumps vexed.", "Quartz jumps vexed."])] + [(99, "Quartz jumps", True)]
+
+
+@pytest.mark.parametrize("known", [0, 500, ctw.GRAMS])
+def test_what_occurs_twice_has_nodes_in_a_corpus_of_any_size(spark, monkeypatch, large_corpus, known):
+    monkeypatch.setattr(ctw, "GRAMS", known)
+    texts = {i: t.encode() for i, t, _ in large_corpus}
+    codes = {i: ctw.grams(bytes(ctw.DEPTH) + t) for i, t in texts.items()}
+    seen = np.concatenate([codes[i] for i, _, held in large_corpus if not held])
+    assert len(seen) > 2 * 131_072
+    tree = ctw.Tree(ctw.levels(*np.unique(seen, return_counts=True), 2, 0, ctw.DEPTH))
+    docs = spark.createDataFrame(large_corpus, "doc_id long, text string, held_out boolean")
+    got = {r.doc_id: r.score for r in ctw.score(docs.repartition(3)).collect()}
+    assert got == {i: pytest.approx(tree.remembered(c).sum(), rel=1e-9) for i, c in codes.items()}
+
+
+def test_blocks_hold_whole_subtrees(spark, monkeypatch):
+    monkeypatch.setattr(ctw, "_BLOCK", 8)
+    code = np.sort(np.random.default_rng(1).integers(0, 1 << 10, 400) << 22)
+    batch = ctw.pa.record_batch({"gram": code, "word": ctw.pa.nulls(len(code), ctw.pa.binary()), "n": np.ones(len(code), np.int64)})
+    blocks = list(ctw._blocks(ctw._merged(iter([batch.slice(0, 150), batch.slice(150)]))))
+    different, many = np.unique(code, return_counts=True)
+    assert len(blocks) > 5
+    assert np.array_equal(np.concatenate([c for c, _ in blocks]), different)
+    assert np.array_equal(np.concatenate([n for _, n in blocks]), many)
+    tops = [set((c >> 24).tolist()) for c, _ in blocks]
+    assert sum(map(len, tops)) == len(set().union(*tops))
