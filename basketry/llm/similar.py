@@ -12,8 +12,10 @@ distance, and what passes is decided by the shingles themselves.
 
 What fingerprints miss is found without chance. Of two similar texts, each has a shingle of the other among its smallest
 n - ceil(similarity * n) + 1 hashes. Texts that share one of these and are not in one group yet are all compared: if their
-sizes allow the similarity, by parities (each shingle turns a bit, so at least as many shingles differ as
-bits do), and then by the shingles themselves. So the groups are those of all similar pairs.
+sizes allow the similarity, and so do the hashes that one of them has alone, then by parities (each shingle turns a bit, so at
+least as many shingles differ as bits do), and then by the shingles themselves. So the groups are those of all similar pairs.
+Hashes that one has alone are known without comparing: one among its smallest, up to where those of the other end, is missing there
+if it is among no other text's smallest. So texts of their own that share a common line make no pairs.
 """
 
 from __future__ import annotations
@@ -39,9 +41,13 @@ _SPARE_BITS = 3
 BROADCAST_NODES = 200_000
 #: Nodes that agree on a block and are still compared pair by pair.
 PAIRWISE = 32
+#: Shares of an average prefix at which the hashes that a node has alone are counted, besides all of them.
+PARTS = (0.5, 0.75, 0.9)
 _CHUNK, _PART = 1 << 13, 1 << 22
 #: What a product may be wrong by; sizes are whole numbers.
 _ROUNDING = 1e-6
+#: Turns an unsigned number's order into that of signed ones.
+_SIGN = -(1 << 63)
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -212,18 +218,54 @@ def _met_in_blocks(nodes: DataFrame, similarity: float) -> DataFrame:
     return cut(pairs.union(many.select("pivot", "node")).distinct(), "pairs")
 
 
+def _alone(met: DataFrame, nodes: DataFrame, bounds: list[int]) -> DataFrame:
+    """(node, odd_0, odd_1, last, alone, alone_0 ..): parities of 128 classes; the last hash of a prefix and how many of it are in
+    no other prefix, in all and below each bound."""
+    parts = [f"alone_{i}" for i in range(len(bounds))]
+    unsigned = np.array([b - _SIGN for b in bounds], "<u8")
+
+    def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
+        prefixes = [x.values.to_numpy().view("<u8") for x in batch.column("prefix")]
+        last = np.array([x[-1] if len(x) else 0 for x in prefixes], "<u8").view(np.int64) ^ np.int64(_SIGN)
+        below = np.array([[len(x), *np.searchsorted(x, unsigned)] for x in prefixes], np.int64)
+        odd = np.stack([np.bitwise_xor.reduce(np.frombuffer(x.as_buffer(), "<i8").reshape(-1, 2), 0) for x in batch.column("odd")])
+        return pa.RecordBatch.from_arrays([batch.column("node"), *map(pa.array, (*odd.T, last, *below.T))], names)
+
+    names = ["node", "odd_0", "odd_1", "last", "alone", *parts]
+    sizes = map_batches(nodes.select("node", "prefix", "odd"), apply, ", ".join(f"{c} long" for c in names))
+    key = F.col("key").bitwiseXOR(F.lit(_SIGN))
+    in_others = [F.count(F.lit(1)).alias("more"), *[F.count_if(key < b).alias(f"more_{i}") for i, b in enumerate(bounds)]]
+    both = sizes.join(met.groupBy("node").agg(*in_others), "node")
+    return both.select(*names[:4], *[(F.col(c) - F.col(c.replace("alone", "more"))).alias(c) for c in ["alone", *parts]])
+
+
 def _met_in_prefixes(nodes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """(pivot, node) pairs that share a hash of their prefixes, have sizes that allow the similarity and other roots."""
+    """(pivot, node) pairs that share a hash of their prefixes and have other roots, if neither has too many hashes alone."""
     keyed = nodes.select(F.explode("prefix").alias("key"), "node", "n")
     shared = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("key"), "shared")
     met = keyed.join(shared, "key").join(roots, "node", "left")
     met = cut(met.withColumn("root", F.coalesce("root", "node")), "met")
+    bounds = [int((1 - similarity) * part * (1 << 64)) + _SIGN for part in PARTS]
+    alone = cut(_alone(met, nodes, bounds), "alone")
     apart = met.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    met = cut(met.join(cut(apart.select("key"), "apart"), "key"), "apart")
-    other = met.select("key", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("root").alias("other"))
-    near_sizes = F.least("n", "m") >= similarity * F.greatest("n", "m") - _ROUNDING
-    pairs = met.join(other, "key").where((F.col("pivot") < F.col("node")) & (F.col("root") != F.col("other")) & near_sizes)
-    return cut(pairs.select("pivot", "node").distinct(), "pairs")
+    met = cut(met.join(cut(apart.select("key"), "apart"), "key"), "apart").join(alone, "node")
+    names = [c for c in met.columns if c != "key"]
+    other = met.select("key", *[F.col(c).alias(f"other_{c}") for c in names])
+    near_sizes = F.least("n", "other_n") >= similarity * F.greatest("n", "other_n") - _ROUNDING
+    common = similarity / (1 + similarity) * (F.col("n") + F.col("other_n")) - _ROUNDING
+
+    def enough(one: str, end: str) -> Column:
+        """Whether a set can have as many hashes in common as it must, by those it has alone up to the other's last one."""
+        missing = F.when(F.col(f"{one}last") <= F.col(end), F.col(f"{one}alone"))
+        for i, bound in reversed(list(enumerate(bounds))):
+            missing = missing.when(F.col(end) >= bound, F.col(f"{one}alone_{i}"))
+        return F.col(f"{one}n") - missing.otherwise(0) >= common
+
+    pairs = met.join(other, "key").where((F.col("other_node") < F.col("node")) & (F.col("root") != F.col("other_root")) & near_sizes)
+    odd = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in ("odd_0", "odd_1")), F.lit(0))
+    pairs = pairs.where(odd <= F.col("n") + F.col("other_n") - 2 * common)
+    pairs = pairs.where(enough("", "other_last") & enough("other_", "last"))
+    return cut(pairs.select(F.col("other_node").alias("pivot"), "node").distinct(), "pairs")
 
 
 def links(nodes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:

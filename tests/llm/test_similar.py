@@ -137,3 +137,33 @@ def test_parities_never_differ_in_more_classes_than_shingles():
         apart = n + m - 2 * both
         assert found[0] == found[1] <= apart and found[0] % 2 == apart % 2
         assert found[0] >= 0.6 * apart or apart < 20
+
+
+def nodes_of(spark, texts: list[str]):
+    rows = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, text_key long")
+    return similar.fingerprints(rows, 5, 0.8).withColumnRenamed("doc_id", "node").localCheckpoint()
+
+
+def test_texts_of_their_own_that_share_a_passage_make_no_pairs(spark):
+    draw = random.Random(8)
+    common = " ".join(f"c{i}" for i in range(60))
+    texts = [" ".join([common, *(f"w{k}x{i}" for i in range(draw.randint(200, 1500)))]) for k in range(60)]
+    none = spark.createDataFrame([], "node long, root long")
+    assert similar._met_in_prefixes(nodes_of(spark, texts), none, 0.8).count() == 0
+
+
+def test_pairs_at_the_threshold_meet_in_prefixes(spark):
+    """Texts of any size that are just as similar as they must be, beside others that share parts of them."""
+    draw = random.Random(9)
+    texts = []
+    for k in range(150):
+        base = [f"w{k % 40}x{i}" for i in range(draw.choice([6, 9, 20, 45, 120, 400]))]
+        cut, more = draw.randint(0, len(base) // 8), draw.randint(0, len(base) // 8)
+        texts += [" ".join(base), " ".join([*base[cut:], *(f"y{k}x{i}" for i in range(more))])]
+    texts = sorted(set(texts))
+    none = spark.createDataFrame([], "node long, root long")
+    met = {(r["pivot"], r["node"]) for r in similar._met_in_prefixes(nodes_of(spark, texts), none, 0.8).collect()}
+    sets = [shingles(t) for t in texts]
+    want = {(a, b) for b in range(len(texts)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(want) > 60
+    assert want <= met
