@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -189,6 +190,10 @@ class Scanner:
                 ids = [self.number.setdefault(w, len(self.number)) for w in word_list(wording)]
                 least = int(np.ceil(coverage * len(ids) - 1e-9))
                 self.templates.append((license_id, i, ids, np.unique(ids), least))
+        # For each template and word whether it holds it; the last place is that of words in no template.
+        self.holds = np.zeros((len(self.templates), len(self.number) + 1), bool)
+        for row, (_, _, ids, _, _) in zip(self.holds, self.templates, strict=True):
+            row[ids] = True
 
     def _stretches(self, hit: np.ndarray, width: int, least: int) -> Iterator[tuple[int, int]]:
         """Ranges of the text made of windows of ``width`` words that hold ``least`` hits."""
@@ -208,17 +213,36 @@ class Scanner:
 
     def scan(self, text: str) -> list[tuple[str, int, float, int, int]]:
         """(license, wording, coverage, first word, last word + 1) of each stretch that reaches the coverage."""
-        ids = np.fromiter((self.number.get(w, -1) for w in word_list(text)), np.int64)
-        there = np.unique(ids)
+        number = self.number
+        ids = np.array([number.get(w, -1) for w in word_list(text)], np.int64)
+        there = np.zeros(len(number) + 1, bool)
+        there[ids] = True
         found = []
-        for license_id, wording, template, own, least in self.templates:
-            if np.isin(own, there, assume_unique=True).sum() < self.coverage * len(own) - (len(template) - len(own)):
+        for (license_id, wording, template, own, least), holds in zip(self.templates, self.holds, strict=True):
+            if np.count_nonzero(there[own]) < self.coverage * len(own) - (len(template) - len(own)):
                 continue
             width = STRETCH * len(template)
-            for begin, end in self._stretches(np.isin(ids, own), width, least):
-                found += self._notices(ids, begin, end, license_id, wording, template, least, width)
+            hit = holds[ids]
+            for begin, end in self._stretches(hit, width, least):
+                found += self._notices(ids, hit, begin, end, license_id, wording, template, least, width)
         return found
 
+    @staticmethod
+    def _common(ids: list[int], hits: list[int], template: list[int], width: int) -> list[int]:
+        """How many words of the template the window at each hit holds, each as often as both do: no more can be aligned."""
+        left, out, common, behind = Counter(template), [], 0, 0
+        for start in hits:
+            while behind < len(hits) and hits[behind] < start + width:
+                word = ids[behind]
+                common += left[word] > 0
+                left[word] -= 1
+                behind += 1
+            out.append(common)
+            word = ids[len(out) - 1]  # leaves the window
+            left[word] += 1
+            common -= left[word] > 0
+        return out
+
     def _best(self, ids: np.ndarray, starts: list[int], limit: int, end: int, template: list[int]) -> tuple[int, int, int]:
         """(aligned words, minus the stretch's length, its start) of the best window at these starts.
 
@@ -235,11 +259,16 @@ class Scanner:
                     best = max(best, (len(aligned), first - last, start + first))
         return best
 
-    def _notices(self, ids, begin, end, license_id, wording, template, least, width):
+    def _notices(self, ids, hit, begin, end, license_id, wording, template, least, width):
         """The stretch is searched window by window, since a word is seldom unique in a long one."""
-        hits = (begin + np.flatnonzero(np.isin(ids[begin:end], template))).tolist()
+        places = begin + np.flatnonzero(hit[begin:end])
+        hits = places.tolist()
+        common = self._common(ids[places].tolist(), hits, template, width)
         at = 0
         while at < len(hits):
+            if common[at] < least:
+                at += 1
+                continue
             n, minus, first = self._best(ids, [hits[at]], end, end, template)
             if n >= least:
                 limit = first + max(1, len(template) // 2)

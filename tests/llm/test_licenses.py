@@ -137,3 +137,24 @@ def test_hard_rows(hard_docs, hard_rows):
 def test_nothing(no_docs, hard_docs):
     assert licenses.scan(no_docs).count() == 0
     assert licenses.scan(hard_docs, templates={}).where("size(notices) > 0").count() == 0
+
+
+def test_windows_without_enough_words_of_a_template_are_not_aligned(monkeypatch):
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    draw = random.Random(5)
+    own = sorted(set(licenses.word_list(licenses.TEMPLATES["MIT"][-1])))
+    # All its words, far apart, and a few of them over and over.
+    text = " ".join(w for word in own for w in (word, *draw.choices(["the", "software", "or", "of", "and", "to"], k=6)))
+    monkeypatch.setattr(licenses, "align", lambda a, b: pytest.fail("aligned in vain"))
+    assert scanner.scan(text) == []
+
+
+def test_words_in_common_by_counting_each_window():
+    draw = random.Random(6)
+    for _ in range(50):
+        template = draw.choices(range(6), k=draw.randint(1, 12))
+        text = [draw.choice([-1, *template]) for _ in range(80)]
+        hits = [i for i, w in enumerate(text) if w >= 0]
+        width = 2 * len(template)
+        got = licenses.Scanner._common([text[i] for i in hits], hits, template, width)
+        assert got == [sum((Counter(template) & Counter(text[i : i + width])).values()) for i in hits]
