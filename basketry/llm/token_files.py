@@ -102,8 +102,11 @@ class Words:
             starts = [0, *(ends + 4).tolist()]
         self.known.update((w, ids[a:b]) for w, a, b in zip(words, starts, ends.tolist(), strict=False))
 
-    def _of_words(self, words: pa.Array) -> list[bytes]:
-        """The ids of each of different words."""
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words, one after another, and how many each has.
+
+        What is done word by word in Python is done for different heads and marks only.
+        """
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
@@ -112,18 +115,25 @@ class Words:
         plain = pc.and_(plain, pa.scalar(self.by_letters))
         heads = pc.if_else(plain, pc.ascii_rtrim(lower, characters=_MARKS), words)
         longer = np.flatnonzero(pc.not_equal(pc.binary_length(heads), pc.binary_length(words)).to_numpy(zero_copy_only=False))
-        letters = set(heads.filter(plain).cast(pa.binary()).to_pylist()).difference(known)
-        heads = heads.cast(pa.binary()).to_pylist()
-        tails = [w[len(heads[i]) :] for i, w in zip(longer, words.take(longer).cast(pa.binary()).to_pylist(), strict=True)]
-        self._learn(list(letters), True)
-        others = {*heads, *tails}.difference(known)
-        self._learn(list(others), False)
-        ids = [known[w] for w in heads]
-        for i, tail in zip(longer, tails, strict=True):
-            ids[i] += known[tail]
-        for word in (w for w in letters | others if len(w) > WORD_BYTES):
-            del known[word]
-        return ids
+        tails = pc.replace_substring_regex(words.take(pa.array(longer)), f"^[A-Z{_LETTERS}]+", "").dictionary_encode()
+        heads = heads.dictionary_encode()
+        letters = pc.match_substring_regex(heads.dictionary, f"^[{_LETTERS}]+$").to_pylist()
+        pieces, marks = (x.dictionary.cast(pa.binary()).to_pylist() for x in (heads, tails))
+        new = [(w, x and self.by_letters) for w, x in zip(pieces, letters, strict=True) if w not in known]
+        self._learn([w for w, x in new if x], True)
+        self._learn(list(dict.fromkeys([w for w, x in new if not x] + [w for w in marks if w not in known])), False)
+        every = [*pieces, *marks]
+        ids = [known[w] for w in every]
+        # The last piece is that of a word without marks after it.
+        sizes = np.array([*map(len, ids), 0], np.int64) // 4
+        flat = np.frombuffer(bytearray().join(ids), "<u4")
+        for word in [w for w in every if len(w) > WORD_BYTES]:
+            known.pop(word, None)  # marks may be a word too
+        order = np.full((len(words), 2), len(ids))
+        order[:, 0] = heads.indices.to_numpy()
+        order[longer, 1] = len(pieces) + tails.indices.to_numpy()
+        each = sizes[order]
+        return flat[_stretches((np.cumsum(sizes) - sizes)[order.ravel()], each.ravel())], each.sum(1)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of texts and their closing ids, one after another, and the number of ids of each text."""
@@ -134,11 +144,10 @@ class Words:
             return np.concatenate([np.empty(0, "<u4"), *parts]).astype("<u4"), np.array([len(i) + 1 for i in found], np.int64)
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
-        ids = self._of_words(words.dictionary)
-        different = len(ids)
+        flat, sizes = self._of_words(words.dictionary)
+        different = len(sizes)
         # The last one of the different words is the closing id, after the words of each text.
-        sizes = np.array([*map(len, ids), 4], np.int64) // 4
-        flat = np.frombuffer(b"".join([*ids, CLOSING_ID.to_bytes(4, "little")]), "<u4")
+        flat, sizes = np.append(flat, np.uint32(CLOSING_ID)), np.append(sizes, 1)
         many = np.diff(split.offsets.to_numpy())
         order = np.full(len(words) + len(texts), different, np.int64)
         order[np.arange(len(words)) + np.repeat(np.arange(len(texts)), many)] = words.indices.to_numpy()

@@ -140,3 +140,13 @@ def test_equal_rows_are_divided_and_written_alike(spark, tmp_path):
         token_files.write(docs.repartition(parts), f"{tmp_path}/{i}")
         found.append(sorted((r["start"], r["doc_id"], ids_of(r)) for r in token_files.read(spark, f"{tmp_path}/{i}").collect()))
     assert found[0] == found[1] and len(found[0]) == 700
+
+
+def test_words_share_what_is_known_of_their_letters_and_marks():
+    words = token_files.Words(token_files.default_tokenizer())
+    marks = ".,;:" * 20
+    texts = ["Dog, dog. DOG dog; dOg) déjà! DÉJÀ. dog,", f"dog{marks} {marks} Cat{marks} 1{marks}", "", f"{marks} dog"]
+    assert by_text(words, texts) == own_ids(texts)
+    # One entry for the letters, however they are written and whatever follows; none for what is long.
+    assert {w for w in words.known if w.lower().startswith(b"dog")} == {b"dog"}
+    assert marks.encode() not in words.known
