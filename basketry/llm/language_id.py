@@ -105,13 +105,15 @@ def identify(docs: DataFrame, model: dict[str, bytes], text: str = "text") -> Da
     shared = docs.sparkSession.sparkContext.broadcast(frozen)  # bounded: see MODEL_BYTES
 
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [classify(t.as_py(), shared.value) for t in batch.column("text")]
+        found = [classify(t.as_py(), shared.value) for t in batch.column("row").field(place)]
         predicted = [pa.array([f[i] for f in found]) for i in range(3)]
         return pa.RecordBatch.from_arrays(
             [batch.column("row"), *predicted], ["row", "lang_pred", "score", "rejected"]
         )
 
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text].alias("text"))
+    # The text goes to the workers once, inside the row.
+    place = docs.columns.index(text)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     kind = T.StructType([rows.schema["row"]]).add("lang_pred", "string").add("score", "double")
     return map_batches(rows, apply, kind.add("rejected", "boolean"))
 
