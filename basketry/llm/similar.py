@@ -10,12 +10,14 @@ A few texts that agree on a block are compared pair by pair; of many, all are co
 that thousands of near copies share costs a comparison for each of them, not for each pair. Comparisons check the Hamming
 distance, and what passes is decided by the shingles themselves.
 
-What fingerprints miss is found without chance. Of two similar texts, each has a shingle of the other among its smallest
-n - ceil(similarity * n) + 1 hashes. Texts that share one of these and are not in one group yet are all compared: if their
-sizes allow the similarity, and so do the hashes that one of them has alone, then by parities (each shingle turns a bit, so at
-least as many shingles differ as bits do), and then by the shingles themselves. So the groups are those of all similar pairs.
-Hashes that one has alone are known without comparing: one among its smallest, up to where those of the other end, is missing there
-if it is among no other text's smallest. So texts of their own that share a common line make no pairs.
+What fingerprints miss is found without chance. Of two similar texts, each has a shingle of the other among its first
+n - ceil(similarity * n) + 1 hashes, in any order that is the same for all texts. Here shingles that many texts have come last, so
+passages that go around and the text that a crowd of copies was made of are no keys but of texts that have little else. A sample
+tells which these are; the order changes the work only. Texts that share a key and are not in one group yet are all compared: if their
+sizes allow the similarity, and so do the hashes before the key and those that one of them has alone, then by parities (each shingle turns
+a bit, so at least as many shingles differ as bits do), and then by the shingles themselves. So the groups are those of all similar pairs.
+Hashes that one has alone are known without comparing: one among its first, up to where those of the other end, is missing there
+if it is among no other text's first. So texts of their own that share a common line make no pairs.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ BROADCAST_NODES = 200_000
 PAIRWISE = 32
 #: Shares of an average prefix at which the hashes that a node has alone are counted, besides all of them.
 PARTS = (0.5, 0.75, 0.9)
+#: One of so many texts is looked at for frequent shingles; so many of these texts have a frequent one; the most that are kept.
+SAMPLED, OFTEN, MOST_FREQUENT = 32, 4, 1 << 20
 _CHUNK, _PART = 1 << 13, 1 << 22
 #: What a product may be wrong by; sizes are whole numbers.
 _ROUNDING = 1e-6
@@ -91,8 +95,16 @@ def blocks(nodes: int, similarity: float) -> np.ndarray:
     return np.stack([draw.choice(BITS, width, replace=False) for _ in range(many)])
 
 
+def ordered(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Sorted hashes as keys of 63 bits, the frequent ones (sorted too) after all others by the bit above these."""
+    at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+    often = frequent[at] == hashes if len(frequent) else np.zeros(len(hashes), bool)
+    keys = hashes >> np.uint64(1)
+    return np.concatenate([keys[~often], keys[often] | np.uint64(1 << 63)])
+
+
 def prefix(hashes: np.ndarray, similarity: float) -> np.ndarray:
-    """The smallest hashes, of which each similar set has one among its own."""
+    """The first hashes, of which each similar set has one among its own."""
     return hashes[: len(hashes) - math.ceil(similarity * len(hashes) - _ROUNDING) + 1]
 
 
@@ -124,11 +136,26 @@ def print_differences(ones: list[bytes], others: list[bytes]) -> np.ndarray:
     return np.bitwise_count(one ^ other).sum(1)
 
 
-def fingerprints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
+    """Sorted hashes of shingles that several texts of a sample have, of rows (text, text_key)."""
+
+    def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingles(t or b"", words).view(np.int64) for p in slices(batch, "text", _PART) for t in texts_as_bytes(p, "text")]
+        return pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(found, pa.list_(pa.int64()))], ["text_key", "hashes"])
+
+    some = docs.where(F.pmod(F.xxhash64("text_key"), F.lit(SAMPLED)) == 0).select("text", "text_key")
+    sets = map_batches(some, apply, "text_key long, hashes array<long>").dropDuplicates(["text_key"])
+    counts = sets.select(F.explode("hashes").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("texts"))
+    most = counts.where(F.col("texts") >= OFTEN).orderBy(F.desc("texts"), "key").limit(MOST_FREQUENT)
+    return np.sort(most.select("key").toArrow().column("key").to_numpy().view("<u8"))
+
+
+def fingerprints(docs: DataFrame, words: int, similarity: float, frequent: np.ndarray | None = None) -> DataFrame:
     """(doc_id, text_key, same, n, print, odd, prefix) for each row of (doc_id, text, text_key).
 
     ``same`` is a digest of the ``n`` shingles, ``odd`` their parities.
     """
+    last = np.empty(0, "<u8") if frequent is None else frequent
     names = ["same", "n", "print", "odd", "prefix"]
 
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -136,7 +163,7 @@ def fingerprints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
         for part in slices(batch, "text", _PART):
             for text in texts_as_bytes(part, "text"):
                 x = shingles(text or b"", words)
-                first = prefix(x, similarity).view(np.int64)
+                first = prefix(ordered(x, last), similarity).view(np.int64)
                 found.append((xxhash.xxh3_128_digest(x.tobytes()), len(x), fingerprint(x), parities(x), first))
         kinds = [pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
         arrays = [pa.array(list(c), k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
@@ -219,7 +246,7 @@ def _met_in_blocks(nodes: DataFrame, similarity: float) -> DataFrame:
 
 
 def _alone(met: DataFrame, nodes: DataFrame, bounds: list[int]) -> DataFrame:
-    """(node, odd_0, odd_1, last, alone, alone_0 ..): parities of 128 classes; the last hash of a prefix and how many of it are in
+    """(node, n, odd_0, odd_1, last, alone, alone_0 ..): parities of 128 classes; the last key of a prefix and how many of it are in
     no other prefix, in all and below each bound."""
     parts = [f"alone_{i}" for i in range(len(bounds))]
     unsigned = np.array([b - _SIGN for b in bounds], "<u8")
@@ -229,23 +256,23 @@ def _alone(met: DataFrame, nodes: DataFrame, bounds: list[int]) -> DataFrame:
         last = np.array([x[-1] if len(x) else 0 for x in prefixes], "<u8").view(np.int64) ^ np.int64(_SIGN)
         below = np.array([[len(x), *np.searchsorted(x, unsigned)] for x in prefixes], np.int64)
         odd = np.stack([np.bitwise_xor.reduce(np.frombuffer(x.as_buffer(), "<i8").reshape(-1, 2), 0) for x in batch.column("odd")])
-        return pa.RecordBatch.from_arrays([batch.column("node"), *map(pa.array, (*odd.T, last, *below.T))], names)
+        return pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), *map(pa.array, (*odd.T, last, *below.T))], names)
 
-    names = ["node", "odd_0", "odd_1", "last", "alone", *parts]
-    sizes = map_batches(nodes.select("node", "prefix", "odd"), apply, ", ".join(f"{c} long" for c in names))
+    names = ["node", "n", "odd_0", "odd_1", "last", "alone", *parts]
+    sizes = map_batches(nodes.select("node", "n", "prefix", "odd"), apply, ", ".join(f"{c} long" for c in names))
     key = F.col("key").bitwiseXOR(F.lit(_SIGN))
     in_others = [F.count(F.lit(1)).alias("more"), *[F.count_if(key < b).alias(f"more_{i}") for i, b in enumerate(bounds)]]
     both = sizes.join(met.groupBy("node").agg(*in_others), "node")
-    return both.select(*names[:4], *[(F.col(c) - F.col(c.replace("alone", "more"))).alias(c) for c in ["alone", *parts]])
+    return both.select(*names[:5], *[(F.col(c) - F.col(c.replace("alone", "more"))).alias(c) for c in ["alone", *parts]])
 
 
 def _met_in_prefixes(nodes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """(pivot, node) pairs that share a hash of their prefixes and have other roots, if neither has too many hashes alone."""
-    keyed = nodes.select(F.explode("prefix").alias("key"), "node", "n")
+    keyed = nodes.select(F.posexplode("prefix").alias("place", "key"), "node")
     shared = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("key"), "shared")
     met = keyed.join(shared, "key").join(roots, "node", "left")
     met = cut(met.withColumn("root", F.coalesce("root", "node")), "met")
-    bounds = [int((1 - similarity) * part * (1 << 64)) + _SIGN for part in PARTS]
+    bounds = [int((1 - similarity) * part * (1 << 63)) + _SIGN for part in PARTS]
     alone = cut(_alone(met, nodes, bounds), "alone")
     apart = met.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     met = cut(met.join(cut(apart.select("key"), "apart"), "key"), "apart").join(alone, "node")
@@ -262,6 +289,8 @@ def _met_in_prefixes(nodes: DataFrame, roots: DataFrame, similarity: float) -> D
         return F.col(f"{one}n") - missing.otherwise(0) >= common
 
     pairs = met.join(other, "key").where((F.col("other_node") < F.col("node")) & (F.col("root") != F.col("other_root")) & near_sizes)
+    # At the first key that two share, neither has what the other has before it.
+    pairs = pairs.where(F.col("place") + F.col("other_place") <= F.col("n") + F.col("other_n") - 2 * common)
     odd = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in ("odd_0", "odd_1")), F.lit(0))
     pairs = pairs.where(odd <= F.col("n") + F.col("other_n") - 2 * common)
     pairs = pairs.where(enough("", "other_last") & enough("other_", "last"))
@@ -294,7 +323,7 @@ def groups(
     """
     rows = columns(docs, doc_id=doc_id, text=text)
     rows = rows.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
-    prints = cut(fingerprints(rows, words, similarity), "prints")
+    prints = cut(fingerprints(rows, words, similarity, frequent_shingles(rows, words)), "prints")
     order = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_key")
     one_of = [F.any_value(c).alias(c) for c in ("n", "print", "odd", "prefix")]
     nodes = prints.groupBy("same").agg(F.min(order).alias("first"), *one_of)

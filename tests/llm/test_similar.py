@@ -167,3 +167,45 @@ def test_pairs_at_the_threshold_meet_in_prefixes(spark):
     want = {(a, b) for b in range(len(texts)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     assert len(want) > 60
     assert want <= met
+
+
+@pytest.mark.parametrize("order", ["all", "half", "none"])
+def test_pairs_at_the_threshold_meet_in_any_order(spark, order):
+    draw = random.Random(11)
+    texts = []
+    for k in range(120):
+        base = [f"w{k % 30}x{i}" for i in range(draw.choice([6, 20, 45, 120, 400]))]
+        cut, more = draw.randint(0, len(base) // 8), draw.randint(0, len(base) // 8)
+        texts += [" ".join(base), " ".join([*base[cut:], *(f"y{k}x{i}" for i in range(more))])]
+    texts = sorted(set(texts))
+    every = np.unique(np.concatenate([similar.shingles(t.encode(), 5) for t in texts]))
+    frequent = {"all": every, "half": every[np.random.default_rng(1).random(len(every)) < 0.5], "none": every[:0]}[order]
+    rows = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, text_key long")
+    nodes = similar.fingerprints(rows, 5, 0.8, frequent).withColumnRenamed("doc_id", "node").localCheckpoint()
+    none = spark.createDataFrame([], "node long, root long")
+    met = {(r["pivot"], r["node"]) for r in similar._met_in_prefixes(nodes, none, 0.8).collect()}
+    sets = [shingles(t) for t in texts]
+    want = {(a, b) for b in range(len(texts)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(want) > 50
+    assert want <= met
+
+
+def test_a_crowd_of_distant_copies_makes_no_pairs_of_its_members(spark, monkeypatch):
+    """Copies that each changed by themselves: less similar than 0.8, but all share shingles of the original."""
+    monkeypatch.setattr(similar, "SAMPLED", 2, raising=False)
+    counts, found = [], similar._met_in_prefixes
+
+    def counted(*given):
+        met = found(*given)
+        counts.append(met.count())
+        return met
+
+    monkeypatch.setattr(similar, "_met_in_prefixes", counted)
+    draw, base = random.Random(12), prose(7, 400)
+    texts = [changed(base, draw, 0.06) for _ in range(200)]
+    near = [changed(t, draw, 0.004) for t in texts[:20]]
+    assert max(jaccard(a, b) for a in texts[:20] for b in texts[20:40]) < 0.8 <= min(map(jaccard, texts, near))
+    docs = spark.createDataFrame(list(enumerate(texts + near)), "doc_id long, text string")
+    groups = {r["doc_id"]: r["component_id"] for r in similar.groups(docs).collect()}
+    assert groups == {i: i if i < 200 else i - 200 for i in range(220)}
+    assert counts[0] <= 220
