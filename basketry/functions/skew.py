@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.functions.shuffles import freed_at_end
+
 #: What one key may weigh in the task it is placed in, in mean tasks.
 UNEVEN = 2
 #: A sketch tracks twenty values for each of this many shares, and Spark allows a million.
@@ -42,15 +44,16 @@ def hot_keys(df: DataFrame, *columns: str, share: float = 0.001) -> dict[str, li
     fill = [F.expr(f"approx_top_k_accumulate(`{c}`, {tracked}) AS `{c}`") for c in columns]
     merge = [F.expr(f"approx_top_k_combine(`{c}`, {tracked}) AS `{c}`") for c in columns]
     top = [F.expr(f"approx_top_k_estimate(`{c}`, {2 * most}) AS `{c}`") for c in columns]
-    row = (
+    sketches = (
         df.select(*columns, part)
         .groupBy("part")
         .agg(*fill, F.count(F.lit(1)).alias("seen"))
         .groupBy(F.lit("all"))  # no row, and not an error, for an empty table
         .agg(*merge, F.sum("seen").alias("seen"))
         .select(*top, "seen")
-        .first()
     )
+    with freed_at_end(df.sparkSession):
+        row = sketches.first()
     if row is None:
         return {c: [] for c in columns}
     return {

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from basketry.contracts import ENTITIES
+from basketry.functions.shuffles import freed_at_end
 from basketry.sources.raw import DEFAULT, Dialect
 
 # Department ids by product type. STANDARD has an id but no department row.
@@ -178,13 +179,14 @@ RAW_TABLES = {
 
 def write_csv(table: DataFrame, path: str, dialect: Dialect = DEFAULT) -> None:
     """A CSV source, blanks kept: a directory of parts with a header each."""
-    (
+    out = (
         table.write.option("header", True)
         .option("escape", dialect.escape)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    with freed_at_end(table.sparkSession):
+        out.csv(path)
 
 
 def write_source_files(spark: SparkSession, sf_dir: str, folder: str, *entities: str) -> None:

@@ -27,6 +27,8 @@ from basketry.sources.snapshots import SnapshotSummary, read_snapshot, snapshot_
 
 LAYER_ORDER = ["bronze", "silver", "gold"]
 _ITEMS = "order_items_prior_enriched"
+_ITEM_TABLES = [("silver", f"order_items_{s}_enriched") for s in ("prior", "train")]
+_ALL_MEASURES = "repurchase_metrics"  # the ranking that has all columns of the other
 
 
 @dataclass(frozen=True)
@@ -117,20 +119,18 @@ def run_product_rankings(
 ) -> list[SnapshotSummary]:
     """The product rankings from one pass over the items.
 
-    What is kept between the two writes is one row per product; a lost part of it
-    is computed again.
+    The repurchase metrics hold every measure, so they are written first and the other ranking is made of
+    them as they were written. Nothing is persisted, whose shuffles would stay on disk.
     """
     given = lineage.inputs(spark, roots, ("gold", "top_products"))  # those of the other ranking, too
     items = _read(spark, roots, given[0])
     measures = gold.product_measures(items, **placing(items, PRODUCT_KEYS[0]))
-    measures.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return [
-            _write(spark, roots, "gold", t, gold.product_ranking(measures, t, batch_time), given)
-            for t in tables
-        ]
-    finally:
-        measures.unpersist()
+    written = {}
+    for t in sorted(tables, key=lambda t: t != _ALL_MEASURES):
+        written[t] = _write(spark, roots, "gold", t, gold.product_ranking(measures, t, batch_time), given)
+        if t == _ALL_MEASURES:
+            measures = read_snapshot(spark, roots.table("gold", t), written[t].label)
+    return [written[t] for t in tables]
 
 
 def update_product_rankings(
@@ -179,7 +179,11 @@ def run_layer(
     batch_time: datetime | None = None,
     dialect: Dialect = DEFAULT,
 ) -> list[SnapshotSummary]:
-    """The tables of one layer; those that do not need each other are built side by side."""
+    """The tables of one layer; those that do not need each other are built side by side, but for those of items.
+
+    Each of these fills a cluster by itself. One after the other, what their joins shuffle does not lie on disk
+    at the same time.
+    """
     if layer == "bronze":
         return together(
             spark, [partial(run_bronze, spark, roots, e, batch_time, dialect) for e in ENTITIES]
@@ -191,6 +195,7 @@ def run_layer(
             *together(
                 spark,
                 [partial(run_order_items, spark, roots, s, batch_time) for s in ("prior", "train")],
+                at_once=1,
             ),
         ]
     period, rankings = together(
@@ -220,7 +225,8 @@ def run_stale(
 ) -> list[SnapshotSummary]:
     """Build only the tables whose inputs have newer or other snapshots than those they were made of.
 
-    Tables that do not need each other are built side by side. With nothing to do nothing is written.
+    Tables that do not need each other are built side by side, but for those of items, which are built one after
+    the other as in ``run_layer``. With nothing to do nothing is written.
     """
     stale = [table for table, inputs in lineage.stale_inputs(spark, roots).items() if inputs]
     rankings = tuple(name for name in ("top_products", "repurchase_metrics") if ("gold", name) in stale)
@@ -241,7 +247,12 @@ def run_stale(
     written, done = [], set()
     while waiting := [table for table in stale if table in step and table not in done]:
         ready = [t for t in waiting if not set(lineage.INPUTS[t]) & set(waiting)]
-        for made in together(spark, [step[t] for t in ready]):
-            written += made if isinstance(made, list) else [made]
+        items = [t for t in ready if t in _ITEM_TABLES]
+        others = [t for t in ready if t not in items]
+        one_by_one = partial(together, spark, [step[t] for t in items], at_once=1)
+        *made, made_items = together(spark, [*(step[t] for t in others), one_by_one])
+        made_of = dict(zip([*others, *items], [*made, *made_items], strict=True))
+        for t in ready:
+            written += made_of[t] if isinstance(made_of[t], list) else [made_of[t]]
         done.update(ready)
     return written

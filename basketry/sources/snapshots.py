@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from basketry.contracts import SNAPSHOT_COLUMN
+from basketry.functions.shuffles import freed_at_end
 from basketry.sources import paths
 
 _PREFIX = f"{SNAPSHOT_COLUMN}="
@@ -81,18 +82,19 @@ def write_snapshot(df: DataFrame, root: str, label: str) -> SnapshotSummary:
 
     The old files go only when the new ones are committed. The row count comes
     with the write. A result without rows would replace nothing, so it is written
-    as an empty snapshot.
+    as an empty snapshot. What the write shuffles goes with it.
     """
     counted = Observation()
-    (
+    out = (
         df.observe(counted, F.count(F.lit(1)).alias("rows"))
         .withColumn(SNAPSHOT_COLUMN, F.lit(label))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(SNAPSHOT_COLUMN)
-        .parquet(root)
     )
+    with freed_at_end(df.sparkSession):
+        out.parquet(root)
     rows = counted.get["rows"]
     if rows == 0:
         empty = df.sparkSession.createDataFrame([], df.schema)
